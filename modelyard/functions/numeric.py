@@ -15,22 +15,25 @@ def round_sig(c: Column | str, digits: int = 9) -> Column:
 
     Metrics are sums whose last bits depend on summation order; rounding to
     significant digits (not decimals) keeps large and small metrics equally
-    stable across engines.
+    stable across engines.  Only exact positive powers of ten are used, so
+    the result is the same double in any IEEE engine.
     """
     x = F.col(c) if isinstance(c, str) else c
-    e = F.floor(F.log10(F.abs(x)))
-    p = F.pow(F.lit(10.0), e)
+    k = F.lit(digits - 1) - F.floor(F.log10(F.abs(x)))
+    up = F.pow(F.lit(10.0), k)
+    down = F.pow(F.lit(10.0), -k)
     return (F.when(x.isNull(), F.lit(None).cast("double"))
-            .when(x == 0, F.lit(0.0))
-            .otherwise(F.round(x / p, digits - 1) * p))
+            .when((x == 0) | F.isnan(x), x)
+            .when(k >= 0, F.round(x * up, 0) / up)
+            .otherwise(F.round(x / down, 0) * down))
 
 
 def round_sig_sql(expr: str, digits: int = 9) -> str:
     """DuckDB text of :func:`round_sig`."""
-    e = f"floor(log10(abs({expr})))"
-    p = f"pow(10.0, {e})"
+    k = f"({digits - 1} - floor(log10(abs({expr}))))"
     return (f"(CASE WHEN ({expr}) IS NULL THEN NULL WHEN ({expr}) = 0 THEN 0.0 "
-            f"ELSE round(({expr}) / {p}, {digits - 1}) * {p} END)")
+            f"WHEN {k} >= 0 THEN round(({expr}) * pow(10.0, {k}), 0) / pow(10.0, {k}) "
+            f"ELSE round(({expr}) / pow(10.0, -{k}), 0) * pow(10.0, -{k}) END)")
 
 
 def to_float32(c: Column | str) -> Column:
