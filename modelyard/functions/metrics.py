@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numeric import round_sig
+
 
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -36,7 +38,11 @@ def regression_aggs(y: str | Column, p: str | Column, suffix: str = "") -> list[
         F.sqrt(mse).alias(f"rmse{s}"),
         F.avg(F.abs(err)).alias(f"mae{s}"),
         F.when(ok_log, F.sqrt(F.avg(lerr * lerr))).alias(f"rmsle{s}"),
-        (F.lit(1.0) - F.try_divide(mse, F.when(F.var_pop(yv) > 0, F.var_pop(yv)))).alias(f"r2{s}"),
+        # The ratio is rounded to 12 digits first: for a model whose MSE
+        # equals the label variance (the mean on its own rows) 1 - ratio
+        # would otherwise be floating-point noise.
+        (F.lit(1.0) - round_sig(F.try_divide(mse, F.when(F.var_pop(yv) > 0, F.var_pop(yv))), 12))
+        .alias(f"r2{s}"),
         mse.alias(f"mean_residual_deviance{s}"),
     ]
 

@@ -115,3 +115,102 @@ def models_frame(spark, models: Sequence[LinearModel], artifact_root: str | None
     schema = ("model_id string, algo string, intercept double, "
               "coefficients map<string,double>, params map<string,string>")
     return spark.createDataFrame(rows, schema)
+
+
+def fit_fold_models(train: DataFrame, label: str, features: Sequence[str], fold_col: str,
+                    k: int) -> dict[int, list[LinearModel]]:
+    """Closed-form candidates fitted once per fold, each on the other k-1 folds.
+
+    Each row is generated once for every fold it trains (``explode`` of the
+    other fold numbers) and one grouped aggregate fits all k x models: the
+    same formulas as the single fit, in one pass, k partial rows per task.
+    """
+    y = F.col(label).cast("double")
+    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: f != F.col(fold_col))
+    aggs = [F.avg(y).alias("_mean"), F.count(y).alias("_n")]
+    for i, f in enumerate(features):
+        x = F.col(f).cast("double")
+        aggs += [F.regr_slope(y, x).alias(f"_b{i}"), F.regr_intercept(y, x).alias(f"_a{i}")]
+    rows = (train.select(label, *features, F.explode(others).alias("_cv_fold"))
+            .groupBy("_cv_fold").agg(*aggs).collect())
+    out: dict[int, list[LinearModel]] = {}
+    for r in rows:
+        fold = int(r["_cv_fold"])
+        common = {"label": label, "train_rows": str(r["_n"]), "fold": str(fold)}
+        ms = [LinearModel("mean", "constant_mean", r["_mean"], (), {**common, "model_id": "mean"})]
+        for i, f in enumerate(features):
+            b, a = r[f"_b{i}"], r[f"_a{i}"]
+            mid = f"lsq_{f}"
+            coefs = () if b is None else ((f, b),)
+            ms.append(LinearModel(mid, "least_squares", r["_mean"] if b is None else a, coefs,
+                                  {**common, "model_id": mid, "feature": f}))
+        out[fold] = ms
+    return out
+
+
+def cv_prediction(fold_models: dict[int, list[LinearModel]], index: int, fold_col: str) -> Column:
+    """Prediction of candidate ``index`` by the model that did not see the row's fold."""
+    expr = F.lit(None).cast("double")
+    for fold in sorted(fold_models, reverse=True):
+        expr = F.when(F.col(fold_col) == fold, fold_models[fold][index].predict()).otherwise(expr)
+    return expr
+
+
+def measure_cv(train: DataFrame, fold_models: dict[int, list[LinearModel]], label: str,
+               fold_col: str) -> DataFrame:
+    """Regression metrics per (model_id, fold) on out-of-fold predictions.
+
+    One grouped aggregate over the k folds computes every candidate at once.
+    """
+    y = F.col(label).cast("double")
+    first = next(iter(fold_models.values()))
+    aggs: list[Column] = []
+    for i, _ in enumerate(first):
+        aggs += regression_aggs(y, cv_prediction(fold_models, i, fold_col), suffix=f"__{i}")
+    wide = train.groupBy(fold_col).agg(*aggs)
+    cols = ["n", *REGRESSION_METRICS]
+    rows = [F.struct(F.lit(m.model_id).alias("model_id"), F.col(fold_col).alias("fold"),
+                     *[F.col(f"{c}__{i}").alias(c) for c in cols]) for i, m in enumerate(first)]
+    return wide.select(F.inline(F.array(*rows)))
+
+
+def coefficients_frame(train: DataFrame, models: Sequence[LinearModel]) -> DataFrame:
+    """Coefficients with standardised values (coefficient x stddev of the feature).
+
+    The standardised intercept is the prediction at the feature means.
+    """
+    feats = sorted({n for m in models for n, _ in m.coefficients})
+    stats = train.agg(*[F.stddev_samp(F.col(f).cast("double")).alias(f"sd_{f}") for f in feats],
+                      *[F.avg(F.col(f).cast("double")).alias(f"mu_{f}") for f in feats]).first() \
+        if feats else {}
+    rows = []
+    for m in models:
+        at_mean = m.intercept + sum(c * stats[f"mu_{n}"] for n, c in m.coefficients)
+        rows.append((m.model_id, "Intercept", float(m.intercept), float(at_mean)))
+        for n, c in m.coefficients:
+            sd = stats[f"sd_{n}"]
+            rows.append((m.model_id, n, float(c), float(c * sd) if sd is not None else None))
+    spark = train.sparkSession
+    return spark.createDataFrame(
+        rows, "model_id string, name string, coefficient double, std_coefficient double")
+
+
+def correlation_importance(train: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
+    """Relative importance = |corr(feature, label)|, scaled by the max and the sum.
+
+    One aggregate over the rows, then windows over the k-row result.
+    """
+    from pyspark.sql import Window
+    y = F.col(label).cast("double")
+    wide = train.agg(*[F.abs(F.corr(F.col(f).cast("double"), y)).alias(f"c{i}")
+                       for i, f in enumerate(features)])
+    long = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(f).alias("variable"), F.col(f"c{i}").alias("relative_importance"))
+        for i, f in enumerate(features)])))
+    w = Window.partitionBy(F.lit(1))
+    return long.select(
+        "variable", "relative_importance",
+        F.try_divide(F.col("relative_importance"), F.max("relative_importance").over(w))
+        .alias("scaled_importance"),
+        F.try_divide(F.col("relative_importance"), F.sum("relative_importance").over(w))
+        .alias("percentage"))

@@ -22,7 +22,8 @@ def regression_metrics_sql(y: str = "y", p: str = "p", digits: int = 9) -> str:
         R(f"CASE WHEN min(least({y}, {p})) > -1 THEN sqrt(avg(CASE WHEN least({y}, {p}) > -1 "
           f"THEN (ln(1 + {y}) - ln(1 + {p})) * (ln(1 + {y}) - ln(1 + {p})) END)) END", digits)
         + " AS rmsle",
-        R(f"CASE WHEN var_pop({y}) > 0 THEN 1 - {mse} / var_pop({y}) END", digits) + " AS r2",
+        R(f"CASE WHEN var_pop({y}) > 0 THEN 1 - {R(f'{mse} / var_pop({y})', 12)} END", digits)
+        + " AS r2",
         f"{R(mse, digits)} AS mean_residual_deviance",
     ])
 

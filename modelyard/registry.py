@@ -33,4 +33,5 @@ def register(name: str, ids: str, oracle: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from .plans import (queries_arrays, queries_classify, queries_core,  # noqa: F401
-                        queries_ml, queries_split, queries_track)
+                        queries_features, queries_ml, queries_models, queries_split,
+                        queries_stream, queries_track)
