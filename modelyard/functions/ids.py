@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BUCKETS = 10_000
 
 
 def _cols(keys: Sequence[str | Column]) -> list[Column]:
@@ -32,17 +31,46 @@ def key_md5_sql(keys: Sequence[str], seed: int | str | None = None) -> str:
     return f"md5(concat_ws('|', {', '.join(parts)}))"
 
 
-def hash_bucket(keys: Sequence[str | Column], seed: int | str | None = None,
-                buckets: int = BUCKETS) -> Column:
-    """Bucket in ``[0, buckets)`` from the first 32 bits of the key md5."""
-    h32 = F.conv(F.substring(key_md5(keys, seed), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(h32, F.lit(buckets)).cast("int")
+def hash_prefix(keys: Sequence[str | Column], seed: int | str | None = None) -> Column:
+    """First 8 hex digits of the key md5: the top 32 bits, as a string.
 
+    Lowercase hex strings of equal length order like the numbers they
+    spell, so thresholds are compared as strings: no hex-to-number
+    conversion per row.
+    """
+    return F.substring(key_md5(keys, seed), 1, 8)
 
-def hash_bucket_sql(keys: Sequence[str], seed: int | str | None = None,
-                    buckets: int = BUCKETS) -> str:
-    h32 = f"('0x' || substr({key_md5_sql(keys, seed)}, 1, 8))::BIGINT"
-    return f"CAST(({h32}) % {buckets} AS INTEGER)"
+
+def hash_prefix_sql(keys: Sequence[str], seed: int | str | None = None) -> str:
+    return f"substr({key_md5_sql(keys, seed)}, 1, 8)"
+
+
+def threshold(frac: float) -> str:
+    """Hex threshold T with ``prefix < T`` for a ``frac`` share of uniform hashes."""
+    v = int(frac * 2 ** 32)
+    return "g" if v >= 2 ** 32 else f"{max(v, 0):08x}"
+
+
+def hash_below(keys: Sequence[str | Column], seed: int | str | None, frac: float) -> Column:
+    """True for a ``frac`` share of keys, chosen by hash (repeatable, no shuffle)."""
+    return hash_prefix(keys, seed) < F.lit(threshold(frac))
+
+
+def hash_below_sql(keys: Sequence[str], seed: int | str | None, frac: float) -> str:
+    return f"({hash_prefix_sql(keys, seed)} < '{threshold(frac)}')"
+
+
+def hash_bucket_of(prefix: Column, fractions: Sequence[float]) -> Column:
+    """Index of the first cumulative fraction the prefix falls below."""
+    expr = F.lit(len(fractions))
+    for i, f in reversed(list(enumerate(fractions))):
+        expr = F.when(prefix < F.lit(threshold(f)), F.lit(i)).otherwise(expr)
+    return expr.cast("int")
+
+
+def hash_bucket_of_sql(prefix: str, fractions: Sequence[float]) -> str:
+    whens = " ".join(f"WHEN {prefix} < '{threshold(f)}' THEN {i}" for i, f in enumerate(fractions))
+    return f"CAST(CASE {whens} ELSE {len(fractions)} END AS INTEGER)"
 
 
 def stable_id(keys: Sequence[str | Column], prefix: str | None = None) -> Column:

@@ -90,15 +90,18 @@ def score_long(df: DataFrame, models: Sequence[LinearModel], label: str,
 def measure_wide(df: DataFrame, models: Sequence[LinearModel], label: str) -> DataFrame:
     """All regression metrics of all models in one aggregate, one row per model.
 
-    The aggregate has no grouping key: each task keeps one partial row, and
-    the final merge sees one row per task.  The wide row is unpivoted with
-    ``stack`` into one row per model.
+    Predictions are projected into columns first, so the aggregate refers to
+    columns rather than repeating each model's expression per metric (small
+    generated code, compiled once).  The aggregate has no grouping key: each
+    task keeps one partial row and the final merge sees one row per task.
+    The wide row is turned into one row per model with ``inline``.
     """
-    y = F.col(label).cast("double")
+    scored = df.select(F.col(label).cast("double").alias("_y"),
+                       *[m.predict().alias(f"_p{i}") for i, m in enumerate(models)])
     aggs: list[Column] = []
-    for i, m in enumerate(models):
-        aggs += regression_aggs(y, m.predict(), suffix=f"__{i}")
-    wide = df.agg(*aggs)
+    for i, _ in enumerate(models):
+        aggs += regression_aggs("_y", f"_p{i}", suffix=f"__{i}")
+    wide = scored.agg(*aggs)
     cols = ["n", *REGRESSION_METRICS]
     rows = []
     for i, m in enumerate(models):
@@ -160,14 +163,17 @@ def measure_cv(train: DataFrame, fold_models: dict[int, list[LinearModel]], labe
                fold_col: str) -> DataFrame:
     """Regression metrics per (model_id, fold) on out-of-fold predictions.
 
-    One grouped aggregate over the k folds computes every candidate at once.
+    Out-of-fold predictions are projected into columns, then one grouped
+    aggregate over the k folds measures every candidate at once.
     """
-    y = F.col(label).cast("double")
     first = next(iter(fold_models.values()))
+    scored = train.select(F.col(fold_col), F.col(label).cast("double").alias("_y"),
+                          *[cv_prediction(fold_models, i, fold_col).alias(f"_p{i}")
+                            for i, _ in enumerate(first)])
     aggs: list[Column] = []
     for i, _ in enumerate(first):
-        aggs += regression_aggs(y, cv_prediction(fold_models, i, fold_col), suffix=f"__{i}")
-    wide = train.groupBy(fold_col).agg(*aggs)
+        aggs += regression_aggs("_y", f"_p{i}", suffix=f"__{i}")
+    wide = scored.groupBy(fold_col).agg(*aggs)
     cols = ["n", *REGRESSION_METRICS]
     rows = [F.struct(F.lit(m.model_id).alias("model_id"), F.col(fold_col).alias("fold"),
                      *[F.col(f"{c}__{i}").alias(c) for c in cols]) for i, m in enumerate(first)]

@@ -20,7 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ids import BUCKETS, hash_bucket, hash_bucket_sql, key_md5
+from ..functions.ids import (hash_bucket_of, hash_bucket_of_sql, hash_prefix, hash_prefix_sql,
+                             key_md5)
 from .index import row_index
 
 
@@ -29,33 +30,24 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int = 1) -> list
     return df.randomSplit(list(weights), seed)
 
 
-def _thresholds(weights: Sequence[float], buckets: int) -> list[int]:
+def _cumulative(weights: Sequence[float]) -> list[float]:
     if not weights or any(w < 0 for w in weights) or sum(weights) <= 0:
         raise ValueError("weights must be non-negative with a positive sum")
     total = float(sum(weights))
     acc, out = 0.0, []
     for w in weights[:-1]:
         acc += w
-        out.append(int(round(acc / total * buckets)))
+        out.append(acc / total)
     return out
 
 
-def hash_split_col(keys: Sequence[str | Column], weights: Sequence[float], seed: int = 1,
-                   buckets: int = BUCKETS) -> Column:
-    """Split index 0..len(weights)-1 from the key hash."""
-    b = hash_bucket(keys, seed, buckets)
-    expr = F.lit(len(weights) - 1)
-    for i, t in reversed(list(enumerate(_thresholds(weights, buckets)))):
-        expr = F.when(b < t, F.lit(i)).otherwise(expr)
-    return expr.cast("int")
+def hash_split_col(keys: Sequence[str | Column], weights: Sequence[float], seed: int = 1) -> Column:
+    """Split index 0..len(weights)-1 from the key hash (normalised weights)."""
+    return hash_bucket_of(hash_prefix(keys, seed), _cumulative(weights))
 
 
-def hash_split_sql(keys: Sequence[str], weights: Sequence[float], seed: int = 1,
-                   buckets: int = BUCKETS) -> str:
-    b = hash_bucket_sql(keys, seed, buckets)
-    whens = " ".join(f"WHEN {b} < {t} THEN {i}"
-                     for i, t in enumerate(_thresholds(weights, buckets)))
-    return f"CAST(CASE {whens} ELSE {len(weights) - 1} END AS INTEGER)"
+def hash_split_sql(keys: Sequence[str], weights: Sequence[float], seed: int = 1) -> str:
+    return hash_bucket_of_sql(hash_prefix_sql(keys, seed), _cumulative(weights))
 
 
 def hash_split(df: DataFrame, keys: Sequence[str], weights: Sequence[float],
@@ -68,11 +60,11 @@ def hash_split(df: DataFrame, keys: Sequence[str], weights: Sequence[float],
 def kfold_col(keys: Sequence[str | Column], k: int = 5, seed: int = 1,
               salt: str = "fold") -> Column:
     """Fold 0..k-1 from a hash salted apart from the train/hold-out split."""
-    return F.pmod(hash_bucket(keys, f"{seed}{salt}", BUCKETS), F.lit(k)).cast("int")
+    return hash_bucket_of(hash_prefix(keys, f"{seed}{salt}"), [i / k for i in range(1, k)])
 
 
 def kfold_sql(keys: Sequence[str], k: int = 5, seed: int = 1, salt: str = "fold") -> str:
-    return f"CAST(({hash_bucket_sql(keys, f'{seed}{salt}', BUCKETS)}) % {k} AS INTEGER)"
+    return hash_bucket_of_sql(hash_prefix_sql(keys, f"{seed}{salt}"), [i / k for i in range(1, k)])
 
 
 def class_rank(df: DataFrame, label: str, keys: Sequence[str], seed: int = 1,

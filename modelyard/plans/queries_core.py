@@ -25,13 +25,18 @@ def part_trial(spark, sf_dir):
                             train_share=0.8, seed=1)
 
 
-def _part_split_cte(extra_where_train: str = PART_FILTER) -> str:
-    split = hash_split_sql(PART_KEYS, [0.8, 0.2], 1)
+def split_cte(table: str, label: str, features: list[str], keys: list[str], where: str) -> str:
+    """SQL of the trial's split, train filter and closed-form coefficients."""
+    split = hash_split_sql(keys, [0.8, 0.2], 1)
     return f"""
-base AS (SELECT *, {split} AS split FROM part),
-train AS (SELECT * FROM base WHERE split = 0 AND {extra_where_train}),
+base AS (SELECT *, {split} AS split FROM {table}),
+train AS (SELECT * FROM base WHERE split = 0 AND {where}),
 hold AS (SELECT * FROM base WHERE split = 1),
-coef AS (SELECT {closed_form_coef_sql(PART_LABEL, PART_FEATURES)} FROM train)"""
+coef AS (SELECT {closed_form_coef_sql(label, features)} FROM train)"""
+
+
+def _part_split_cte() -> str:
+    return split_cte("part", PART_LABEL, PART_FEATURES, PART_KEYS, PART_FILTER)
 
 
 REGRESSION_LEADERBOARD_SQL = f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.ids import hash_bucket, hash_bucket_sql
+from ..functions.ids import hash_below, hash_below_sql
 from ..functions.numeric import round_sig, round_sig_sql
 from ..operators.features import (apply_imputer, domain_values, feature_types, fit_imputer,
                                   fit_levels, one_hot, problem_kind)
@@ -83,16 +83,16 @@ def nulled_customer(spark, sf_dir):
     c = load_table(spark, sf_dir, "customer")
     return c.select(
         "c_custkey",
-        F.when(hash_bucket(["c_custkey"], "na1") < 1500, F.lit(None)).otherwise(F.col("c_acctbal"))
+        F.when(hash_below(["c_custkey"], "na1", 0.15), F.lit(None)).otherwise(F.col("c_acctbal"))
         .alias("c_acctbal"),
-        F.when(hash_bucket(["c_custkey"], "na2") < 1500, F.lit(None)).otherwise(F.col("c_mktsegment"))
+        F.when(hash_below(["c_custkey"], "na2", 0.15), F.lit(None)).otherwise(F.col("c_mktsegment"))
         .alias("c_mktsegment"))
 
 
 _NULLED_CTE = f"""
 nc AS (SELECT c_custkey,
-              CASE WHEN {hash_bucket_sql(['c_custkey'], 'na1')} < 1500 THEN NULL ELSE c_acctbal END AS c_acctbal,
-              CASE WHEN {hash_bucket_sql(['c_custkey'], 'na2')} < 1500 THEN NULL ELSE c_mktsegment END AS c_mktsegment
+              CASE WHEN {hash_below_sql(['c_custkey'], 'na1', 0.15)} THEN NULL ELSE c_acctbal END AS c_acctbal,
+              CASE WHEN {hash_below_sql(['c_custkey'], 'na2', 0.15)} THEN NULL ELSE c_mktsegment END AS c_mktsegment
        FROM customer),
 tr AS (SELECT * FROM nc WHERE {hash_split_sql(['c_custkey'], [0.8, 0.2], 1)} = 0)
 """

@@ -89,8 +89,7 @@ def autolog_trial(spark, sf_dir):
     metric_cols = ["mse", "rmse", "mae", "r2", "train_seconds"]
     path = append_log([params_long(rs, params).withColumn("kind", F.lit("param")),
                        metrics_long(rs, board, metric_cols)
-                       .withColumn("value", F.col("value").cast("string"))
-                       .withColumn("kind", F.lit("metric"))],
+                       .withColumnRenamed("value", "metric").withColumn("kind", F.lit("metric"))],
                       scratch_path(spark, "autolog"))
     return spark.read.parquet(path)
 

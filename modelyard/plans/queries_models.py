@@ -16,7 +16,10 @@ from ..operators.split import kfold_col, kfold_sql
 from ..registry import register
 from ..sources.tables import load_table
 from .queries_core import (PART_FEATURES, PART_FILTER, PART_KEYS, PART_LABEL,
-                           REGRESSION_LEADERBOARD_SQL, _part_split_cte, part_trial)
+                           REGRESSION_LEADERBOARD_SQL, _part_split_cte, part_trial,
+                           split_cte)
+from .queries_core import LI_FEATURES, LI_FILTER, LI_KEYS, LI_LABEL
+from .regression import split_frame
 from .sqltext import closed_form_coef_sql, closed_form_preds_sql, regression_metrics_sql
 
 R = round_sig_sql
@@ -95,20 +98,22 @@ def training_params(spark, sf_dir):
     return mf.select("model_id", F.explode("params").alias("key", "value"))
 
 
-def _cv_cte() -> str:
-    coef = closed_form_coef_sql(PART_LABEL, PART_FEATURES)
-    preds = [f"SELECT t.fold, 'mean' AS model_id, CAST({PART_LABEL} AS DOUBLE) AS y, c.m AS p "
+def cv_cte(table: str, label: str, features: list[str], keys: list[str], where: str,
+           k: int = K) -> str:
+    """SQL of out-of-fold predictions and per-fold metrics for the closed-form candidates."""
+    coef = closed_form_coef_sql(label, features)
+    preds = [f"SELECT t.fold, 'mean' AS model_id, CAST({label} AS DOUBLE) AS y, c.m AS p "
              f"FROM ftrain t JOIN cvc c ON t.fold = c.fold"]
-    for i, f in enumerate(PART_FEATURES):
+    for i, f in enumerate(features):
         preds.append(
-            f"SELECT t.fold, 'lsq_{f}', CAST({PART_LABEL} AS DOUBLE), "
+            f"SELECT t.fold, 'lsq_{f}', CAST({label} AS DOUBLE), "
             f"CASE WHEN c.b{i} IS NULL THEN c.m ELSE c.a{i} + c.b{i} * CAST(t.{f} AS DOUBLE) END "
             f"FROM ftrain t JOIN cvc c ON t.fold = c.fold")
     union = "\nUNION ALL\n".join(preds)
-    return f"""{_part_split_cte()},
-ftrain AS (SELECT *, {FOLD_SQL} AS fold FROM train),
-cvc AS (SELECT r.f AS fold, count({PART_LABEL}) AS n, {coef}
-        FROM ftrain t JOIN range(0, {K}) r(f) ON t.fold <> r.f GROUP BY r.f),
+    return f"""{split_cte(table, label, features, keys, where)},
+ftrain AS (SELECT *, {kfold_sql(keys, k, 1)} AS fold FROM train),
+cvc AS (SELECT r.f AS fold, count({label}) AS n, {coef}
+        FROM ftrain t JOIN range(0, {k}) r(f) ON t.fold <> r.f GROUP BY r.f),
 cvp AS ({union}),
 perfold AS (SELECT model_id, fold, count(y - p) AS n, avg((y - p) * (y - p)) AS mse,
                    sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae,
@@ -118,6 +123,10 @@ perfold AS (SELECT model_id, fold, count(y - p) AS n, avg((y - p) * (y - p)) AS
             FROM cvp GROUP BY model_id, fold)"""
 
 
+def _cv_cte() -> str:
+    return cv_cte("part", PART_LABEL, PART_FEATURES, PART_KEYS, PART_FILTER)
+
+
 FOLD_MODELS_SQL = f"""
 WITH {_cv_cte()}
 SELECT model_id, CAST(fold AS INTEGER) AS fold, {R('intercept')} AS intercept, {R('slope')} AS slope,
@@ -287,3 +296,20 @@ def metric_ranks(spark, sf_dir):
     w = Window.partitionBy("metric").orderBy(key.asc_nulls_last(), F.col("model_id"))
     return j.select("metric", "name", "greater_is_better", "model_id", "value",
                     F.row_number().over(w).alias("metric_rank"))
+
+
+LINEITEM_CV_SQL = f"""
+WITH {cv_cte("lineitem", LI_LABEL, LI_FEATURES, LI_KEYS, LI_FILTER)}
+SELECT model_id, count(*) AS folds, {_CV_SUMMARY_COLS} FROM perfold GROUP BY model_id
+"""
+
+
+@register("lineitem_cv_metrics", "E8 M14 R4", LINEITEM_CV_SQL)
+def lineitem_cv_metrics(spark, sf_dir):
+    """5-fold out-of-fold metrics of the closed-form candidates on lineitem."""
+    li = load_table(spark, sf_dir, "lineitem").select(*LI_KEYS, LI_LABEL, *LI_FEATURES)
+    train = split_frame(li, LI_KEYS, 0.8, 1)[0].where(LI_FILTER)
+    tr = train.withColumn("fold", kfold_col(LI_KEYS, K, 1))
+    fm = fit_fold_models(tr, LI_LABEL, LI_FEATURES, "fold", K)
+    summary = fold_summary(measure_cv(tr, fm, LI_LABEL, "fold"))
+    return rounded(summary, [c for c, t in summary.dtypes if t == "double"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.ids import hash_bucket, hash_bucket_sql, key_md5
+from ..functions.ids import hash_below, hash_below_sql, key_md5
 from ..functions.time import epoch_micros
 from ..operators.closed_form import models_frame
 from ..operators.measure import REGRESSION_METRICS
@@ -30,9 +30,9 @@ def _exp_name(df):
 
 EXPERIMENTS_SQL = f"""
 WITH ev AS (SELECT event_type || '-u' || CAST(user_id AS VARCHAR) AS name, ts,
-                   {hash_bucket_sql(['event_id'], 'exp')} AS b FROM events),
+                   {hash_below_sql(['event_id'], 'exp', 0.1)} AS b FROM events),
 existing AS (SELECT name, md5('existing|' || name) AS experiment_id, min(ts) AS created
-             FROM ev WHERE b < 1000 GROUP BY name),
+             FROM ev WHERE b GROUP BY name),
 requested AS (SELECT name, min(ts) AS created FROM ev GROUP BY name)
 SELECT name, experiment_id, epoch_us(created) AS created_us, false AS is_new FROM existing
 UNION ALL
@@ -45,8 +45,8 @@ FROM requested r ANTI JOIN existing e ON r.name = e.name
 def experiments_get_or_create(spark, sf_dir):
     """Experiments per (event type, user): keep existing ids, create the rest."""
     ev = load_table(spark, sf_dir, "events").select(
-        _exp_name(None).alias("name"), "ts", hash_bucket(["event_id"], "exp").alias("b"))
-    existing = (ev.where(F.col("b") < 1000).groupBy("name").agg(F.min("ts").alias("created"))
+        _exp_name(None).alias("name"), "ts", hash_below(["event_id"], "exp", 0.1).alias("b"))
+    existing = (ev.where(F.col("b")).groupBy("name").agg(F.min("ts").alias("created"))
                 .withColumn("experiment_id", F.md5(F.concat(F.lit("existing|"), F.col("name")))))
     requested = ev.groupBy("name").agg(F.min("ts").alias("created"))
     out = get_or_create_experiments(existing, requested)
@@ -154,22 +154,26 @@ def artifact_locations_q(spark, sf_dir):
 
 BUFFERED_SQL = f"""
 WITH p AS ({PARAMS_LOG_SQL}), m AS ({METRICS_LOG_SQL}), t AS ({TAGS_SQL})
-SELECT run_id, 'param' AS kind, key, value FROM p
-UNION ALL SELECT run_id, 'metric', key, CAST(value AS VARCHAR) FROM m
-UNION ALL SELECT run_id, 'tag', key, value FROM t
+SELECT run_id, 'param' AS kind, key, value, CAST(NULL AS DOUBLE) AS metric FROM p
+UNION ALL SELECT run_id, 'metric', key, CAST(NULL AS VARCHAR), value FROM m
+UNION ALL SELECT run_id, 'tag', key, value, CAST(NULL AS DOUBLE) FROM t
 """
 
 
 @register("buffered_log", "T9 T3 T4 T5", BUFFERED_SQL)
 def buffered_log(spark, sf_dir):
-    """Params, metrics and tags of one trial appended in a single write, read back."""
+    """Params, metrics and tags of one trial appended in a single write, read back.
+
+    One typed log table: string values for params and tags, doubles for
+    metrics (no number is turned into text).
+    """
     t, models, rs = trial_runs(spark, sf_dir)
     frames = [params_long(rs, models).withColumn("kind", F.lit("param")),
               metrics_long(rs, t.board, REGRESSION_METRICS)
-              .withColumn("value", F.col("value").cast("string")).withColumn("kind", F.lit("metric")),
+              .withColumnRenamed("value", "metric").withColumn("kind", F.lit("metric")),
               tags_long(rs, TAGS).withColumn("kind", F.lit("tag"))]
     path = append_log(frames, scratch_path(spark, "tracking-log"))
-    return spark.read.parquet(path).select("run_id", "kind", "key", "value")
+    return spark.read.parquet(path).select("run_id", "kind", "key", "value", "metric")
 
 
 REGISTRY_SQL = """

@@ -38,6 +38,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("MODELYARD_DRIVER_MEMORY", "16g"))
+        # Wide aggregates (many models x metrics) generate large methods;
+        # let the JIT compile them instead of interpreting.
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -19,9 +19,31 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+SPREAD_MIN_BYTES = 4 << 20
+
+
+def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Spread a scan with fewer splits than task slots over all slots.
+
+    A parquet file is split by row group; a file written as one row group is
+    read by one task however large it is.  When such a scan is bigger than
+    ``min_bytes`` it is repartitioned (round-robin) to the cluster's
+    parallelism.  Filters and column pruning still reach the scan: Catalyst
+    pushes them below the repartition.  A large table on a cluster already
+    has more splits than slots, so there this is a no-op.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()  # noqa: SLF001
+    if int(str(size)) < min_bytes:
+        return df
+    return df.repartition(slots)
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Load a named dataset (``get_data(name)``) as a parquet scan."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    return spread(spark.read.parquet(table_path(sf_dir, name)))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
