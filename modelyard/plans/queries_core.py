@@ -197,7 +197,7 @@ def session_sql(spark, sf_dir):
 
 # --- Pipelines: fit, replay the filter at predict time, save and reload -----
 
-def part_pipeline(spark, sf_dir):
+def part_fitted_stages(spark, sf_dir):
     """Pipeline [filter stage, least squares on p_partkey] fitted on the train rows."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import SQLTransformer
@@ -216,10 +216,10 @@ FROM hold, coef WHERE {PART_FILTER}
 """
 
 
-@register("pipeline_predictions", "M1 M8 P1", PIPELINE_PRED_SQL)
-def pipeline_predictions(spark, sf_dir):
+@register("fitted_stage_predictions", "M1 M8 P1", PIPELINE_PRED_SQL)
+def fitted_stage_predictions(spark, sf_dir):
     """Fitted pipeline replayed on the hold-out: the filter drops low rows again."""
-    t, model = part_pipeline(spark, sf_dir)
+    t, model = part_fitted_stages(spark, sf_dir)
     out = model.transform(t.holdout)
     return out.select("p_partkey", "p_retailprice", round_sig("prediction").alias("prediction"))
 
@@ -229,7 +229,7 @@ def model_reload(spark, sf_dir):
     """The fitted pipeline saved to the shared folder, loaded back, and scored."""
     from pyspark.ml import PipelineModel
     from ..session import scratch_path
-    t, model = part_pipeline(spark, sf_dir)
+    t, model = part_fitted_stages(spark, sf_dir)
     path = scratch_path(spark, "pipeline-model")
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)

@@ -9,7 +9,7 @@ from ..registry import register
 from ..session import scratch_path
 from ..sources.tables import load_table, table_path
 from ..streaming.sinks import drain_to_table, file_stream, score_stream
-from .queries_core import PART_FILTER, _part_split_cte, part_pipeline
+from .queries_core import PART_FILTER, _part_split_cte, part_fitted_stages
 
 
 @register("metric_stream_drain", "ST1 T9",
@@ -33,7 +33,7 @@ FROM part, coef WHERE {PART_FILTER}
 @register("stream_scoring", "ST2 M8", STREAM_SCORE_SQL)
 def stream_scoring(spark, sf_dir):
     """The fitted pipeline (filter + least squares) scores part read as a stream."""
-    _, model = part_pipeline(spark, sf_dir)
+    _, model = part_fitted_stages(spark, sf_dir)
     schema = load_table(spark, sf_dir, "part").schema
     stream = file_stream(spark, table_path(sf_dir, "part"), schema)
     out = score_stream(stream, model, scratch_path(spark, "scored"),
