@@ -92,3 +92,16 @@ def fold_summary(per_fold: DataFrame, metrics: Sequence[str] = tuple(REGRESSION_
     for m in metrics:
         aggs += [F.avg(m).alias(f"{m}_mean"), F.stddev_pop(m).alias(f"{m}_sd")]
     return per_fold.groupBy(*by).agg(F.count(F.lit(1)).alias("folds"), *aggs)
+
+
+def present_only(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows whose ``cols`` are all present (a model detail that may be absent).
+
+    Optional per-model tables are empty frames rather than ``None``, so
+    callers can always union and filter them.
+    """
+    cond = None
+    for c in cols:
+        x = F.col(c).isNotNull()
+        cond = x if cond is None else cond & x
+    return df.where(cond) if cond is not None else df

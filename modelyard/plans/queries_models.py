@@ -313,3 +313,10 @@ def lineitem_cv_metrics(spark, sf_dir):
     fm = fit_fold_models(tr, LI_LABEL, LI_FEATURES, "fold", K)
     summary = fold_summary(measure_cv(tr, fm, LI_LABEL, "fold"))
     return rounded(summary, [c for c, t in summary.dtypes if t == "double"])
+
+
+@register("present_slopes", "P15 M14", f"SELECT * FROM ({FOLD_MODELS_SQL}) WHERE slope IS NOT NULL")
+def present_slopes(spark, sf_dir):
+    """Fold models that have a slope; the constant model has none and is left out."""
+    from ..operators.measure import present_only
+    return present_only(fold_models(spark, sf_dir), ["slope"])
