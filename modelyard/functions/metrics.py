@@ -18,31 +18,70 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def regression_aggs(y: str | Column, p: str | Column, suffix: str = "") -> list[Column]:
-    """n, mse, rmse, mae, rmsle, r2, mean_residual_deviance.
+def regression_inputs(y: str | Column, p: str | Column, suffix: str = "") -> list[Column]:
+    """Per-row inputs of the regression metrics, as columns to project first.
+
+    ``_e``: error (null unless both sides present), ``_l``: log1p error,
+    ``_m``: min(label, prediction) for the RMSLE domain check, ``_yv``: the
+    label on rows that have a prediction.  Aggregating plain columns keeps
+    the plan small when many models are measured at once.
+    """
+    y, p = _c(y), _c(p)
+    valid = y.isNotNull() & p.isNotNull()
+    s = suffix
+    return [F.when(valid, y - p).alias(f"_e{s}"),
+            F.when(valid & (F.least(y, p) > -1.0), F.log1p(y) - F.log1p(p)).alias(f"_l{s}"),
+            F.when(valid, F.least(y, p)).alias(f"_m{s}"),
+            F.when(valid, y).alias(f"_yv{s}")]
+
+
+def regression_aggs_of_inputs(suffix: str = "", out_suffix: str | None = None) -> list[Column]:
+    """n, mse, rmse, mae, rmsle, r2, mean_residual_deviance over projected inputs.
 
     RMSLE is null when any label or prediction is <= -1 (log1p undefined);
     R2 is null when the label is constant.  Gaussian deviance equals MSE.
     """
+    s = suffix
+    o = suffix if out_suffix is None else out_suffix
+    e, l_, m, yv = F.col(f"_e{s}"), F.col(f"_l{s}"), F.col(f"_m{s}"), F.col(f"_yv{s}")
+    mse = F.avg(e * e)
+    var = F.var_pop(yv)
+    return [
+        F.count(e).alias(f"n{o}"),
+        mse.alias(f"mse{o}"),
+        F.sqrt(mse).alias(f"rmse{o}"),
+        F.avg(F.abs(e)).alias(f"mae{o}"),
+        F.when(F.min(m) > F.lit(-1.0), F.sqrt(F.avg(l_ * l_))).alias(f"rmsle{o}"),
+        # The ratio is rounded to 12 digits first: for a model whose MSE
+        # equals the label variance (the mean on its own rows) 1 - ratio
+        # would otherwise be floating-point noise.
+        (F.lit(1.0) - round_sig(F.try_divide(mse, F.when(var > 0, var)), 12)).alias(f"r2{o}"),
+        mse.alias(f"mean_residual_deviance{o}"),
+    ]
+
+
+def regression_aggs(y: str | Column, p: str | Column, suffix: str = "") -> list[Column]:
+    """Regression metrics as aggregates over (label, prediction) expressions.
+
+    For many models at once, project ``regression_inputs`` first and
+    aggregate with ``regression_aggs_of_inputs`` (see ``closed_form``).
+    """
     y, p = _c(y), _c(p)
     valid = y.isNotNull() & p.isNotNull()
     err = F.when(valid, y - p)
+    lerr = F.when(valid & (F.least(y, p) > -1.0), F.log1p(y) - F.log1p(p))
     mse = F.avg(err * err)
-    lerr = F.when(valid, F.log1p(y) - F.log1p(p))
-    ok_log = F.min(F.when(valid, F.least(y, p))) > F.lit(-1.0)
     yv = F.when(valid, y)
+    var = F.var_pop(yv)
     s = suffix
     return [
         F.count(err).alias(f"n{s}"),
         mse.alias(f"mse{s}"),
         F.sqrt(mse).alias(f"rmse{s}"),
         F.avg(F.abs(err)).alias(f"mae{s}"),
-        F.when(ok_log, F.sqrt(F.avg(lerr * lerr))).alias(f"rmsle{s}"),
-        # The ratio is rounded to 12 digits first: for a model whose MSE
-        # equals the label variance (the mean on its own rows) 1 - ratio
-        # would otherwise be floating-point noise.
-        (F.lit(1.0) - round_sig(F.try_divide(mse, F.when(F.var_pop(yv) > 0, F.var_pop(yv))), 12))
-        .alias(f"r2{s}"),
+        F.when(F.min(F.when(valid, F.least(y, p))) > F.lit(-1.0), F.sqrt(F.avg(lerr * lerr)))
+        .alias(f"rmsle{s}"),
+        (F.lit(1.0) - round_sig(F.try_divide(mse, F.when(var > 0, var)), 12)).alias(f"r2{s}"),
         mse.alias(f"mean_residual_deviance{s}"),
     ]
 

@@ -50,6 +50,44 @@ def score_category_rate(df: DataFrame, rates: DataFrame, cat: str, fallback: flo
             .drop("_rate"))
 
 
+def fit_category_rates(train: DataFrame, label: str, cat: str, positive=1,
+                       max_cells: int = 100_000) -> dict:
+    """Majority class, overall positive rate and per-category rates in one job.
+
+    One ``groupBy(cat, label).count()`` (partial aggregation keeps it at
+    categories x classes rows, checked before it is collected).
+    """
+    rows = (train.groupBy(cat, label).agg(F.count(F.lit(1)).alias("n"))
+            .limit(max_cells + 1).collect())
+    if len(rows) > max_cells:
+        raise ValueError(f"more than {max_cells} (category, class) cells")
+    by_class: dict = {}
+    by_cat: dict = {}
+    for r in rows:
+        by_class[r[label]] = by_class.get(r[label], 0) + r["n"]
+        tot, pos = by_cat.get(r[cat], (0, 0))
+        by_cat[r[cat]] = (tot + r["n"], pos + (r["n"] if r[label] == positive else 0))
+    n = sum(by_class.values())
+    mode = min(by_class, key=lambda c: (-by_class[c], c)) if by_class else None
+    overall = by_class.get(positive, 0) / n if n else None
+    rates = {c: p / t for c, (t, p) in by_cat.items() if c is not None}
+    return {"mode": mode, "overall": overall, "rates": rates, "n": n}
+
+
+def score_category_map(df: DataFrame, cat: str, rates: dict, fallback: float,
+                       threshold: float = 0.5) -> DataFrame:
+    """Score = the category's positive rate, looked up in a literal map (no join)."""
+    if rates:
+        m = F.create_map(*[x for k, v in sorted(rates.items())
+                           for x in (F.lit(k), F.lit(float(v)))])
+        looked = F.try_element_at(m, F.col(cat))
+    else:
+        looked = F.lit(None).cast("double")
+    score = F.coalesce(looked, F.lit(float(fallback)))
+    return (df.withColumn("score", score)
+            .withColumn("prediction", (F.col("score") >= F.lit(threshold)).cast("int")))
+
+
 def roc_counts(pred: DataFrame, label: str = "label", score: str = "score",
                by: Sequence[str] = ("model_id",), positive=1) -> DataFrame:
     """Positives and negatives per (by, distinct score)."""
@@ -101,13 +139,13 @@ def fit_centroids(df: DataFrame, vec: str, label: str,
     """
     cells = (df.select(label, F.posexplode(vec).alias("pos", "x"))
              .groupBy(label, "pos").agg(F.avg(F.col("x").cast("double")).alias("v")))
-    n = cells.count()
-    if n > max_cells:
-        raise ValueError(f"{n} centroid cells exceed {max_cells}")
-    rows = (cells.groupBy(label)
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("c"))
-            .orderBy(label).collect())
-    return [(r[label], [cell["v"] for cell in r["c"]]) for r in rows]
+    got = cells.limit(max_cells + 1).collect()
+    if len(got) > max_cells:
+        raise ValueError(f"more than {max_cells} centroid cells")
+    cents: dict = {}
+    for r in got:
+        cents.setdefault(r[label], {})[r["pos"]] = r["v"]
+    return [(lbl, [c[i] for i in sorted(c)]) for lbl, c in sorted(cents.items())]
 
 
 def centroid_distances(vec: str | Column, centroids) -> Column:

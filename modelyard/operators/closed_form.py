@@ -18,7 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import REGRESSION_METRICS, regression_aggs
+from ..functions.metrics import (REGRESSION_METRICS, regression_aggs_of_inputs,
+                                 regression_inputs)
 
 
 @dataclass(frozen=True)
@@ -90,18 +91,20 @@ def score_long(df: DataFrame, models: Sequence[LinearModel], label: str,
 def measure_wide(df: DataFrame, models: Sequence[LinearModel], label: str) -> DataFrame:
     """All regression metrics of all models in one aggregate, one row per model.
 
-    Predictions are projected into columns first, so the aggregate refers to
-    columns rather than repeating each model's expression per metric (small
-    generated code, compiled once).  The aggregate has no grouping key: each
-    task keeps one partial row and the final merge sees one row per task.
-    The wide row is turned into one row per model with ``inline``.
+    Predictions and per-row errors are projected into columns first, so the
+    aggregate refers to plain columns (a small plan, compiled once).  The
+    aggregate has no grouping key: each task keeps one partial row and the
+    final merge sees one row per task.  ``inline`` turns the wide row into
+    one row per model.
     """
-    scored = df.select(F.col(label).cast("double").alias("_y"),
-                       *[m.predict().alias(f"_p{i}") for i, m in enumerate(models)])
+    y = F.col(label).cast("double")
+    scored = df.select(y.alias("_y"), *[m.predict().alias(f"_p{i}") for i, m in enumerate(models)])
+    inputs = scored.select(*[c for i, _ in enumerate(models)
+                             for c in regression_inputs("_y", f"_p{i}", f"_{i}")])
     aggs: list[Column] = []
     for i, _ in enumerate(models):
-        aggs += regression_aggs("_y", f"_p{i}", suffix=f"__{i}")
-    wide = scored.agg(*aggs)
+        aggs += regression_aggs_of_inputs(f"_{i}", f"__{i}")
+    wide = inputs.agg(*aggs)
     cols = ["n", *REGRESSION_METRICS]
     rows = []
     for i, m in enumerate(models):
@@ -120,60 +123,111 @@ def models_frame(spark, models: Sequence[LinearModel], artifact_root: str | None
     return spark.createDataFrame(rows, schema)
 
 
+def _merge(a: tuple, b: tuple) -> tuple:
+    """Pairwise merge of centred statistics (n, mean_x, mean_y, m2x, cxy)."""
+    na, mxa, mya, m2a, ca = a
+    nb, mxb, myb, m2b, cb = b
+    n = na + nb
+    if na == 0:
+        return b
+    if nb == 0:
+        return a
+    dx, dy = mxb - mxa, myb - mya
+    return (n, mxa + dx * nb / n, mya + dy * nb / n,
+            m2a + m2b + dx * dx * na * nb / n, ca + cb + dx * dy * na * nb / n)
+
+
 def fit_fold_models(train: DataFrame, label: str, features: Sequence[str], fold_col: str,
                     k: int) -> dict[int, list[LinearModel]]:
     """Closed-form candidates fitted once per fold, each on the other k-1 folds.
 
-    Each row is generated once for every fold it trains (``explode`` of the
-    other fold numbers) and one grouped aggregate fits all k x models: the
-    same formulas as the single fit, in one pass, k partial rows per task.
+    One ``groupBy(fold)`` pass collects centred sufficient statistics per
+    fold (count, means, population variance and covariance: Spark's stable
+    one-pass aggregates), k small rows.  The statistics of the other k-1
+    folds are merged with the pairwise update of Chan et al., which equals
+    a direct fit on those rows without generating any row twice.
     """
     y = F.col(label).cast("double")
-    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: f != F.col(fold_col))
-    aggs = [F.avg(y).alias("_mean"), F.count(y).alias("_n")]
+    aggs = [F.count(y).alias("_ny"), F.avg(y).alias("_my")]
     for i, f in enumerate(features):
         x = F.col(f).cast("double")
-        aggs += [F.regr_slope(y, x).alias(f"_b{i}"), F.regr_intercept(y, x).alias(f"_a{i}")]
-    rows = (train.select(label, *features, F.explode(others).alias("_cv_fold"))
-            .groupBy("_cv_fold").agg(*aggs).collect())
+        ok = x.isNotNull() & y.isNotNull()
+        xv, yv = F.when(ok, x), F.when(ok, y)
+        aggs += [F.count(xv).alias(f"_n{i}"), F.avg(xv).alias(f"_mx{i}"), F.avg(yv).alias(f"_my{i}"),
+                 (F.var_pop(xv) * F.count(xv)).alias(f"_m2{i}"),
+                 (F.covar_pop(xv, yv) * F.count(xv)).alias(f"_c{i}")]
+    per = {int(r[fold_col]): r for r in train.groupBy(fold_col).agg(*aggs).collect()
+           if r[fold_col] is not None}
     out: dict[int, list[LinearModel]] = {}
-    for r in rows:
-        fold = int(r["_cv_fold"])
-        common = {"label": label, "train_rows": str(r["_n"]), "fold": str(fold)}
-        ms = [LinearModel("mean", "constant_mean", r["_mean"], (), {**common, "model_id": "mean"})]
+    for fold in range(k):
+        others = [r for f, r in per.items() if f != fold]
+        ny = sum(r["_ny"] for r in others)
+        my = (sum(r["_ny"] * r["_my"] for r in others if r["_ny"]) / ny) if ny else None
+        common = {"label": label, "train_rows": str(ny), "fold": str(fold)}
+        ms = [LinearModel("mean", "constant_mean", my, (), {**common, "model_id": "mean"})]
         for i, f in enumerate(features):
-            b, a = r[f"_b{i}"], r[f"_a{i}"]
+            st = (0, 0.0, 0.0, 0.0, 0.0)
+            for r in others:
+                if r[f"_n{i}"]:
+                    st = _merge(st, (r[f"_n{i}"], r[f"_mx{i}"], r[f"_my{i}"], r[f"_m2{i}"], r[f"_c{i}"]))
+            n, mx, myx, m2, c = st
             mid = f"lsq_{f}"
-            coefs = () if b is None else ((f, b),)
-            ms.append(LinearModel(mid, "least_squares", r["_mean"] if b is None else a, coefs,
-                                  {**common, "model_id": mid, "feature": f}))
+            params = {**common, "model_id": mid, "feature": f}
+            if n >= 2 and m2 > 0:
+                b = c / m2
+                ms.append(LinearModel(mid, "least_squares", myx - b * mx, ((f, b),), params))
+            else:
+                ms.append(LinearModel(mid, "least_squares", my, (), params))
         out[fold] = ms
     return out
 
 
-def cv_prediction(fold_models: dict[int, list[LinearModel]], index: int, fold_col: str) -> Column:
-    """Prediction of candidate ``index`` by the model that did not see the row's fold."""
-    expr = F.lit(None).cast("double")
-    for fold in sorted(fold_models, reverse=True):
-        expr = F.when(F.col(fold_col) == fold, fold_models[fold][index].predict()).otherwise(expr)
-    return expr
+def fold_coefficients(spark, fold_models: dict[int, list[LinearModel]]) -> DataFrame:
+    """k-row table: fold, then intercept and slope of every candidate."""
+    first = next(iter(fold_models.values()))
+    feats = sorted({n for m in first for n, _ in m.coefficients} |
+                   {f for ms in fold_models.values() for m in ms for f, _ in m.coefficients})
+    rows, fields = [], ["fold int"]
+    for i, _ in enumerate(first):
+        fields.append(f"_a{i} double")
+        fields += [f"_b{i}_{j} double" for j, _ in enumerate(feats)]
+    for fold, ms in sorted(fold_models.items()):
+        row = [fold]
+        for m in ms:
+            coefs = dict(m.coefficients)
+            row.append(float(m.intercept) if m.intercept is not None else None)
+            row += [float(coefs.get(f, 0.0)) for f in feats]
+        rows.append(tuple(row))
+    return spark.createDataFrame(rows, ", ".join(fields)), feats
 
 
 def measure_cv(train: DataFrame, fold_models: dict[int, list[LinearModel]], label: str,
                fold_col: str) -> DataFrame:
     """Regression metrics per (model_id, fold) on out-of-fold predictions.
 
-    Out-of-fold predictions are projected into columns, then one grouped
-    aggregate over the k folds measures every candidate at once.
+    Each row is joined to the coefficients of the models that did not see
+    its fold: a k-row table, broadcast (its size is k, known).  Predictions
+    and errors are then projected and one grouped aggregate over the k folds
+    measures every candidate at once.
     """
+    from .broadcast import checked_broadcast
     first = next(iter(fold_models.values()))
-    scored = train.select(F.col(fold_col), F.col(label).cast("double").alias("_y"),
-                          *[cv_prediction(fold_models, i, fold_col).alias(f"_p{i}")
-                            for i, _ in enumerate(first)])
+    coef, feats = fold_coefficients(train.sparkSession, fold_models)
+    j = train.join(checked_broadcast(coef, known_rows=len(fold_models)),
+                   train[fold_col] == coef["fold"]).drop(coef["fold"])
+    preds = []
+    for i, _ in enumerate(first):
+        p = F.col(f"_a{i}")
+        for jx, f in enumerate(feats):
+            p = p + F.col(f"_b{i}_{jx}") * F.col(f).cast("double")
+        preds.append(p.alias(f"_p{i}"))
+    scored = j.select(F.col(fold_col), F.col(label).cast("double").alias("_y"), *preds)
+    inputs = scored.select(fold_col, *[c for i, _ in enumerate(first)
+                                       for c in regression_inputs("_y", f"_p{i}", f"_{i}")])
     aggs: list[Column] = []
     for i, _ in enumerate(first):
-        aggs += regression_aggs("_y", f"_p{i}", suffix=f"__{i}")
-    wide = scored.groupBy(fold_col).agg(*aggs)
+        aggs += regression_aggs_of_inputs(f"_{i}", f"__{i}")
+    wide = inputs.groupBy(fold_col).agg(*aggs)
     cols = ["n", *REGRESSION_METRICS]
     rows = [F.struct(F.lit(m.model_id).alias("model_id"), F.col(fold_col).alias("fold"),
                      *[F.col(f"{c}__{i}").alias(c) for c in cols]) for i, m in enumerate(first)]

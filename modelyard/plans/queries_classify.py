@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ..functions.ids import key_md5_sql
 from ..functions.metrics import accuracy_agg, log_loss_agg
 from ..functions.numeric import round_sig, round_sig_sql
-from ..operators.classify import (auc_from_roc, category_rate, fit_centroids, majority_class,
-                                  predict_centroids, roc_points, score_category_rate,
+from ..operators.classify import (auc_from_roc, fit_category_rates, fit_centroids,
+                                  predict_centroids, roc_points, score_category_map,
                                   true_class_probability)
 from ..operators.measure import binary_metrics, confusion_matrix, rounded
 from ..operators.split import stratified_holdout
@@ -36,14 +36,13 @@ def class_split(spark, sf_dir):
 def baseline_predictions(spark, sf_dir):
     """Hold-out predictions of the majority-class and per-language-rate models."""
     train, hold = class_split(spark, sf_dir)
-    mode = majority_class(train, "quality")
-    rates = category_rate(train, "quality", "lang")
-    overall = train.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
+    fit = fit_category_rates(train, "quality", "lang")
+    mode = fit["mode"]
     maj = hold.select("doc_id", F.col("quality").alias("label"),
                       F.lit("majority").alias("model_id"),
                       F.lit(float(mode == 1)).alias("score"),
                       F.lit(int(mode)).alias("prediction"))
-    lr = score_category_rate(hold, rates, "lang", overall).select(
+    lr = score_category_map(hold, "lang", fit["rates"], fit["overall"]).select(
         "doc_id", F.col("quality").alias("label"), F.lit("lang_rate").alias("model_id"),
         "score", "prediction")
     return maj.unionByName(lr)
