@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .numeric import round_sig
+from .numeric import round_sig, round_sig_sql
 
 
 def _c(x: str | Column) -> Column:
@@ -60,6 +60,30 @@ def regression_aggs_of_inputs(suffix: str = "", out_suffix: str | None = None) -
     ]
 
 
+def regression_inputs_sql(y: str, p: str, suffix: str = "") -> list[str]:
+    """SQL text of :func:`regression_inputs` (one ``selectExpr`` for all models)."""
+    s = suffix
+    valid = f"({y} IS NOT NULL AND {p} IS NOT NULL)"
+    return [f"CASE WHEN {valid} THEN {y} - {p} END AS _e{s}",
+            f"CASE WHEN {valid} AND least({y}, {p}) > -1.0D THEN log1p({y}) - log1p({p}) END AS _l{s}",
+            f"CASE WHEN {valid} THEN least({y}, {p}) END AS _m{s}",
+            f"CASE WHEN {valid} THEN {y} END AS _yv{s}"]
+
+
+def regression_aggs_sql(suffix: str = "", out_suffix: str | None = None) -> list[str]:
+    """SQL text of :func:`regression_aggs_of_inputs`."""
+    s = suffix
+    o = suffix if out_suffix is None else out_suffix
+    mse = f"avg(_e{s} * _e{s})"
+    var = f"var_pop(_yv{s})"
+    ratio = f"try_divide({mse}, CASE WHEN {var} > 0 THEN {var} END)"
+    return [f"count(_e{s}) AS n{o}", f"{mse} AS mse{o}", f"sqrt({mse}) AS rmse{o}",
+            f"avg(abs(_e{s})) AS mae{o}",
+            f"CASE WHEN min(_m{s}) > -1.0D THEN sqrt(avg(_l{s} * _l{s})) END AS rmsle{o}",
+            f"1.0D - {round_sig_sql(ratio, 12)} AS r2{o}",
+            f"{mse} AS mean_residual_deviance{o}"]
+
+
 def regression_aggs(y: str | Column, p: str | Column, suffix: str = "") -> list[Column]:
     """Regression metrics as aggregates over (label, prediction) expressions.
 

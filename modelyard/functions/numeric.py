@@ -36,6 +36,18 @@ def round_sig_sql(expr: str, digits: int = 9) -> str:
             f"ELSE round(({expr}) / pow(10.0, -{k}), 0) * pow(10.0, -{k}) END)")
 
 
+def quote(name: str) -> str:
+    """Backtick-quote a column name for Spark SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def double_literal(v: float | None) -> str:
+    """Spark SQL text of a double literal (exact round trip of the value)."""
+    if v is None:
+        return "CAST(NULL AS DOUBLE)"
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
 def to_float32(c: Column | str) -> Column:
     """``tf.cast(x, float32)``; ``try_cast`` so dirty input gives null."""
     x = F.col(c) if isinstance(c, str) else c

@@ -19,7 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import (REGRESSION_METRICS, regression_aggs_of_inputs,
-                                 regression_inputs)
+                                 regression_aggs_sql, regression_inputs,
+                                 regression_inputs_sql)
+from ..functions.numeric import double_literal, quote
 
 
 @dataclass(frozen=True)
@@ -40,9 +42,10 @@ class LinearModel:
         return expr
 
     def predict_sql(self) -> str:
-        out = repr(float(self.intercept)) if self.intercept is not None else "NULL"
+        """Spark SQL text of :meth:`predict` (one parse instead of many calls)."""
+        out = double_literal(self.intercept)
         for name, coef in self.coefficients:
-            out += f" + {float(coef)!r} * CAST({name} AS DOUBLE)"
+            out += f" + {double_literal(coef)} * CAST({quote(name)} AS DOUBLE)"
         return out
 
 
@@ -88,29 +91,33 @@ def score_long(df: DataFrame, models: Sequence[LinearModel], label: str,
                       F.inline(arr)))
 
 
+def _per_model_rows(models: Sequence[LinearModel], extra: str = "") -> str:
+    cols = ["n", *REGRESSION_METRICS]
+    structs = []
+    for i, m in enumerate(models):
+        fields = ", ".join(f"'{c}', {c}__{i}" for c in cols)
+        mid = m.model_id.replace("'", "''")
+        structs.append(f"named_struct('model_id', '{mid}'{extra}, {fields})")
+    return f"inline(array({', '.join(structs)}))"
+
+
 def measure_wide(df: DataFrame, models: Sequence[LinearModel], label: str) -> DataFrame:
     """All regression metrics of all models in one aggregate, one row per model.
 
     Predictions and per-row errors are projected into columns first, so the
-    aggregate refers to plain columns (a small plan, compiled once).  The
-    aggregate has no grouping key: each task keeps one partial row and the
-    final merge sees one row per task.  ``inline`` turns the wide row into
-    one row per model.
+    aggregate refers to plain columns (a small plan, compiled once); the
+    expressions are written as SQL text, one parse per step instead of
+    thousands of driver round trips.  The aggregate has no grouping key:
+    each task keeps one partial row and the final merge sees one row per
+    task.  ``inline`` turns the wide row into one row per model.
     """
-    y = F.col(label).cast("double")
-    scored = df.select(y.alias("_y"), *[m.predict().alias(f"_p{i}") for i, m in enumerate(models)])
-    inputs = scored.select(*[c for i, _ in enumerate(models)
-                             for c in regression_inputs("_y", f"_p{i}", f"_{i}")])
-    aggs: list[Column] = []
-    for i, _ in enumerate(models):
-        aggs += regression_aggs_of_inputs(f"_{i}", f"__{i}")
-    wide = inputs.agg(*aggs)
-    cols = ["n", *REGRESSION_METRICS]
-    rows = []
-    for i, m in enumerate(models):
-        rows.append(F.struct(F.lit(m.model_id).alias("model_id"),
-                             *[F.col(f"{c}__{i}").alias(c) for c in cols]))
-    return wide.select(F.inline(F.array(*rows)))
+    scored = df.selectExpr(f"CAST({quote(label)} AS DOUBLE) AS _y",
+                           *[f"{m.predict_sql()} AS _p{i}" for i, m in enumerate(models)])
+    inputs = scored.selectExpr(*[c for i, _ in enumerate(models)
+                                 for c in regression_inputs_sql("_y", f"_p{i}", f"_{i}")])
+    wide = inputs.selectExpr(*[a for i, _ in enumerate(models)
+                               for a in regression_aggs_sql(f"_{i}", f"__{i}")])
+    return wide.selectExpr(_per_model_rows(models))
 
 
 def models_frame(spark, models: Sequence[LinearModel], artifact_root: str | None = None) -> DataFrame:
@@ -217,21 +224,14 @@ def measure_cv(train: DataFrame, fold_models: dict[int, list[LinearModel]], labe
                    train[fold_col] == coef["fold"]).drop(coef["fold"])
     preds = []
     for i, _ in enumerate(first):
-        p = F.col(f"_a{i}")
-        for jx, f in enumerate(feats):
-            p = p + F.col(f"_b{i}_{jx}") * F.col(f).cast("double")
-        preds.append(p.alias(f"_p{i}"))
-    scored = j.select(F.col(fold_col), F.col(label).cast("double").alias("_y"), *preds)
-    inputs = scored.select(fold_col, *[c for i, _ in enumerate(first)
-                                       for c in regression_inputs("_y", f"_p{i}", f"_{i}")])
-    aggs: list[Column] = []
-    for i, _ in enumerate(first):
-        aggs += regression_aggs_of_inputs(f"_{i}", f"__{i}")
+        terms = [f"_a{i}"] + [f"_b{i}_{jx} * CAST({quote(f)} AS DOUBLE)" for jx, f in enumerate(feats)]
+        preds.append(f"{' + '.join(terms)} AS _p{i}")
+    scored = j.selectExpr(quote(fold_col), f"CAST({quote(label)} AS DOUBLE) AS _y", *preds)
+    inputs = scored.selectExpr(quote(fold_col), *[c for i, _ in enumerate(first)
+                                                  for c in regression_inputs_sql("_y", f"_p{i}", f"_{i}")])
+    aggs = [F.expr(a) for i, _ in enumerate(first) for a in regression_aggs_sql(f"_{i}", f"__{i}")]
     wide = inputs.groupBy(fold_col).agg(*aggs)
-    cols = ["n", *REGRESSION_METRICS]
-    rows = [F.struct(F.lit(m.model_id).alias("model_id"), F.col(fold_col).alias("fold"),
-                     *[F.col(f"{c}__{i}").alias(c) for c in cols]) for i, m in enumerate(first)]
-    return wide.select(F.inline(F.array(*rows)))
+    return wide.selectExpr(_per_model_rows(first, extra=f", 'fold', {quote(fold_col)}"))
 
 
 def coefficients_frame(train: DataFrame, models: Sequence[LinearModel]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import (REGRESSION_METRICS, binary_grid, confusion_aggs,
                                  regression_aggs)
-from ..functions.numeric import round_sig
+from ..functions.numeric import quote, round_sig, round_sig_sql
 
 # Metric registry (id, display name, greater is better, input).
 METRIC_REGISTRY = [
@@ -47,8 +47,10 @@ def regression_metrics(pred: DataFrame, by: Sequence[str] = ("model_id",),
 
 
 def rounded(df: DataFrame, cols: Sequence[str], digits: int = 9) -> DataFrame:
-    return df.select(*[round_sig(c, digits).alias(c) if c in cols else F.col(c)
-                       for c in df.columns])
+    """Round ``cols`` to ``digits`` significant digits (one SQL projection)."""
+    keep = set(cols)
+    return df.selectExpr(*[f"{round_sig_sql(quote(c), digits)} AS {quote(c)}" if c in keep
+                           else quote(c) for c in df.columns])
 
 
 def leaderboard(metrics: DataFrame, sort_metric: str = "rmse", ascending: bool | None = None,
@@ -62,9 +64,10 @@ def leaderboard(metrics: DataFrame, sort_metric: str = "rmse", ascending: bool |
         ascending = not {m[0]: m[2] for m in METRIC_REGISTRY}.get(sort_metric, False)
     num = [c for c, t in metrics.dtypes if t == "double"]
     r = rounded(metrics, num, digits)
-    key = F.col(sort_metric).asc_nulls_last() if ascending else F.col(sort_metric).desc_nulls_last()
+    direction = "ASC" if ascending else "DESC"
     # Window over the per-model aggregate: one row per model.
-    return r.withColumn("rank", F.row_number().over(Window.orderBy(key, F.col("model_id"))))
+    return r.selectExpr("*", f"row_number() OVER (ORDER BY {quote(sort_metric)} {direction} "
+                             f"NULLS LAST, model_id) AS rank")
 
 
 def best_n(board: DataFrame, n: int) -> DataFrame:

@@ -8,18 +8,21 @@ are never written here.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from ..functions.numeric import quote
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-SPREAD_MIN_BYTES = 4 << 20
+SPREAD_MIN_BYTES = int(os.environ.get("MODELYARD_SPREAD_MIN_BYTES", 4 << 20))
 
 
 def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
@@ -38,7 +41,7 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()  # noqa: SLF001
     if int(str(size)) < min_bytes:
         return df
-    return df.repartition(slots)
+    return df.repartition(slots, *[F.col(quote(c)) for c in df.columns])
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
