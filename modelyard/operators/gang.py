@@ -69,9 +69,16 @@ def _chunk_stats(x: str, y: str, group_cols: Sequence[str]):
 
 
 def grouped_least_squares(df: DataFrame, group_cols: Sequence[str], x: str, y: str,
-                          salt_buckets: int = 16) -> DataFrame:
-    """Least squares ``y ~ a + b x`` per group, fitted in pandas per salted chunk."""
+                          salt_buckets: int | None = None) -> DataFrame:
+    """Least squares ``y ~ a + b x`` per group, fitted in pandas per salted chunk.
+
+    ``salt_buckets`` defaults to the number of input splits (at least 16), so
+    a group holding even a third of all rows is cut into chunks no larger
+    than about one input split each.
+    """
     group_cols = list(group_cols)
+    if salt_buckets is None:
+        salt_buckets = max(16, df.rdd.getNumPartitions())
     data = df.select(*group_cols, x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull())
     salted = data.withColumn("_salt", F.pmod(F.xxhash64(*group_cols, x, y), F.lit(salt_buckets)))
     types = dict(data.dtypes)

@@ -24,6 +24,8 @@ from .broadcast import checked_broadcast
 from ..session import ensure_checkpoint_dir
 
 _POS_MASK = (1 << 33) - 1
+# One summary row per (partition, group): enough for ~1M input splits.
+STATS_MAX_ROWS = 2_000_000
 
 
 def _names(cols: Sequence[str | Column]) -> list[Column]:
@@ -33,7 +35,10 @@ def _names(cols: Sequence[str | Column]) -> list[Column]:
 def _range_tag(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str | Column],
                num_partitions: int | None, checkpoint: bool) -> DataFrame:
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # As many range partitions as the input has splits (so partition size
+    # follows the data), and at least the configured shuffle partitions.
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              df.rdd.getNumPartitions())
     keys = _names(list(group_cols)) + _names(order_cols)
     tagged = (df.repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
@@ -67,8 +72,9 @@ def row_index(df: DataFrame, order_cols: Sequence[str | Column],
         stats = stats.withColumn(
             group_size, F.sum("_cnt").over(Window.partitionBy(*group_cols)))
     stats = stats.drop("_cnt")
-    # At most partitions + groups rows; counted before it is broadcast.
-    joined = tagged.join(checked_broadcast(stats), ["_pid", *group_cols])
+    # At most partitions + groups rows (tens of bytes each): collected and
+    # broadcast up to STATS_MAX_ROWS, else an ordinary join.
+    joined = tagged.join(checked_broadcast(stats, STATS_MAX_ROWS), ["_pid", *group_cols])
     return (joined.withColumn(out, F.col("_off") + F.col("_pos") - F.col("_first"))
             .drop("_pid", "_pos", "_first", "_off"))
 
@@ -94,7 +100,7 @@ def running_sum(df: DataFrame, value_cols: Sequence[str], order_cols: Sequence[s
     stats = stats.select("_pid", *group_cols, *[
         F.coalesce(F.sum(f"_tot_{v}").over(before), F.lit(0)).alias(f"_off_{v}")
         for v in value_cols])
-    joined = tagged.join(checked_broadcast(stats), ["_pid", *group_cols])
+    joined = tagged.join(checked_broadcast(stats, STATS_MAX_ROWS), ["_pid", *group_cols])
     out = joined.select(
         *[c for c in df.columns],
         *[(F.col(f"_off_{v}") + F.col(f"_loc_{v}")).alias(f"{prefix}{v}") for v in value_cols])
