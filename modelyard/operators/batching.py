@@ -14,15 +14,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ids import key_md5
+from ..functions.ids import key_hash, numeric_keys
 from .index import row_index
 
 
 def shuffled_index(df: DataFrame, keys: Sequence[str], seed: int = 1,
                    out: str = "order_idx") -> DataFrame:
-    """Repeatable full shuffle: index rows by (md5(seed|keys), keys)."""
+    """Repeatable full shuffle: index rows by (key hash, keys)."""
     h = "_shuffle_h"
-    return row_index(df.withColumn(h, key_md5(keys, seed)), [h, *keys], out=out).drop(h)
+    return row_index(df.withColumn(h, key_hash(keys, seed, numeric_keys(df, keys))), [h, *keys],
+                     out=out).drop(h)
 
 
 def random_order(df: DataFrame, seed: int = 1) -> DataFrame:

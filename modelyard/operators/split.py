@@ -4,8 +4,8 @@ Two families:
 
 * ``random_split`` is Spark's own ``randomSplit``: seeded, but the split
   changes when the input is partitioned differently.
-* ``hash_split`` / ``kfold`` derive the split from an md5 of the row key and
-  a seed.  They are plain projections (no shuffle), stable under any
+* ``hash_split`` / ``kfold`` derive the split from a seeded hash of the row
+  key (integer arithmetic for integral keys, md5 otherwise).  They are plain projections (no shuffle), stable under any
   partitioning, and the same rows land in the same split in DuckDB.
 
 Stratified variants either rank rows inside each class by the key hash (the
@@ -20,8 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ids import (hash_bucket_of, hash_bucket_of_sql, hash_prefix, hash_prefix_sql,
-                             key_md5)
+from ..functions.ids import (hash_bucket_of, hash_bucket_of_sql, key_hash, key_hash_sql,
+                             numeric_keys)
 from .index import row_index
 
 
@@ -41,41 +41,45 @@ def _cumulative(weights: Sequence[float]) -> list[float]:
     return out
 
 
-def hash_split_col(keys: Sequence[str | Column], weights: Sequence[float], seed: int = 1) -> Column:
+def hash_split_col(keys: Sequence[str | Column], weights: Sequence[float], seed: int = 1,
+                   numeric: bool = True) -> Column:
     """Split index 0..len(weights)-1 from the key hash (normalised weights)."""
-    return hash_bucket_of(hash_prefix(keys, seed), _cumulative(weights))
+    return hash_bucket_of(key_hash(keys, seed, numeric), _cumulative(weights))
 
 
-def hash_split_sql(keys: Sequence[str], weights: Sequence[float], seed: int = 1) -> str:
-    return hash_bucket_of_sql(hash_prefix_sql(keys, seed), _cumulative(weights))
+def hash_split_sql(keys: Sequence[str], weights: Sequence[float], seed: int = 1,
+                   numeric: bool = True) -> str:
+    return hash_bucket_of_sql(key_hash_sql(keys, seed, numeric), _cumulative(weights))
 
 
 def hash_split(df: DataFrame, keys: Sequence[str], weights: Sequence[float],
                seed: int = 1) -> list[DataFrame]:
     """Disjoint frames covering ``df``, one per weight; no shuffle."""
-    tagged = df.withColumn("_split", hash_split_col(keys, weights, seed))
+    tagged = df.withColumn("_split", hash_split_col(keys, weights, seed, numeric_keys(df, keys)))
     return [tagged.where(F.col("_split") == i).drop("_split") for i in range(len(weights))]
 
 
 def kfold_col(keys: Sequence[str | Column], k: int = 5, seed: int = 1,
-              salt: str = "fold") -> Column:
-    """Fold 0..k-1 from a hash salted apart from the train/hold-out split."""
-    return hash_bucket_of(hash_prefix(keys, f"{seed}{salt}"), [i / k for i in range(1, k)])
+              salt: str = "fold", numeric: bool = True) -> Column:
+    """Fold 0..k-1 from a hash seeded apart from the train/hold-out split."""
+    return hash_bucket_of(key_hash(keys, f"{seed}{salt}", numeric), [i / k for i in range(1, k)])
 
 
-def kfold_sql(keys: Sequence[str], k: int = 5, seed: int = 1, salt: str = "fold") -> str:
-    return hash_bucket_of_sql(hash_prefix_sql(keys, f"{seed}{salt}"), [i / k for i in range(1, k)])
+def kfold_sql(keys: Sequence[str], k: int = 5, seed: int = 1, salt: str = "fold",
+              numeric: bool = True) -> str:
+    return hash_bucket_of_sql(key_hash_sql(keys, f"{seed}{salt}", numeric),
+                              [i / k for i in range(1, k)])
 
 
 def class_rank(df: DataFrame, label: str, keys: Sequence[str], seed: int = 1,
                out: str = "class_rank", size: str = "class_n") -> DataFrame:
-    """0-based rank of each row inside its class, ordered by (md5(key), key).
+    """0-based rank of each row inside its class, ordered by (key hash, key).
 
     Uses the distributed row index, so a class holding most rows is still cut
     over many tasks.
     """
     h = "_h"
-    ranked = row_index(df.withColumn(h, key_md5(keys, seed)), [h, *keys],
+    ranked = row_index(df.withColumn(h, key_hash(keys, seed, numeric_keys(df, keys))), [h, *keys],
                        group_cols=[label], out=out, group_size=size)
     return ranked.drop(h)
 
@@ -89,7 +93,8 @@ def stratified_holdout(df: DataFrame, label: str, keys: Sequence[str],
     (in hash order) train.  ``hash``: the plain hash split, no shuffle.
     """
     if mode == "hash":
-        return df.withColumn(out, hash_split_col(keys, [train_share, 1 - train_share], seed))
+        return df.withColumn(out, hash_split_col(keys, [train_share, 1 - train_share], seed,
+                                                 numeric_keys(df, keys)))
     bp = int(round(train_share * 10_000))
     ranked = class_rank(df, label, keys, seed, out="_r", size="_n")
     cut = F.floor(F.col("_n") * F.lit(bp) / F.lit(10_000))
@@ -100,6 +105,6 @@ def stratified_kfold(df: DataFrame, label: str, keys: Sequence[str], k: int = 5,
                      seed: int = 1, mode: str = "exact", out: str = "fold") -> DataFrame:
     """Fold per row; in ``exact`` mode folds of one class differ by <= 1 row."""
     if mode == "hash":
-        return df.withColumn(out, kfold_col(keys, k, seed))
+        return df.withColumn(out, kfold_col(keys, k, seed, numeric=numeric_keys(df, keys)))
     ranked = class_rank(df, label, keys, seed, out="_r", size="_n")
     return ranked.withColumn(out, F.pmod(F.col("_r"), F.lit(k)).cast("int")).drop("_r", "_n")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.ids import key_md5_sql
+from ..functions.ids import key_hash_sql
 from ..functions.metrics import accuracy_agg, log_loss_agg
 from ..functions.numeric import round_sig, round_sig_sql
 from ..operators.classify import (auc_from_roc, fit_category_rates, fit_centroids,
@@ -51,7 +51,7 @@ def baseline_predictions(spark, sf_dir):
 _SPLIT_CTE = f"""
 ld AS (SELECT l.doc_id, l.quality, d.lang, d.n_chars
        FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY {key_md5_sql(['doc_id'], 1)}, doc_id) - 1 AS rnk,
+r AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY {key_hash_sql(['doc_id'], 1)}, doc_id) - 1 AS rnk,
              count(*) OVER (PARTITION BY quality) AS n FROM ld),
 s AS (SELECT *, CASE WHEN rnk < floor(n * 7000 / 10000) THEN 0 ELSE 1 END AS split FROM r),
 train AS (SELECT * FROM s WHERE split = 0),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.ids import key_md5_sql
+from ..functions.ids import key_hash_sql
 from ..operators.batching import repeat_batches, shard, shuffled_index
 from ..operators.split import (hash_split_col, hash_split_sql, kfold_col, kfold_sql,
                                random_split, stratified_holdout, stratified_kfold)
@@ -53,7 +53,7 @@ def kfold_rows(spark, sf_dir):
 _RANKED_LABELS = f"""
 WITH r AS (
   SELECT doc_id, quality,
-         row_number() OVER (PARTITION BY quality ORDER BY {key_md5_sql(['doc_id'], 1)}, doc_id) - 1
+         row_number() OVER (PARTITION BY quality ORDER BY {key_hash_sql(['doc_id'], 1)}, doc_id) - 1
            AS rnk,
          count(*) OVER (PARTITION BY quality) AS n
   FROM labels)
@@ -86,7 +86,7 @@ def stratified_kfold_q(spark, sf_dir):
 
 SHUFFLE_SQL = f"""
 SELECT event_id, user_id,
-       row_number() OVER (ORDER BY {key_md5_sql(['event_id'], 7)}, event_id) - 1 AS order_idx
+       row_number() OVER (ORDER BY {key_hash_sql(['event_id'], 7)}, event_id) - 1 AS order_idx
 FROM events
 """
 

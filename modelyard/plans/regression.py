@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators.closed_form import LinearModel, fit_closed_form, measure_wide
 from ..operators.measure import leaderboard
+from ..functions.ids import numeric_keys
 from ..operators.split import hash_split_col
 
 
@@ -30,7 +31,8 @@ class TrialResult:
 
 def split_frame(df: DataFrame, keys: Sequence[str], train_share: float = 0.8,
                 seed: int = 1) -> tuple[DataFrame, DataFrame]:
-    tagged = df.withColumn("_split", hash_split_col(keys, [train_share, 1 - train_share], seed))
+    tagged = df.withColumn("_split", hash_split_col(keys, [train_share, 1 - train_share], seed,
+                                                    numeric_keys(df, keys)))
     train = tagged.where(F.col("_split") == 0).drop("_split")
     hold = tagged.where(F.col("_split") == 1).drop("_split")
     return train, hold

@@ -15,11 +15,18 @@ def _ids(spark, n, parts=3):
     return spark.range(n).repartition(parts).withColumnRenamed("id", "k")
 
 
-def test_threshold_orders_like_numbers():
-    assert threshold(0.0) == "00000000"
-    assert threshold(0.5) == "80000000"
-    assert threshold(0.8) == "cccccccc"
-    assert threshold(1.0) == "g"  # above every hex digit
+def test_thresholds():
+    assert threshold(0.0) == 0
+    assert threshold(0.5) == 1 << 30
+    assert threshold(1.0) == 1 << 31   # above every hash value
+
+
+def test_key_hash_range_and_uniformity(spark):
+    from modelyard.functions.ids import key_hash
+    df = spark.range(20000).select(key_hash(["id"], 5).alias("h"))
+    r = df.agg(F.min("h"), F.max("h"), F.avg("h")).first()
+    assert r[0] >= 0 and r[1] < (1 << 31)
+    assert abs(r[2] / (1 << 30) - 1) < 0.02
 
 
 @settings(max_examples=5, deadline=None)
