@@ -8,7 +8,7 @@ trial produces the same ids and appends are idempotent when keyed by them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,3 +115,21 @@ def register_versions(registry: DataFrame, name: str = "name", created: str = "c
     """
     v = row_index(registry, [created, run_id], group_cols=[name], out="_v")
     return v.withColumn("version", (F.col("_v") + 1).cast("bigint")).drop("_v")
+
+
+def autolog(fit: Callable[[], tuple[DataFrame, DataFrame]], experiment_id: str, parent_name: str,
+            path: str, metric_cols: Sequence[str], tags: Mapping[str, str] | None = None) -> str:
+    """Run ``fit`` and log its runs, params, metrics and tags in one append.
+
+    ``fit`` returns ``(models, board)``: a models frame with ``model_id`` and
+    a ``params`` map, and a board with one row per model.  The log is one
+    typed table (string ``value`` for params/tags, double ``metric``).
+    """
+    models, board = fit()
+    rs = runs_table(models, experiment_id, parent_name)
+    frames = [params_long(rs, models).withColumn("kind", F.lit("param")),
+              metrics_long(rs, board, metric_cols).withColumnRenamed("value", "metric")
+              .withColumn("kind", F.lit("metric"))]
+    if tags:
+        frames.append(tags_long(rs, tags).withColumn("kind", F.lit("tag")))
+    return append_log(frames, path)

@@ -19,7 +19,6 @@ from ..operators.spark_models import (classifiers, fit_candidates, fit_fold_cand
                                       long_predictions,
                                       regressors, scoring_history, timings)
 from ..operators.split import hash_split_col, kfold_col, kfold_sql, stratified_kfold
-from ..operators.tracking import append_log, metrics_long, params_long, runs_table
 from ..registry import register
 from ..session import scratch_path
 from ..sources.tables import load_table
@@ -77,23 +76,53 @@ def scoring_history_q(spark, sf_dir):
 @register("autolog_trial", "T7 T2 T3 T4 T9")
 def autolog_trial(spark, sf_dir):
     """Fit two Spark ML candidates and log runs, params and metrics in one append."""
+    from ..operators.tracking import autolog
     t, asm = _part_features(spark, sf_dir)
-    models = fit_candidates(t.train, [asm], regressors(PART_LABEL, seed=1), max_models=2)
-    board = leaderboard(regression_metrics(long_predictions(models, t.holdout, PART_KEYS,
-                                                            PART_LABEL)))
-    board = board.join(timings(spark, models), "model_id")
-    params = spark.createDataFrame(
-        [(mid, {p.name: str(v) for p, v in pm.stages[-1].extractParamMap().items()})
-         for mid, (pm, _) in models.items()], "model_id string, params map<string,string>")
-    rs = runs_table(params, "autolog", "automl")
-    metric_cols = ["mse", "rmse", "mae", "r2", "train_seconds"]
-    path = append_log([params_long(rs, params).withColumn("kind", F.lit("param")),
-                       metrics_long(rs, board, metric_cols)
-                       .withColumnRenamed("value", "metric").withColumn("kind", F.lit("metric"))],
-                      scratch_path(spark, "autolog"))
+
+    def fit():
+        models = fit_candidates(t.train, [asm], regressors(PART_LABEL, seed=1), max_models=2)
+        board = leaderboard(regression_metrics(long_predictions(models, t.holdout, PART_KEYS,
+                                                                PART_LABEL)))
+        board = board.join(timings(spark, models), "model_id")
+        params = spark.createDataFrame(
+            [(mid, {p.name: str(v) for p, v in pm.stages[-1].extractParamMap().items()})
+             for mid, (pm, _) in models.items()], "model_id string, params map<string,string>")
+        return params, board
+
+    path = autolog(fit, "autolog", "automl", scratch_path(spark, "autolog"),
+                   ["mse", "rmse", "mae", "r2", "train_seconds"], {"source": "modelyard"})
     return spark.read.parquet(path)
 
 
+@register("automl_cv_leaderboard", "M2 M14 E8 R4")
+def automl_cv_leaderboard(spark, sf_dir):
+    """Spark ML candidates ranked by 5-fold CV RMSE (CrossValidator with the hash folds)."""
+    from ..operators.spark_models import cross_validate
+    t, asm = _part_features(spark, sf_dir)
+    tr = t.train.withColumn("fold", kfold_col(PART_KEYS, 5, 1))
+    res = cross_validate(tr, [asm], regressors(PART_LABEL, seed=1)[:3], PART_LABEL, "fold", 5,
+                         keep_fold_models=True)
+    rows = [(mid, mean, sd, n) for mid, mean, sd, n, _ in res]
+    cv = spark.createDataFrame(rows, "model_id string, rmse double, rmse_sd double, folds int")
+    return leaderboard(cv, "rmse")
+
+
+@register("spark_model_details", "E11 E12 M12")
+def spark_model_details(spark, sf_dir):
+    """Linear coefficients and tree importances (relative, scaled, share) of the candidates."""
+    from pyspark.sql import Window
+    from ..operators.spark_models import model_details
+    t, asm = _part_features(spark, sf_dir)
+    models = fit_candidates(t.train, [asm], regressors(PART_LABEL, seed=1), max_models=5)
+    d = spark.createDataFrame(model_details(models, PART_FEATURES),
+                              "model_id string, kind string, name string, value double")
+    w = Window.partitionBy("model_id", "kind")
+    imp = F.col("kind") == "importance"
+    return d.select("model_id", "kind", "name", "value",
+                    F.when(imp, F.try_divide(F.col("value"), F.max("value").over(w))).alias("scaled"),
+                    F.when(imp, F.try_divide(F.col("value"), F.sum("value").over(w))).alias("share"))
+
+
 def _doc_features(spark, sf_dir, k: int = 3):
     """labels + documents with stratified folds and (n_chars, one-hot lang) features."""
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
