@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .broadcast import checked_broadcast
 from ..session import ensure_checkpoint_dir
@@ -79,20 +80,64 @@ def row_index(df: DataFrame, order_cols: Sequence[str | Column],
             .drop("_pid", "_pos", "_first", "_off"))
 
 
+def _local_cumsum(group_cols: list[str], value_cols: list[str]):
+    """Per-partition running sums over Arrow batches, carried across batches.
+
+    Rows arrive sorted by (group, order) inside the partition, so groups are
+    contiguous: only the first group of a batch can continue the last group
+    of the previous one.
+    """
+    def fn(batches):
+        carry_key, carry = None, None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            vals = pdf[value_cols]
+            cs = vals.groupby([pdf[g] for g in group_cols], sort=False).cumsum() \
+                if group_cols else vals.cumsum()
+            first_key = tuple(pdf[g].iloc[0] for g in group_cols)
+            if carry is not None and first_key == carry_key:
+                if group_cols:
+                    same = pdf[group_cols[0]] == first_key[0]
+                    for g, k in zip(group_cols[1:], first_key[1:]):
+                        same &= pdf[g] == k
+                else:
+                    same = slice(None)
+                for v in value_cols:
+                    cs.loc[same, v] = cs.loc[same, v] + carry[v]
+            carry_key = tuple(pdf[g].iloc[-1] for g in group_cols)
+            carry = {v: cs[v].iloc[-1] for v in value_cols}
+            yield pdf.assign(**{f"_loc_{v}": cs[v].to_numpy() for v in value_cols})
+    return fn
+
+
 def running_sum(df: DataFrame, value_cols: Sequence[str], order_cols: Sequence[str | Column],
                 group_cols: Sequence[str] = (), prefix: str = "cum_",
-                num_partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
+                num_partitions: int | None = None, checkpoint: bool = True,
+                method: str = "pandas") -> DataFrame:
     """Inclusive running sums of ``value_cols`` along ``order_cols`` per group.
 
-    Inside a range partition the sum is a window over (partition, group), so
-    each window holds one partition's slice of a group, never a whole group.
+    Rows are range-partitioned and sorted once (a hot group spans many
+    partitions).  Inside each partition the running sum is computed either
+    by an Arrow-batched pandas pass over the already sorted rows
+    (``method="pandas"``, no further shuffle) or by a window over
+    (partition, group) (``method="window"``, JVM only, one more shuffle).
+    Partition offsets come from a summary of at most partitions + groups
+    rows.  Group keys must be non-null.
     """
     group_cols = list(group_cols)
+    value_cols = list(value_cols)
     tagged = _range_tag(df, group_cols, order_cols, num_partitions, checkpoint)
-    local_w = (Window.partitionBy("_pid", *group_cols).orderBy("_pos")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    for v in value_cols:
-        tagged = tagged.withColumn(f"_loc_{v}", F.sum(v).over(local_w))
+    if method == "pandas":
+        base = tagged.schema
+        schema = StructType(list(base.fields) + [
+            StructField(f"_loc_{v}", base[v].dataType) for v in value_cols])
+        tagged = tagged.mapInPandas(_local_cumsum(group_cols, value_cols), schema)
+    else:
+        local_w = (Window.partitionBy("_pid", *group_cols).orderBy("_pos")
+                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        for v in value_cols:
+            tagged = tagged.withColumn(f"_loc_{v}", F.sum(v).over(local_w))
     stats = tagged.groupBy("_pid", *group_cols).agg(
         *[F.sum(v).alias(f"_tot_{v}") for v in value_cols])
     before = (Window.partitionBy(*group_cols).orderBy("_pid")

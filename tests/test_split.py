@@ -115,3 +115,22 @@ def test_running_sum_matches_pandas(spark):
     merged = out.merge(pdf, on=["g", "k"], suffixes=("", "_pd"))
     assert (merged["cum_v"] == merged["cum_v_pd"]).all()
     assert len(merged) == 300
+
+
+def test_running_sum_pandas_and_window_agree_across_batches(spark):
+    # small Arrow batches force carries across batch boundaries
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = [(("hot" if i % 5 else "cold"), i, i % 4) for i in range(500)]
+        df = spark.createDataFrame(rows, "g string, k long, v long").repartition(3)
+        a = running_sum(df, ["v"], [F.col("k").desc()], group_cols=["g"], num_partitions=4).toPandas()
+        b = running_sum(df, ["v"], [F.col("k").desc()], group_cols=["g"], num_partitions=4,
+                        method="window").toPandas()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    m = a.merge(b, on=["g", "k", "v"], suffixes=("_p", "_w"))
+    assert len(m) == 500 and (m["cum_v_p"] == m["cum_v_w"]).all()
+    pdf = pd.DataFrame(rows, columns=["g", "k", "v"]).sort_values(["g", "k"], ascending=[True, False])
+    pdf["cum_v"] = pdf.groupby("g")["v"].cumsum()
+    m2 = a.merge(pdf, on=["g", "k"], suffixes=("", "_pd"))
+    assert (m2["cum_v"] == m2["cum_v_pd"]).all()
