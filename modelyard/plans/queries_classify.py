@@ -68,12 +68,6 @@ pred AS (
   FROM hold h LEFT JOIN rates ON h.lang = rates.lang, overall)
 """
 
-_GRID = {
-    "accuracy": "(tp + tn) / (tp + fp + fn + tn)",
-    "recall": "CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END",
-    "precision": "CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END",
-}
-
 CLASS_GRID_SQL = f"""
 WITH {_SPLIT_CTE},
 c AS (SELECT model_id,
