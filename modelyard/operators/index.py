@@ -114,20 +114,39 @@ def _local_cumsum(group_cols: list[str], value_cols: list[str]):
 def running_sum(df: DataFrame, value_cols: Sequence[str], order_cols: Sequence[str | Column],
                 group_cols: Sequence[str] = (), prefix: str = "cum_",
                 num_partitions: int | None = None, checkpoint: bool = True,
-                method: str = "pandas") -> DataFrame:
+                method: str = "auto", small_rows: int = 2_000_000) -> DataFrame:
     """Inclusive running sums of ``value_cols`` along ``order_cols`` per group.
 
     Rows are range-partitioned and sorted once (a hot group spans many
-    partitions).  Inside each partition the running sum is computed either
-    by an Arrow-batched pandas pass over the already sorted rows
-    (``method="pandas"``, no further shuffle) or by a window over
-    (partition, group) (``method="window"``, JVM only, one more shuffle).
-    Partition offsets come from a summary of at most partitions + groups
-    rows.  Group keys must be non-null.
+    partitions).  Partition offsets come from a summary of at most
+    partitions + groups rows, collected first; it also gives the exact row
+    count.  Inside each partition the running sum is then computed either
+    by a window over (partition, group) (``"window"``: JVM only, one more
+    shuffle -- chosen by ``"auto"`` up to ``small_rows`` rows) or by an
+    Arrow-batched pandas pass over the already sorted rows (``"pandas"``:
+    no further shuffle -- chosen by ``"auto"`` above it).  Group keys must
+    be non-null.
     """
     group_cols = list(group_cols)
     value_cols = list(value_cols)
     tagged = _range_tag(df, group_cols, order_cols, num_partitions, checkpoint)
+    spark = df.sparkSession
+    stats = tagged.groupBy("_pid", *group_cols).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(v).alias(f"_tot_{v}") for v in value_cols])
+    before = (Window.partitionBy(*group_cols).orderBy("_pid")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    stats = stats.select("_pid", *group_cols, "_rows", *[
+        F.coalesce(F.sum(f"_tot_{v}").over(before), F.lit(0)).alias(f"_off_{v}")
+        for v in value_cols])
+    got = stats.limit(STATS_MAX_ROWS + 1).collect()
+    if len(got) <= STATS_MAX_ROWS:
+        total = sum(r["_rows"] for r in got)
+        offsets = F.broadcast(spark.createDataFrame(got, stats.schema).drop("_rows"))
+    else:
+        total = None
+        offsets = stats.drop("_rows")
+    if method == "auto":
+        method = "window" if total is not None and total <= small_rows else "pandas"
     if method == "pandas":
         base = tagged.schema
         schema = StructType(list(base.fields) + [
@@ -138,15 +157,7 @@ def running_sum(df: DataFrame, value_cols: Sequence[str], order_cols: Sequence[s
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         for v in value_cols:
             tagged = tagged.withColumn(f"_loc_{v}", F.sum(v).over(local_w))
-    stats = tagged.groupBy("_pid", *group_cols).agg(
-        *[F.sum(v).alias(f"_tot_{v}") for v in value_cols])
-    before = (Window.partitionBy(*group_cols).orderBy("_pid")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    stats = stats.select("_pid", *group_cols, *[
-        F.coalesce(F.sum(f"_tot_{v}").over(before), F.lit(0)).alias(f"_off_{v}")
-        for v in value_cols])
-    joined = tagged.join(checked_broadcast(stats, STATS_MAX_ROWS), ["_pid", *group_cols])
-    out = joined.select(
+    joined = tagged.join(offsets, ["_pid", *group_cols])
+    return joined.select(
         *[c for c in df.columns],
         *[(F.col(f"_off_{v}") + F.col(f"_loc_{v}")).alias(f"{prefix}{v}") for v in value_cols])
-    return out

@@ -14,7 +14,7 @@ from ..operators.closed_form import (coefficients_frame, correlation_importance,
 from ..operators.measure import METRIC_REGISTRY, best_n, fold_summary, metric_registry, rounded
 from ..operators.split import kfold_col, kfold_sql
 from ..registry import register
-from ..sources.tables import load_table
+from ..sources.tables import load_table, spread
 from .queries_core import (PART_FEATURES, PART_FILTER, PART_KEYS, PART_LABEL,
                            REGRESSION_LEADERBOARD_SQL, _part_split_cte, part_trial,
                            split_cte)
@@ -307,7 +307,7 @@ SELECT model_id, count(*) AS folds, {_CV_SUMMARY_COLS} FROM perfold GROUP BY mod
 @register("lineitem_cv_metrics", "E8 M14 R4", LINEITEM_CV_SQL)
 def lineitem_cv_metrics(spark, sf_dir):
     """5-fold out-of-fold metrics of the closed-form candidates on lineitem."""
-    li = load_table(spark, sf_dir, "lineitem").select(*LI_KEYS, LI_LABEL, *LI_FEATURES)
+    li = spread(load_table(spark, sf_dir, "lineitem").select(*LI_KEYS, LI_LABEL, *LI_FEATURES))
     train = split_frame(li, LI_KEYS, 0.8, 1)[0].where(LI_FILTER)
     tr = train.withColumn("fold", kfold_col(LI_KEYS, K, 1))
     fm = fit_fold_models(tr, LI_LABEL, LI_FEATURES, "fold", K)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators.closed_form import LinearModel, fit_closed_form, measure_wide
 from ..operators.measure import leaderboard
 from ..functions.ids import numeric_keys
+from ..sources.tables import spread
 from ..operators.split import hash_split_col
 
 
@@ -50,7 +51,7 @@ def regression_trial(df: DataFrame, label: str, features: Sequence[str], keys: S
     picks the same rows.
     """
     cols = list(dict.fromkeys([*keys, label, *features]))
-    base = df.select(*cols)
+    base = spread(df.select(*cols))
     train, hold = split_frame(base, keys, train_share, seed)
     if where:
         train = train.where(where)

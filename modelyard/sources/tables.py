@@ -45,8 +45,13 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Load a named dataset (``get_data(name)``) as a parquet scan."""
-    return spread(spark.read.parquet(table_path(sf_dir, name)))
+    """Load a named dataset (``get_data(name)``) as a parquet scan.
+
+    No repartition here: callers project first, then may :func:`spread` the
+    projected columns (a repartition on all columns would stop Catalyst from
+    pruning the unused ones).
+    """
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,

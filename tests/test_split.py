@@ -123,7 +123,8 @@ def test_running_sum_pandas_and_window_agree_across_batches(spark):
     try:
         rows = [(("hot" if i % 5 else "cold"), i, i % 4) for i in range(500)]
         df = spark.createDataFrame(rows, "g string, k long, v long").repartition(3)
-        a = running_sum(df, ["v"], [F.col("k").desc()], group_cols=["g"], num_partitions=4).toPandas()
+        a = running_sum(df, ["v"], [F.col("k").desc()], group_cols=["g"], num_partitions=4,
+                        method="pandas").toPandas()
         b = running_sum(df, ["v"], [F.col("k").desc()], group_cols=["g"], num_partitions=4,
                         method="window").toPandas()
     finally:
