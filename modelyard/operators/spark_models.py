@@ -73,21 +73,32 @@ def fit_candidates(train: DataFrame, stages: Sequence, candidates: Sequence[tupl
 
 def fit_fold_candidates(data: DataFrame, stages: Sequence, candidates: Sequence[tuple[str, Callable]],
                         fold_col: str, k: int, parallelism: int = 8) -> dict:
-    """Fit every candidate on every fold's train part, all jobs in flight at once.
+    """Fit every candidate on every fold's train part.
 
-    Returns ``{(fold, model_id): (PipelineModel, train_seconds)}``; feature
-    stages are refitted per fold so no statistic sees the held-out fold.
+    Feature stages are fitted once per fold on that fold's train rows (no
+    statistic sees the held-out fold) and the featurized rows are persisted
+    while the candidates of that fold are fitted concurrently.  Returns
+    ``{(fold, model_id): (PipelineModel, train_seconds)}`` where each model
+    holds the fold's feature stages followed by the candidate.
     """
-    from pyspark.ml import Pipeline
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    from pyspark.ml import Pipeline, PipelineModel
+    prepared = {}
+    for fold in range(k):
+        train = data.where(F.col(fold_col) != fold)
+        feats = Pipeline(stages=list(stages)).fit(train)
+        prepared[fold] = (feats, feats.transform(train).persist(StorageLevel.MEMORY_AND_DISK))
+    out: dict = {}
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            futs = {(fold, mid): pool.submit(_fit_timed, Pipeline(stages=[*stages, make()]),
-                                             data.where(F.col(fold_col) != fold))
+            futs = {(fold, mid): pool.submit(_fit_timed, make(), prepared[fold][1])
                     for fold in range(k) for mid, make in candidates}
-            return {key: f.result() for key, f in futs.items()}
+            for (fold, mid), f in futs.items():
+                model, secs = f.result()
+                out[(fold, mid)] = (PipelineModel(stages=[*prepared[fold][0].stages, model]), secs)
     finally:
-        data.unpersist()
+        for _, featurized in prepared.values():
+            featurized.unpersist()
+    return out
 
 
 def long_predictions(models: dict, df: DataFrame, keys: Sequence[str], label: str,
