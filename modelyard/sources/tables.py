@@ -85,7 +85,7 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite",
     """Write a catalog table and return its name.
 
     ``DataFrameWriterV2.createOrReplace`` is used when the catalog supports
-    it (Iceberg and the like); the session catalog falls back to
+    it (v2 table catalogs); the session catalog falls back to
     ``saveAsTable`` with the default data source.
     """
     writer = df.write.mode(mode)
