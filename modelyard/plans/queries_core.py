@@ -94,11 +94,9 @@ def csv_roundtrip(spark, sf_dir):
 def catalog_table(spark, sf_dir):
     """nation saved as a catalog table (external, in the shared folder) and read by name."""
     from ..session import scratch_path
-    from ..sources.tables import read_table
+    from ..sources.tables import read_table, save_table
     nation = load_table(spark, sf_dir, "nation")
-    name = "modelyard_nation"
-    nation.write.mode("overwrite").option("path", scratch_path(spark, "nation-table")) \
-        .saveAsTable(name)
+    name = save_table(nation, "modelyard_nation", path=scratch_path(spark, "nation-table"))
     return read_table(spark, name)
 
 

@@ -80,17 +80,25 @@ def cast_like(df: DataFrame, schema: StructType) -> DataFrame:
                        for c in df.columns])
 
 
-def save_table(df: DataFrame, name: str, mode: str = "overwrite",
-               fmt: str | None = None) -> str:
+def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str | None = None,
+               path: str | None = None, v2: bool = False) -> str:
     """Write a catalog table and return its name.
 
-    ``DataFrameWriterV2.createOrReplace`` is used when the catalog supports
-    it (v2 table catalogs); the session catalog falls back to
-    ``saveAsTable`` with the default data source.
+    ``v2=True`` uses ``DataFrameWriterV2.createOrReplace`` for catalogs that
+    support it (v2 table catalogs); otherwise ``saveAsTable``, external at
+    ``path`` when one is given (a shared folder on a cluster).
     """
+    if v2:
+        w = df.writeTo(name)
+        if fmt:
+            w = w.using(fmt)
+        w.createOrReplace()
+        return name
     writer = df.write.mode(mode)
     if fmt:
         writer = writer.format(fmt)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)
     return name
 
