@@ -83,12 +83,14 @@ def score_long(df: DataFrame, models: Sequence[LinearModel], label: str,
     """Score every row with every model: ``(keys, model_id, label, prediction)``.
 
     One generator per row (``inline`` of an array of structs), not a join:
-    the model list is a literal inside the projection.
+    the model list is a literal inside the projection, written as SQL text.
     """
-    arr = F.array(*[F.struct(F.lit(m.model_id).alias("model_id"),
-                             m.predict().alias("prediction")) for m in models])
-    return (df.select(*keys, F.col(label).cast("double").alias("label"),
-                      F.inline(arr)))
+    structs = []
+    for m in models:
+        mid = m.model_id.replace("'", "''")
+        structs.append(f"named_struct('model_id', '{mid}', 'prediction', {m.predict_sql()})")
+    return df.selectExpr(*[quote(k) for k in keys], f"CAST({quote(label)} AS DOUBLE) AS label",
+                         f"inline(array({', '.join(structs)}))")
 
 
 def _per_model_rows(models: Sequence[LinearModel], extra: str = "") -> str:
@@ -101,9 +103,29 @@ def _per_model_rows(models: Sequence[LinearModel], extra: str = "") -> str:
     return f"inline(array({', '.join(structs)}))"
 
 
+# Above this many models the wide aggregate would exceed Spark's codegen field
+# limit (spark.sql.codegen.maxFields, 100); the long form is used instead.
+WIDE_MAX_MODELS = 8
+
+
+def measure_long(df: DataFrame, models: Sequence[LinearModel], label: str) -> DataFrame:
+    """Metrics per model from the long predictions: ``inline`` then ``groupBy``.
+
+    The plan size does not grow with the number of models; partial
+    aggregation keeps one row per model per task before the shuffle.
+    """
+    pred = score_long(df, models, label, [])
+    inputs = pred.selectExpr("model_id", *regression_inputs_sql("label", "prediction", "_x"))
+    aggs = [F.expr(a) for a in regression_aggs_sql("_x", "")]
+    return inputs.groupBy("model_id").agg(*aggs)
+
+
 def measure_wide(df: DataFrame, models: Sequence[LinearModel], label: str) -> DataFrame:
     """All regression metrics of all models in one aggregate, one row per model.
 
+    With more than ``WIDE_MAX_MODELS`` models this delegates to
+    :func:`measure_long`.
+
     Predictions and per-row errors are projected into columns first, so the
     aggregate refers to plain columns (a small plan, compiled once); the
     expressions are written as SQL text, one parse per step instead of
@@ -111,6 +133,8 @@ def measure_wide(df: DataFrame, models: Sequence[LinearModel], label: str) -> Da
     each task keeps one partial row and the final merge sees one row per
     task.  ``inline`` turns the wide row into one row per model.
     """
+    if len(models) > WIDE_MAX_MODELS:
+        return measure_long(df, models, label)
     scored = df.selectExpr(f"CAST({quote(label)} AS DOUBLE) AS _y",
                            *[f"{m.predict_sql()} AS _p{i}" for i, m in enumerate(models)])
     inputs = scored.selectExpr(*[c for i, _ in enumerate(models)

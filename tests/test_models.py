@@ -96,3 +96,16 @@ def test_spark_ml_candidates_beat_constant(spark):
     mse_mean = measure_wide(df, base, "y").first()["mse"]
     for r in m:
         assert math.isfinite(r["mse"]) and r["mse"] < mse_mean
+
+
+def test_long_measurement_matches_wide_for_many_models(spark):
+    from modelyard.operators.closed_form import LinearModel, measure_long
+    df = _linear(spark)
+    ms = [LinearModel(f"m{i}", "least_squares", 1.0 + i, (("x", 0.1 * i),)) for i in range(12)]
+    wide = {r["model_id"]: r for r in measure_wide(df, ms[:4], "y").collect()}
+    long = {r["model_id"]: r for r in measure_long(df, ms[:4], "y").collect()}
+    for mid in wide:
+        for c in ["n", "mse", "mae", "rmsle", "r2"]:
+            assert math.isclose(wide[mid][c], long[mid][c], rel_tol=1e-9)
+    many = measure_wide(df, ms, "y").collect()      # delegates to the long form
+    assert len(many) == 12
