@@ -71,8 +71,10 @@ pred AS (
 CLASS_GRID_SQL = f"""
 WITH {_SPLIT_CTE},
 c AS (SELECT model_id,
-             count_if(label = 1 AND prediction = 1) AS tp, count_if(label <> 1 AND prediction = 1) AS fp,
-             count_if(label = 1 AND prediction <> 1) AS fn, count_if(label <> 1 AND prediction <> 1) AS tn
+             CAST(count_if(label = 1 AND prediction = 1) AS BIGINT) AS tp,
+             CAST(count_if(label <> 1 AND prediction = 1) AS BIGINT) AS fp,
+             CAST(count_if(label = 1 AND prediction <> 1) AS BIGINT) AS fn,
+             CAST(count_if(label <> 1 AND prediction <> 1) AS BIGINT) AS tn
       FROM pred GROUP BY model_id),
 d AS (SELECT model_id, tp, fp, fn, tn, CAST(tp AS DOUBLE) AS TP, CAST(fp AS DOUBLE) AS FP,
              CAST(fn AS DOUBLE) AS FN, CAST(tn AS DOUBLE) AS TN FROM c),
@@ -112,7 +114,8 @@ WITH {_SPLIT_CTE},
 inp AS (
   SELECT 'n_chars' AS model_id, quality AS label, CAST(n_chars AS DOUBLE) AS score FROM ld
   UNION ALL SELECT model_id, label, score FROM pred WHERE model_id = 'lang_rate'),
-cnt AS (SELECT model_id, score, count_if(label = 1) AS pos, count_if(label <> 1) AS neg
+cnt AS (SELECT model_id, score, CAST(count_if(label = 1) AS BIGINT) AS pos,
+               CAST(count_if(label <> 1) AS BIGINT) AS neg
         FROM inp GROUP BY model_id, score),
 roc AS (SELECT *, sum(pos) OVER w AS cum_pos, sum(neg) OVER w AS cum_neg,
                sum(pos) OVER (PARTITION BY model_id) AS P, sum(neg) OVER (PARTITION BY model_id) AS N
