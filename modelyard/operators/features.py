@@ -94,23 +94,32 @@ def domain_arrays(levels: DataFrame, max_levels: int = 1000) -> DataFrame:
     return per.join(arrays, "column", "left")
 
 
-def problem_kind(df: DataFrame, label: str, max_classes: int = 100) -> DataFrame:
+def problem_kind(df: DataFrame, label: str, max_classes: int = 100,
+                 exact_below: int = 1_000_000) -> DataFrame:
     """regression, binomial or multinomial from the label type and cardinality.
 
     Floating labels are regression; integral and string labels are classes
-    when they have at most ``max_classes`` values (2 -> binomial).
+    when they have at most ``max_classes`` values (2 -> binomial).  The
+    number of distinct labels is first estimated with HyperLogLog (one pass,
+    partial aggregation); only when the estimate is below ``exact_below`` is
+    it counted exactly, so a continuous label on a huge table never shuffles
+    all its distinct values.
     """
     dt = df.schema[label].dataType
-    nd = F.count_distinct(F.col(label))
+    approx = df.agg(F.approx_count_distinct(F.col(label)).alias("n")).first()["n"]
+    if approx < exact_below:
+        nd = df.agg(F.count_distinct(F.col(label)).alias("n")).first()["n"]
+    else:
+        nd = approx
     if isinstance(dt, (DoubleType, FloatType, DecimalType)):
-        kind = F.lit("regression")
+        kind = "regression"
     elif isinstance(dt, IntegralType):
-        kind = (F.when(nd <= 2, "binomial").when(nd <= max_classes, "multinomial")
-                .otherwise("regression"))
+        kind = "binomial" if nd <= 2 else ("multinomial" if nd <= max_classes else "regression")
     else:
-        kind = F.when(nd <= 2, "binomial").otherwise("multinomial")
-    return df.agg(F.lit(label).alias("label"), F.lit(dt.simpleString()).alias("dtype"),
-                  nd.alias("n_distinct"), kind.alias("kind"))
+        kind = "binomial" if nd <= 2 else "multinomial"
+    return df.sparkSession.createDataFrame(
+        [(label, dt.simpleString(), int(nd), kind)],
+        "label string, dtype string, n_distinct bigint, kind string")
 
 
 def fit_imputer(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> dict:

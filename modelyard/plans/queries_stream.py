@@ -17,7 +17,7 @@ from .queries_core import PART_FILTER, _part_split_cte, part_fitted_stages
 def metric_stream_drain(spark, sf_dir):
     """events arrive as files and are appended once to a sink table, then read back."""
     schema = load_table(spark, sf_dir, "events").schema
-    stream = file_stream(spark, table_path(sf_dir, "events"), schema, max_files_per_trigger=1)
+    stream = file_stream(spark, table_path(sf_dir, "events"), schema, max_files_per_trigger=1000)
     out = drain_to_table(stream.select("event_id", "user_id", "event_type", "value"),
                          scratch_path(spark, "metric-sink"))
     return spark.read.parquet(out).select("event_id", "user_id", "event_type", "value")
