@@ -18,9 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import (REGRESSION_METRICS, regression_aggs_of_inputs,
-                                 regression_aggs_sql, regression_inputs,
-                                 regression_inputs_sql)
+from ..functions.metrics import REGRESSION_METRICS, regression_aggs_sql, regression_inputs_sql
 from ..functions.numeric import double_literal, quote
 
 

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import (REGRESSION_METRICS, binary_grid, confusion_aggs,
                                  regression_aggs)
-from ..functions.numeric import quote, round_sig, round_sig_sql
+from ..functions.numeric import quote, round_sig_sql
 
 # Metric registry (id, display name, greater is better, input).
 METRIC_REGISTRY = [

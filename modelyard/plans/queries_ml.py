@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.numeric import round_sig, round_sig_sql
 from ..operators.batching import shard
 from ..operators.classify import auc_from_roc, roc_points
-from ..operators.closed_form import models_frame
 from ..operators.gang import gang_map, grouped_least_squares, shard_partials
 from ..operators.measure import binary_metrics, leaderboard, regression_metrics
 from ..operators.spark_models import (classifiers, fit_candidates, fit_fold_candidates,

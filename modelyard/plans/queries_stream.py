@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..functions.numeric import round_sig, round_sig_sql
 from ..registry import register
 from ..session import scratch_path
