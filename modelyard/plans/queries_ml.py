@@ -124,13 +124,17 @@ def spark_model_details(spark, sf_dir):
 
 def _doc_features(spark, sf_dir, k: int = 3):
     """labels + documents with stratified folds and (n_chars, one-hot lang) features."""
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
     d = stratified_kfold(labelled_docs(spark, sf_dir), "quality", ["doc_id"], k=k, seed=1)
     d = d.withColumn("quality", F.col("quality").cast("double"))
+    # n_chars spans four orders of magnitude next to 0/1 indicators: scale to
+    # unit variance (statistics from the fold's train rows) so the linear
+    # solvers converge.
     stages = [StringIndexer(inputCol="lang", outputCol="lang_idx", handleInvalid="keep",
                             stringOrderType="alphabetAsc"),
               OneHotEncoder(inputCols=["lang_idx"], outputCols=["lang_vec"], handleInvalid="keep"),
-              VectorAssembler(inputCols=["n_chars", "lang_vec"], outputCol="features")]
+              VectorAssembler(inputCols=["n_chars", "lang_vec"], outputCol="raw_features"),
+              StandardScaler(inputCol="raw_features", outputCol="features", withMean=False)]
     return d, stages
 
 
