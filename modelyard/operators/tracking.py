@@ -96,11 +96,27 @@ def artifact_locations(runs: DataFrame, experiments: DataFrame, root_col: str =
 
 
 def append_log(frames: Sequence[DataFrame], path: str, fmt: str = "parquet") -> str:
-    """Buffered logging: union the rows of one trial and append them in one write."""
+    """Buffered logging: union the rows of one trial and append them in one write.
+
+    The log is one typed table: a string ``value`` for params and tags and a
+    double ``metric`` for metrics.  A frame whose ``value`` column is numeric
+    (as :func:`metrics_long` returns) has it moved to ``metric``, so numbers
+    are never turned into text and text is never cast to a number.
+    """
     if not frames:
         return path
-    df = frames[0]
-    for f in frames[1:]:
+    norm = []
+    for f in frames:
+        types = dict(f.dtypes)
+        if "value" in types and types["value"] != "string":
+            f = f.withColumnRenamed("value", "metric")
+        if "metric" in f.columns:
+            f = f.withColumn("metric", F.col("metric").cast("double"))
+        if "value" in f.columns:
+            f = f.withColumn("value", F.col("value").cast("string"))
+        norm.append(f)
+    df = norm[0]
+    for f in norm[1:]:
         df = df.unionByName(f, allowMissingColumns=True)
     df.write.mode("append").format(fmt).save(path)
     return path

@@ -108,3 +108,15 @@ def test_stream_drain_and_scoring(spark, tmp_path):
                           str(tmp_path / "ck2"), columns=["k", "prediction"])
     res = spark.read.parquet(scored).collect()
     assert len(res) == 40 and all(math.isclose(r["prediction"], r["k"] * 2.0 + 1) for r in res)
+
+
+def test_append_log_keeps_params_text_and_metrics_numeric(spark, tmp_path):
+    from modelyard.operators.tracking import append_log, metrics_long, params_long
+    models = spark.createDataFrame([("m1", {"label": "y", "alpha": "0.5"})],
+                                   "model_id string, params map<string,string>")
+    rs = runs_table(models, "e", "p")
+    board = spark.createDataFrame([("m1", 1.25)], "model_id string, rmse double")
+    path = append_log([params_long(rs, models), metrics_long(rs, board, ["rmse"])], str(tmp_path / "log"))
+    rows = {r["key"]: r for r in spark.read.parquet(path).collect()}
+    assert rows["label"]["value"] == "y" and rows["label"]["metric"] is None
+    assert rows["rmse"]["metric"] == 1.25 and rows["rmse"]["value"] is None
