@@ -121,3 +121,24 @@ def test_round_sig(spark):
     df = spark.createDataFrame([(123456.789,), (0.000123456789,), (0.0,), (None,), (-2.5e-9,)], "x double")
     got = [r[0] for r in df.select(round_sig("x", 4)).collect()]
     assert got == [123500.0, 0.0001235, 0.0, None, -2.5e-9]
+
+
+def test_category_rates_one_job_and_map_scoring(spark):
+    from modelyard.operators.classify import fit_category_rates, score_category_map
+    rows = [("en", 1)] * 6 + [("en", 0)] * 2 + [("fr", 0)] * 3 + [("fr", 1)] + [("de", 1)] * 2
+    train = spark.createDataFrame(rows, "lang string, y int")
+    fit = fit_category_rates(train, "y", "lang")
+    assert fit["mode"] == 1 and fit["n"] == 14
+    assert math.isclose(fit["overall"], 9 / 14)
+    assert fit["rates"] == {"en": 0.75, "fr": 0.25, "de": 1.0}
+    test = spark.createDataFrame([("en",), ("fr",), ("xx",), (None,)], "lang string")
+    got = [(r["score"], r["prediction"]) for r in score_category_map(test, "lang", fit["rates"], fit["overall"]).collect()]
+    assert got == [(0.75, 1), (0.25, 0), (9 / 14, 1), (9 / 14, 1)]   # unseen and null: overall rate
+
+
+def test_problem_kind_estimates_before_counting(spark):
+    from modelyard.operators.features import problem_kind
+    df = spark.range(5000).select((F.col("id") % 7).cast("int").alias("c"), F.col("id").alias("big"))
+    assert problem_kind(df, "c").first()["kind"] == "multinomial"
+    r = problem_kind(df, "big", exact_below=100).first()     # estimate only: HLL count
+    assert r["kind"] == "regression" and abs(r["n_distinct"] - 5000) < 500
