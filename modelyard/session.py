@@ -86,3 +86,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for written tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``modelyard`` importable in executor Python workers.
+
+    Zips the package once per application and registers it with
+    ``addPyFile`` (what ``spark-submit --py-files`` does), so pandas/Arrow
+    functions defined here unpickle on any worker, wherever the driver was
+    started.
+    """
+    import os
+    import zipfile
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="modelyard-pkg-"), "modelyard.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    spark.sparkContext.addPyFile(out)
+    _SHIPPED.add(app)
