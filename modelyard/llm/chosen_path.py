@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import map_text
+from .arrow import map_groups, map_text
 from .graph import components, written
 from .keys import row_key
 from .tokens import WORD, TokenIds
@@ -26,10 +26,10 @@ from .tokens import WORD, TokenIds
 WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.999
-SKETCH = 128
+SKETCH = 64
 SMALL_NODE = 64           # nodes of up to so many sets are compared by brute force
 CHUNK = 256               # sets of a group that one task compares with as many
-SLACK = 0.2               # five standard deviations of a 128-value sketch at 0.8
+SLACK = 0.2               # four standard deviations of a 64-value sketch at 0.8
 SMALL_KEYS = 2_000_000    # rows (two longs each) that may be broadcast: 32 MB
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -144,15 +144,14 @@ def _brute_force(nodes: DataFrame, similarity: float) -> DataFrame:
     def pairs(pdf):
         import pandas as pd
         s = np.frombuffer(b"".join(pdf["sketch"]), np.uint32).reshape(len(pdf), -1)
-        label, names = pd.factorize(pd.Series(list(zip(pdf["l1"], pdf["l2"]))))[0], pdf[["s1", "s2"]].to_numpy()
-        out = []
-        for i in range(len(pdf) - 1):
-            like = (s[i + 1:] == s[i]).mean(1)
-            out += [(*names[i], *names[j + i + 1]) for j in np.flatnonzero(
-                (like >= similarity - SLACK) & (label[i + 1:] != label[i]))]
-        return pd.DataFrame(out, columns=["a1", "a2", "b1", "b2"]).astype("int64")
-
-    got = nodes.groupBy("key").applyInPandas(pairs, "a1 long, a2 long, b1 long, b2 long")
+        l1, l2 = pdf["l1"].to_numpy(), pdf["l2"].to_numpy()
+        s1, s2 = pdf["s1"].to_numpy(), pdf["s2"].to_numpy()
+        like = (s[:, None, :] == s[None, :, :]).mean(2) >= similarity - SLACK
+        apart = (l1[:, None] != l1[None, :]) | (l2[:, None] != l2[None, :])
+        i, j = np.nonzero(np.triu(like & apart, 1))
+        return pd.DataFrame({"a1": s1[i], "a2": s2[i], "b1": s1[j], "b2": s2[j]})
+
+    got = map_groups(nodes, ["key"], pairs, "a1 long, a2 long, b1 long, b2 long")
     a, b = F.struct(F.col("a1").alias("s1"), F.col("a2").alias("s2")), F.struct(
         F.col("b1").alias("s1"), F.col("b2").alias("s2"))
     return got.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
@@ -268,7 +267,7 @@ def _link_counts(grams: DataFrame, labels: DataFrame, sets: DataFrame, similarit
             pd.DataFrame({"s1": x["s1"], "s2": x["s2"], "n_other": ok @ y["docs"].to_numpy()}),
             pd.DataFrame({"s1": y["s1"], "s2": y["s2"], "n_other": ok.T @ x["docs"].to_numpy()})])
 
-    return (cells.groupBy("r1", "r2", "i", "j").applyInPandas(count, "s1 long, s2 long, n_other long")
+    return (map_groups(cells, ["r1", "r2", "i", "j"], count, "s1 long, s2 long, n_other long")
             .groupBy("s1", "s2").agg(F.sum("n_other").alias("n_other"))
             .select(F.struct("s1", "s2").alias("set"), "n_other"))
 
