@@ -59,7 +59,7 @@ def repeat_batches(df: DataFrame, keys: Sequence[str], batch_size: int = 64,
     # whenever a single epoch suffices.
     base = indexed.where(F.col("_idx") < F.lit(budget)) if k == 1 else indexed
     out = (base.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-           .withColumn("p", F.col("_idx") + F.lit(n) * F.col("epoch"))
+           .withColumn("p", F.col("_idx") + F.lit(n).cast("bigint") * F.col("epoch").cast("bigint"))
            .where(F.col("p") < F.lit(budget))
            .withColumn("batch_id", F.floor(F.col("p") / F.lit(batch_size)).cast("bigint"))
            .withColumn("pos_in_batch", F.pmod(F.col("p"), F.lit(batch_size)).cast("int")))

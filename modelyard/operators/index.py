@@ -75,11 +75,20 @@ def row_index(df: DataFrame, order_cols: Sequence[str | Column],
     stats = stats.drop("_cnt")
     # At most partitions + groups rows (tens of bytes each): collected and
     # broadcast up to STATS_MAX_ROWS, else an ordinary join.
-    joined = tagged.join(checked_broadcast(stats, STATS_MAX_ROWS), ["_pid", *group_cols])
+    joined = _null_safe_join(tagged, checked_broadcast(stats, STATS_MAX_ROWS), ["_pid", *group_cols])
     return (joined.withColumn(out, F.col("_off") + F.col("_pos") - F.col("_first"))
             .drop("_pid", "_pos", "_first", "_off"))
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` where null equals null; the keys appear once."""
+    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"`{k}`").eqNullSafe(F.col(f"`_r_{k}`"))
+    return left.join(right, cond).drop(*[f"_r_{k}" for k in keys])
+
+
 def _local_cumsum(group_cols: list[str], value_cols: list[str]):
     """Per-partition running sums over Arrow batches, carried across batches.
 
@@ -157,7 +166,7 @@ def running_sum(df: DataFrame, value_cols: Sequence[str], order_cols: Sequence[s
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         for v in value_cols:
             tagged = tagged.withColumn(f"_loc_{v}", F.sum(v).over(local_w))
-    joined = tagged.join(offsets, ["_pid", *group_cols])
+    joined = _null_safe_join(tagged, offsets, ["_pid", *group_cols])
     return joined.select(
         *[c for c in df.columns],
         *[(F.col(f"_off_{v}") + F.col(f"_loc_{v}")).alias(f"{prefix}{v}") for v in value_cols])

@@ -23,9 +23,10 @@ def get_or_create_experiments(existing: DataFrame, requested: DataFrame,
 
     New names come from a ``left_anti`` join of the requested names against
     the existing ones; their ids are ``md5('experiment|' || name)``.
-    ``requested`` may carry extra columns (e.g. ``created``).
+    ``requested`` may carry extra columns (e.g. ``created``); a name that is
+    requested several times is created once.
     """
-    new = (requested.join(existing.select(name), name, "left_anti")
+    new = (requested.dropDuplicates([name]).join(existing.select(name), name, "left_anti")
            .withColumn(id_col, key_md5([F.col(name)], "experiment"))
            .withColumn("is_new", F.lit(True)))
     old = existing.withColumn("is_new", F.lit(False))

@@ -120,11 +120,10 @@ def impute_q(spark, sf_dir):
     return out.withColumn("c_acctbal", round_sig("c_acctbal"))
 
 
-ONE_HOT_SQL = """
-SELECT c_custkey, COALESCE(COLUMNS(* EXCLUDE (c_custkey)), 0) FROM (
-  PIVOT (SELECT c_custkey, 'c_mktsegment_' || c_mktsegment AS lvl, 1 AS one FROM customer)
-  ON lvl USING max(one) GROUP BY c_custkey)
-"""
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+ONE_HOT_SQL = "SELECT c_custkey, " + ", ".join(
+    f"CAST(c_mktsegment = '{s}' AS INTEGER) AS c_mktsegment_{s}" for s in SEGMENTS) + " FROM customer"
 
 
 @register("one_hot", "F6", ONE_HOT_SQL)

@@ -153,3 +153,10 @@ def test_key_hash_equal_in_spark_and_duckdb(spark, rows, seed):
     want = sorted(con.sql(f"SELECT a, b, {key_hash_sql(['a', 'b'], seed)} AS h FROM t").fetchall())
     assert got == want
     assert all(0 <= h < (1 << 31) for _, _, h in got)
+
+
+def test_null_class_rows_stay(spark):
+    from modelyard.operators.index import row_index
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "a"), (4, None)], "k int, c string")
+    got = row_index(df, ["k"], group_cols=["c"], out="i").collect()
+    assert sorted((r["k"], r["i"]) for r in got) == [(1, 0), (2, 0), (3, 1), (4, 1)]

@@ -120,3 +120,10 @@ def test_append_log_keeps_params_text_and_metrics_numeric(spark, tmp_path):
     rows = {r["key"]: r for r in spark.read.parquet(path).collect()}
     assert rows["label"]["value"] == "y" and rows["label"]["metric"] is None
     assert rows["rmse"]["metric"] == 1.25 and rows["rmse"]["value"] is None
+
+
+def test_experiment_requested_twice_is_created_once(spark):
+    from modelyard.operators.tracking import get_or_create_experiments
+    old = spark.createDataFrame([("a", "1")], "name string, experiment_id string")
+    new = spark.createDataFrame([("b",), ("b",), ("a",)], "name string")
+    assert sorted(r["name"] for r in get_or_create_experiments(old, new).collect()) == ["a", "b"]
