@@ -27,7 +27,7 @@ WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.999
 SKETCH = 64
-SMALL_NODE = 64           # nodes of up to so many sets are compared by brute force
+SMALL_NODE = 512          # nodes of up to so many sets are compared by brute force
 CHUNK = 256               # sets of a group that one task compares with as many
 SLACK = 0.2               # four standard deviations of a 64-value sketch at 0.8
 SMALL_KEYS = 2_000_000    # rows (two longs each) that may be broadcast: 32 MB
@@ -139,16 +139,43 @@ def _verified(pairs: DataFrame, grams: DataFrame, similarity: float) -> DataFram
             .where(least & (_jaccard("mk_x", "mk_y") >= similarity)).select("a", "b"))
 
 
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sketches and sizes allow the wanted similarity."""
+    least = similarity - SLACK
+
+    def run(frames):
+        for pdf in frames:
+            if len(pdf):
+                x, y = [np.frombuffer(b"".join(pdf[c]), np.uint32).reshape(len(pdf), -1)
+                        for c in ("mk_x", "mk_y")]
+                yield pdf.loc[(x == y).mean(1) >= least, ["a1", "a2", "b1", "b2"]]
+
+    left, right = [sets.select(F.col("set").alias(c), F.col("n").alias(f"mk_n{c}"),
+                               F.col("sketch").alias(k)) for c, k in (("a", "mk_x"), ("b", "mk_y"))]
+    sized = (pairs.join(left, "a").join(right, "b")
+             .where(F.least("mk_na", "mk_nb") >= similarity * F.greatest("mk_na", "mk_nb"))
+             .select(F.col("a.s1").alias("a1"), F.col("a.s2").alias("a2"),
+                     F.col("b.s1").alias("b1"), F.col("b.s2").alias("b2"), "mk_x", "mk_y"))
+    return (sized.mapInPandas(run, "a1 long, a2 long, b1 long, b2 long")
+            .select(F.struct(F.col("a1").alias("s1"), F.col("a2").alias("s2")).alias("a"),
+                    F.struct(F.col("b1").alias("s1"), F.col("b2").alias("s2")).alias("b")))
+
+
 def _brute_force(nodes: DataFrame, similarity: float) -> DataFrame:
     """Pairs of one small node with different labels whose sketches look alike."""
     def pairs(pdf):
         import pandas as pd
         s = np.frombuffer(b"".join(pdf["sketch"]), np.uint32).reshape(len(pdf), -1)
-        l1, l2 = pdf["l1"].to_numpy(), pdf["l2"].to_numpy()
+        _, label = np.unique(pdf[["l1", "l2"]].to_numpy(), axis=0, return_inverse=True)
+        label = label.reshape(-1)
         s1, s2 = pdf["s1"].to_numpy(), pdf["s2"].to_numpy()
-        like = (s[:, None, :] == s[None, :, :]).mean(2) >= similarity - SLACK
-        apart = (l1[:, None] != l1[None, :]) | (l2[:, None] != l2[None, :])
-        i, j = np.nonzero(np.triu(like & apart, 1))
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for i in range(len(s) - 1):
+            other = i + 1 + np.nonzero(label[i + 1:] != label[i])[0]
+            other = other[(s[other] == s[i]).mean(1) >= similarity - SLACK]
+            left.append(np.full(len(other), i))
+            right.append(other)
+        i, j = np.concatenate(left), np.concatenate(right)
         return pd.DataFrame({"a1": s1[i], "a2": s2[i], "b1": s1[j], "b2": s2[j]})
 
     got = map_groups(nodes, ["key"], pairs, "a1 long, a2 long, b1 long, b2 long")
@@ -196,7 +223,7 @@ def links_of(docs: DataFrame, sets: DataFrame, text_col: str, doc_id: str,
             grams = written(_grams_of(docs, members, text_col, doc_id), "path-grams")
         star = (live.where("set <> lead").select(F.col("set").alias("a"), F.col("lead").alias("b"))
                 .distinct())
-        found = written(_verified(star, grams, similarity), "path-star")
+        found = written(_verified(_alike(star, sets, similarity), grams, similarity), "path-star")
         links = found if links is None else written(links.unionByName(found), "path-links")
         labels = components(links)
         named = (live.join(labels, live.set == labels.node, "left")
@@ -206,6 +233,8 @@ def links_of(docs: DataFrame, sets: DataFrame, text_col: str, doc_id: str,
                  .where("lo <> hi").select("key"))
         open_ = written(named.join(mixed, "key").where("size > 2")
                         .join(sets.select("set", "sketch"), "set"), "path-open")
+        if not open_.limit(1).count():
+            return links, grams
         small = open_.where(F.col("size") <= SMALL_NODE).select(
             "key", "sketch", F.col("set.s1").alias("s1"), F.col("set.s2").alias("s2"),
             F.col("label.s1").alias("l1"), F.col("label.s2").alias("l2"))
@@ -289,7 +318,7 @@ def jaccard_classes(docs: DataFrame, text_col: str = "text", doc_id: str = "doc_
     place = F.struct(F.col("mk_id").isNotNull().alias("known"), "mk_id", "mk_a", "mk_b")
     full = rows.where("n > 0")
     sets = written(full.groupBy("set").agg(F.count("*").alias("docs"), F.min(place).alias("first"),
-                                           F.min("mk_id").alias("least_id"),
+                                           F.min("mk_id").alias("least_id"), F.first("n").alias("n"),
                                            F.first("sketch").alias("sketch"))
                    .withColumn("mk_a", F.col("first.mk_a")).withColumn("mk_b", F.col("first.mk_b")),
                    "path-sets")
