@@ -9,13 +9,19 @@ trial produces the same ids and appends are idempotent when keyed by them.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import artifact_path, key_md5
 from .index import row_index
 
+# What names a row of the log.
+LOG_KEYS = ("run_id", "kind", "key", "step")
+
 
 def get_or_create_experiments(existing: DataFrame, requested: DataFrame,
                               name: str = "name", id_col: str = "experiment_id") -> DataFrame:
@@ -47,7 +53,7 @@ def runs_table(models: DataFrame, experiment_id: str | Column, parent_name: str,
         parent_id.alias("parent_run_id"), exp.alias("experiment_id"),
         F.col(model_col).cast("string").alias("run_name"),
         F.lit(description).alias("description"), F.lit(True).alias("nested"))
-    parent = models.limit(1).select(
+    parent = models.sparkSession.range(1).select(
         parent_id.alias("run_id"), F.lit(None).cast("string").alias("parent_run_id"),
         exp.alias("experiment_id"), F.lit(parent_name).alias("run_name"),
         F.lit("parent").alias("description"), F.lit(False).alias("nested"))
@@ -103,6 +109,9 @@ def append_log(frames: Sequence[DataFrame], path: str, fmt: str = "parquet") ->
     double ``metric`` for metrics.  A frame whose ``value`` column is numeric
     (as :func:`metrics_long` returns) has it moved to ``metric``, so numbers
     are never turned into text and text is never cast to a number.
+
+    A row whose (run_id, kind, key, step), as far as the columns exist, is in
+    the log already is not appended again, so a retried trial adds nothing.
     """
     if not frames:
         return path
@@ -119,10 +128,26 @@ def append_log(frames: Sequence[DataFrame], path: str, fmt: str = "parquet") ->
     df = norm[0]
     for f in norm[1:]:
         df = df.unionByName(f, allowMissingColumns=True)
+    logged = _logged(df.sparkSession, path, fmt)
+    keys = [c for c in LOG_KEYS if logged is not None and c in df.columns and c in logged.columns]
+    if keys:
+        old = logged.select(*[F.col(c).alias(f"_{c}") for c in keys])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+        df = df.join(old, reduce(and_, same), "left_anti")
     df.write.mode("append").format(fmt).save(path)
     return path
 
 
+def _logged(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    """What the log holds, or None where there is no log yet."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def register_versions(registry: DataFrame, name: str = "name", created: str = "created",
                       run_id: str = "run_id") -> DataFrame:
     """Version numbers per registered name, counting up by (created, run_id).

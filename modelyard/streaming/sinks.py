@@ -1,8 +1,9 @@
 """Structured Streaming: drain metric rows into a table, score rows as they arrive.
 
-Both queries keep their progress in a checkpoint location under the shared
-``spark.checkpoint.dir``, so a restarted driver resumes where it stopped and
-no batch is written twice:
+Both queries keep their progress beside their rows, in ``_checkpoint`` under
+the output folder (or where the caller says).  A later call with the same
+output folder resumes there: it reads only what has arrived since, and no batch
+is written twice.  A new output folder starts from the beginning.
 
 * ``drain_to_table`` appends each micro-batch with ``foreachBatch`` into a
   folder keyed by the batch id and overwritten on replay (idempotent sink).
@@ -18,7 +19,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..session import scratch_path
+
+def _progress(out_path: str) -> str:
+    """Checkpoint folder of a sink; readers of ``out_path`` skip names with ``_``."""
+    return f"{out_path.rstrip('/')}/_checkpoint"
 
 
 def exact_glob(path: str) -> str:
@@ -39,8 +43,7 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
 def drain_to_table(stream: DataFrame, out_path: str, checkpoint: str | None = None,
                    fmt: str = "parquet") -> str:
     """Append every available row once; replays overwrite their own batch folder."""
-    spark = stream.sparkSession
-    ckpt = checkpoint or scratch_path(spark, "drain-ckpt")
+    ckpt = checkpoint or _progress(out_path)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").format(fmt).save(f"{out_path}/batch_id={batch_id}")
@@ -55,8 +58,7 @@ def drain_to_table(stream: DataFrame, out_path: str, checkpoint: str | None = No
 def score_stream(stream: DataFrame, model, out_path: str, checkpoint: str | None = None,
                  columns: list[str] | None = None) -> str:
     """Score a stream with a fitted PipelineModel (stateless, append mode)."""
-    spark = stream.sparkSession
-    ckpt = checkpoint or scratch_path(spark, "score-ckpt")
+    ckpt = checkpoint or _progress(out_path)
     scored = model.transform(stream)
     if columns:
         scored = scored.select(*columns)

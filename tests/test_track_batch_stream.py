@@ -82,7 +82,7 @@ def test_grouped_least_squares_hot_group(spark):
     x = rng.normal(size=3000)
     y = np.where(g == "hot", 1 + 2 * x, -1 + 0.5 * x) + rng.normal(0, 0.01, 3000)
     df = spark.createDataFrame(pd.DataFrame({"g": g, "x": x, "y": y}))
-    out = {r["g"]: r for r in grouped_least_squares(df, ["g"], "x", "y", salt_buckets=8).collect()}
+    out = {r["g"]: r for r in grouped_least_squares(df, ["g"], "x", "y").collect()}
     for grp in ["hot", "cold"]:
         m = g == grp
         slope, icpt = np.polyfit(x[m], y[m], 1)
@@ -127,3 +127,53 @@ def test_experiment_requested_twice_is_created_once(spark):
     old = spark.createDataFrame([("a", "1")], "name string, experiment_id string")
     new = spark.createDataFrame([("b",), ("b",), ("a",)], "name string")
     assert sorted(r["name"] for r in get_or_create_experiments(old, new).collect()) == ["a", "b"]
+
+
+def test_append_log_again_adds_nothing(spark, tmp_path):
+    from modelyard.operators.tracking import append_log
+    path = str(tmp_path / "log")
+    one = spark.createDataFrame([("r", "metric", "rmse", 1.0), (None, "metric", "rmse", 3.0)],
+                                "run_id string, kind string, key string, metric double")
+    two = spark.createDataFrame([("r", "metric", "mae", 2.0)], one.schema)
+    for frames in ([one], [one], [one, two]):
+        append_log(frames, path)
+    rows = spark.read.parquet(path).select("run_id", "key", "metric").collect()
+    assert sorted(rows, key=lambda r: r["metric"]) == [("r", "rmse", 1.0), ("r", "mae", 2.0), (None, "rmse", 3.0)]
+
+
+def test_streams_resume_by_output_folder(spark, tmp_path):
+    from pyspark.ml import Pipeline
+    from modelyard.operators.estimators import LeastSquaresRegressor
+    from modelyard.streaming.sinks import drain_to_table, file_stream, score_stream
+    src = str(tmp_path / "src")
+    df = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2.0).alias("y"))
+    model = Pipeline(stages=[LeastSquaresRegressor(featureCol="k", labelCol="y")]).fit(df)
+    for n in (1, 2):
+        df.write.mode("append").parquet(src)
+        for _ in range(2):          # the second call finds nothing new
+            out = drain_to_table(file_stream(spark, src, df.schema, max_files_per_trigger=n),
+                                 str(tmp_path / "sink"))
+            scored = score_stream(file_stream(spark, src, df.schema), model, str(tmp_path / "scored"))
+            assert spark.read.parquet(out).count() == spark.read.parquet(scored).count() == 10 * n
+
+
+def test_each_shard_is_one_task(spark):
+    df = spark.range(1000).select((F.col("id") % 4).cast("int").alias("shard"), F.lit(1).alias("y"))
+    parts = gang_map(df, shard_partials("shard", "y"), "shard int, n long, label_sum long", 4, "shard")
+    got = parts.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(r["shard"] for r in got) == [0, 1, 2, 3] and all(r["n"] == r["label_sum"] == 250 for r in got)
+    assert len({r["task"] for r in got}) == 4
+
+
+def test_grouped_fit_of_repeated_rows_and_null_groups(spark):
+    rows = [("a", 1.0, 2.0)] * 400 + [("a", 3.0, 6.0)] * 100 + [(None, 0.0, 1.0), (None, 2.0, 5.0), ("b", None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(7)
+    got = {r["g"]: r for r in grouped_least_squares(df, ["g"], "x", "y").collect()}
+    assert set(got) == {"a", None} and got["a"]["n"] == 500
+    assert math.isclose(got["a"]["slope"], 2.0) and math.isclose(got[None]["slope"], 2.0)
+    assert math.isclose(got[None]["intercept"], 1.0)
+
+
+def test_no_models_still_gives_a_parent_run(spark):
+    none = spark.createDataFrame([], "model_id string")
+    assert [r["nested"] for r in runs_table(none, "e", "p").collect()] == [False]
