@@ -212,7 +212,10 @@ def fit_fold_models(train: DataFrame, label: str, features: Sequence[str], fold_
 
 
 def fold_coefficients(spark, fold_models: dict[int, list[LinearModel]]) -> DataFrame:
-    """k-row table: fold, then intercept and slope of every candidate."""
+    """k-row table: fold, then intercept and slope of every candidate.
+
+    The slope of a feature that a model doesn't use is null.
+    """
     first = next(iter(fold_models.values()))
     feats = sorted({n for m in first for n, _ in m.coefficients} |
                    {f for ms in fold_models.values() for m in ms for f, _ in m.coefficients})
@@ -225,7 +228,7 @@ def fold_coefficients(spark, fold_models: dict[int, list[LinearModel]]) -> DataF
         for m in ms:
             coefs = dict(m.coefficients)
             row.append(float(m.intercept) if m.intercept is not None else None)
-            row += [float(coefs.get(f, 0.0)) for f in feats]
+            row += [float(coefs[f]) if f in coefs else None for f in feats]
         rows.append(tuple(row))
     return spark.createDataFrame(rows, ", ".join(fields)), feats
 
@@ -235,7 +238,8 @@ def measure_cv(train: DataFrame, fold_models: dict[int, list[LinearModel]], labe
     """Regression metrics per (model_id, fold) on out-of-fold predictions.
 
     Each row is joined to the coefficients of the models that did not see
-    its fold: a k-row table, broadcast (its size is k, known).  Predictions
+    its fold: a k-row table, broadcast (its size is k, known).  A model reads
+    only its own features, so a null elsewhere doesn't cost it the row.  Predictions
     and errors are then projected and one grouped aggregate over the k folds
     measures every candidate at once.
     """
@@ -246,7 +250,10 @@ def measure_cv(train: DataFrame, fold_models: dict[int, list[LinearModel]], labe
                    train[fold_col] == coef["fold"]).drop(coef["fold"])
     preds = []
     for i, _ in enumerate(first):
-        terms = [f"_a{i}"] + [f"_b{i}_{jx} * CAST({quote(f)} AS DOUBLE)" for jx, f in enumerate(feats)]
+        own = {f for ms in fold_models.values() for f, _ in ms[i].coefficients}
+        terms = [f"_a{i}"] + [
+            f"CASE WHEN _b{i}_{jx} IS NULL THEN 0.0D ELSE _b{i}_{jx} * CAST({quote(f)} AS DOUBLE) END"
+            for jx, f in enumerate(feats) if f in own]
         preds.append(f"{' + '.join(terms)} AS _p{i}")
     scored = j.selectExpr(quote(fold_col), f"CAST({quote(label)} AS DOUBLE) AS _y", *preds)
     inputs = scored.selectExpr(quote(fold_col), *[c for i, _ in enumerate(first)

@@ -32,6 +32,13 @@ def regressors(label: str, seed: int = 1) -> list[tuple[str, Callable]]:
     ]
 
 
+def iterative_regressors(label: str, seed: int = 1) -> list[tuple[str, Callable]]:
+    """The candidates that are fitted step by step, so that they have a history."""
+    from pyspark.ml.regression import LinearRegression
+    return [("linear", lambda: LinearRegression(labelCol=label, maxIter=50, solver="l-bfgs")),
+            *[c for c in regressors(label, seed) if c[0] == "gbt"]]
+
+
 def classifiers(label: str, seed: int = 1) -> list[tuple[str, Callable]]:
     from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                            LogisticRegression, NaiveBayes,
@@ -114,6 +121,42 @@ def long_predictions(models: dict, df: DataFrame, keys: Sequence[str], label: st
     return out
 
 
+def fold_scores(fitted: dict, df: DataFrame, fold_col: str, keys: Sequence[str],
+                label: str) -> DataFrame:
+    """Out-of-fold predictions of all classifiers: (keys, fold, model_id, label, prediction, score).
+
+    ``fitted`` is what :func:`fit_fold_candidates` returns.  ``score`` is the
+    probability of class 1, or the margin of a model that gives none.  The rows
+    of a fold are prepared once; every model then adds columns of its own.
+    """
+    from pyspark.ml.functions import vector_to_array
+    out = None
+    for fold in sorted({f for f, _ in fitted}):
+        rows, parts = None, []
+        for (f, mid), (model, _) in fitted.items():
+            if f != fold:
+                continue
+            *prepare, last = model.stages
+            if rows is None:
+                rows = df.where(F.col(fold_col) == fold)
+                for stage in prepare:
+                    rows = stage.transform(rows)
+            i = len(parts)
+            last = last.copy()
+            names = {"predictionCol": f"_p{i}", "rawPredictionCol": f"_r{i}", "probabilityCol": f"_q{i}"}
+            for param, name in names.items():
+                if last.hasParam(param):
+                    last._set(**{param: name})  # noqa: SLF001
+            rows = last.transform(rows)
+            score = vector_to_array(f"_q{i}" if last.hasParam("probabilityCol") else f"_r{i}")[1]
+            parts.append(F.struct(F.lit(mid).alias("model_id"), F.col(f"_p{i}").alias("prediction"),
+                                  score.alias("score")))
+        long = rows.select(*keys, F.col(fold_col), F.col(label).cast("double").alias("label"),
+                           F.inline(F.array(*parts)))
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
 def timings(spark, models: dict) -> DataFrame:
     """Train seconds per model (the ``TT (Sec)`` column)."""
     return spark.createDataFrame([(m, float(s)) for m, (_, s) in models.items()],

@@ -13,9 +13,10 @@ from ..functions.numeric import round_sig, round_sig_sql
 from ..operators.batching import shard
 from ..operators.classify import auc_from_roc, roc_points
 from ..operators.gang import gang_map, grouped_least_squares, shard_partials
-from ..operators.measure import binary_metrics, leaderboard, regression_metrics
+from ..operators.measure import (binary_metrics, fold_summary, leaderboard,
+                                 regression_metrics)
 from ..operators.spark_models import (classifiers, fit_candidates, fit_fold_candidates,
-                                      long_predictions,
+                                      fold_scores, iterative_regressors, long_predictions,
                                       regressors, scoring_history, timings)
 from ..operators.split import hash_split_col, kfold_col, kfold_sql, stratified_kfold
 from ..registry import register
@@ -63,7 +64,7 @@ def automl_leaderboard(spark, sf_dir):
 def scoring_history_q(spark, sf_dir):
     """Loss per boosting iteration on the hold-out; objective per solver step."""
     t, asm = _part_features(spark, sf_dir)
-    models = fit_candidates(t.train, [asm], regressors(PART_LABEL, seed=1), max_models=5)
+    models = fit_candidates(t.train, [asm], iterative_regressors(PART_LABEL, seed=1))
     hold = asm.transform(t.holdout)
     rows = []
     for mid, (pm, _) in models.items():
@@ -99,8 +100,7 @@ def automl_cv_leaderboard(spark, sf_dir):
     from ..operators.spark_models import cross_validate
     t, asm = _part_features(spark, sf_dir)
     tr = t.train.withColumn("fold", kfold_col(PART_KEYS, 5, 1))
-    res = cross_validate(tr, [asm], regressors(PART_LABEL, seed=1)[:3], PART_LABEL, "fold", 5,
-                         keep_fold_models=True)
+    res = cross_validate(tr, [asm], regressors(PART_LABEL, seed=1), PART_LABEL, "fold", 5)
     rows = [(mid, mean, sd, n) for mid, mean, sd, n, _ in res]
     cv = spark.createDataFrame(rows, "model_id string, rmse double, rmse_sd double, folds int")
     return leaderboard(cv, "rmse")
@@ -140,23 +140,21 @@ def _doc_features(spark, sf_dir, k: int = 3):
 
 @register("classifier_comparison", "M5 M11 E2 E3 E6 E14 R5")
 def classifier_comparison(spark, sf_dir):
-    """Six Spark ML classifiers, 3-fold stratified CV, score grid of the best 5."""
+    """Six Spark ML classifiers, 3-fold stratified CV; mean and sd over folds of the best 5."""
     k = 3
     d, stages = _doc_features(spark, sf_dir, k)
     fitted = fit_fold_candidates(d, stages, classifiers("quality", seed=1), "fold", k)
-    preds, secs = None, {}
-    for (fold, mid), (model, s) in fitted.items():
+    secs = {}
+    for (_, mid), (_, s) in fitted.items():
         secs[mid] = secs.get(mid, 0.0) + s
-        te = d.where(F.col("fold") == fold)
-        p = long_predictions({mid: (model, s)}, te, ["doc_id"], "quality",
-                             extra=[F.lit(fold).alias("fold")])
-        preds = p if preds is None else preds.unionByName(p)
-    grid = binary_metrics(preds)
-    auc = auc_from_roc(roc_points(preds.withColumn("score", F.col("prediction")), "label", "score",
-                                  ["model_id"]))
+    by = ["model_id", "fold"]
+    preds = fold_scores(fitted, d, "fold", ["doc_id"], "quality")
+    auc = auc_from_roc(roc_points(preds, "label", "score", by), by)
+    per_fold = binary_metrics(preds, by).join(auc, by)
+    grid = fold_summary(per_fold, ["accuracy", "auc", "recall", "precision", "f1", "kappa", "mcc"])
     tt = spark.createDataFrame([(m, s / k) for m, s in secs.items()], "model_id string, TT_Sec double")
-    full = grid.join(auc, "model_id").join(tt, "model_id")
-    return leaderboard(full.drop("tp", "fp", "fn", "tn"), "accuracy").where(F.col("rank") <= 5)
+    return leaderboard(grid.join(tt, "model_id"), "accuracy_mean",
+                       ascending=False).where(F.col("rank") <= 5)
 
 
 @register("dense_network", "M7 E2 E7 P5")
@@ -211,9 +209,9 @@ FROM ft GROUP BY fold
 
 @register("grouped_least_squares", "U2 M14", GROUPED_LSQ_SQL)
 def grouped_least_squares_q(spark, sf_dir):
-    """Least squares per fold fitted in pandas on salted chunks, merged exactly."""
+    """Least squares per fold fitted in pandas batch by batch, merged exactly."""
     t = part_trial(spark, sf_dir)
     tr = t.train.withColumn("fold", kfold_col(PART_KEYS, 5, 1))
-    out = grouped_least_squares(tr, ["fold"], "p_partkey", PART_LABEL, salt_buckets=4)
+    out = grouped_least_squares(tr, ["fold"], "p_partkey", PART_LABEL)
     return out.select("fold", "n", round_sig("slope").alias("slope"),
                       round_sig("intercept").alias("intercept"))

@@ -58,6 +58,32 @@ def test_fold_models_match_direct_fits(spark):
     assert set(cv["fold"]) == {0, 1, 2} and (cv["n"] > 0).all()
 
 
+def test_cv_reads_only_a_models_own_features(spark):
+    df = spark.range(30).select(
+        F.col("id").alias("k"), F.col("id").cast("double").alias("x"),
+        F.when(F.col("id") % 2 == 0, F.sqrt("id")).alias("z"),
+        (F.col("id") * 3.0).alias("y"), (F.col("id") % 3).cast("int").alias("fold"))
+    fm = fit_fold_models(df, "y", ["x", "z"], "fold", 3)
+    n = {r["model_id"]: r["n"] for r in measure_cv(df, fm, "y", "fold").groupBy("model_id")
+         .agg(F.sum("n").alias("n")).collect()}
+    assert n == {"mean": 30, "lsq_x": 30, "lsq_z": 15}
+
+
+def test_fold_scores_are_probabilities_or_margins(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from modelyard.operators.classify import auc_from_roc, roc_points
+    from modelyard.operators.spark_models import classifiers, fit_fold_candidates, fold_scores
+    df = spark.range(120).select(
+        F.col("id").alias("k"), (F.col("id") % 10).cast("double").alias("x"),
+        (F.col("id") % 10 >= 5).cast("double").alias("y"), (F.floor(F.col("id") / 10) % 2).cast("int").alias("fold"))
+    some = [c for c in classifiers("y") if c[0] in ("logistic", "linear_svc")]
+    fitted = fit_fold_candidates(df, [VectorAssembler(inputCols=["x"], outputCol="features")], some, "fold", 2)
+    preds = fold_scores(fitted, df, "fold", ["k"], "y")
+    assert preds.count() == 240
+    roc = roc_points(preds, "label", "score", ["model_id", "fold"])
+    assert [r["auc"] for r in auc_from_roc(roc, ["model_id", "fold"]).collect()] == [1.0] * 4
+
+
 def test_coefficients_standardised(spark):
     df = _linear(spark)
     ms = fit_closed_form(df, "y", ["x"])
