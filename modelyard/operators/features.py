@@ -80,37 +80,16 @@ def domain_values(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
     return row_index(counts, ["value"], group_cols=["column"], out="level")
 
 
-def domain_arrays(levels: DataFrame, max_levels: int = 1000) -> DataFrame:
-    """Sorted level arrays for columns with at most ``max_levels`` levels.
-
-    Columns with more levels are reported with ``levels = null`` and their
-    count: they are not categorical features, and their values stay in the
-    long table rather than in one array.
-    """
-    per = levels.groupBy("column").agg(F.count(F.lit(1)).alias("n_levels"))
-    small = per.where(F.col("n_levels") <= max_levels).select("column")
-    arrays = (levels.join(small, "column", "left_semi")
-              .groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("levels")))
-    return per.join(arrays, "column", "left")
-
-
-def problem_kind(df: DataFrame, label: str, max_classes: int = 100,
-                 exact_below: int = 1_000_000) -> DataFrame:
+def problem_kind(df: DataFrame, label: str, max_classes: int = 100) -> DataFrame:
     """regression, binomial or multinomial from the label type and cardinality.
 
     Floating labels are regression; integral and string labels are classes
-    when they have at most ``max_classes`` values (2 -> binomial).  The
-    number of distinct labels is first estimated with HyperLogLog (one pass,
-    partial aggregation); only when the estimate is below ``exact_below`` is
-    it counted exactly, so a continuous label on a huge table never shuffles
-    all its distinct values.
+    when they have at most ``max_classes`` values (2 -> binomial).  The count
+    is exact at every size: distinct values are partially aggregated on every
+    task before they are shuffled.  Nulls are no class.
     """
     dt = df.schema[label].dataType
-    approx = df.agg(F.approx_count_distinct(F.col(label)).alias("n")).first()["n"]
-    if approx < exact_below:
-        nd = df.agg(F.count_distinct(F.col(label)).alias("n")).first()["n"]
-    else:
-        nd = approx
+    nd = df.agg(F.count_distinct(F.col(label)).alias("n")).first()["n"]
     if isinstance(dt, (DoubleType, FloatType, DecimalType)):
         kind = "regression"
     elif isinstance(dt, IntegralType):

@@ -136,9 +136,9 @@ def test_category_rates_one_job_and_map_scoring(spark):
     assert got == [(0.75, 1), (0.25, 0), (9 / 14, 1), (9 / 14, 1)]   # unseen and null: overall rate
 
 
-def test_problem_kind_estimates_before_counting(spark):
+def test_problem_kind_counts_exactly(spark):
     from modelyard.operators.features import problem_kind
     df = spark.range(5000).select((F.col("id") % 7).cast("int").alias("c"), F.col("id").alias("big"))
     assert problem_kind(df, "c").first()["kind"] == "multinomial"
-    r = problem_kind(df, "big", exact_below=100).first()     # estimate only: HLL count
-    assert r["kind"] == "regression" and abs(r["n_distinct"] - 5000) < 500
+    r = problem_kind(df, "big").first()
+    assert r["kind"] == "regression" and r["n_distinct"] == 5000
