@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from modelyard.llm import (bpe, chosen_path, decontaminate, hash_tree, line_dedup, nbsvm,
-                           ppm_language, quality_rules, secrets)
+                           ppm_language, quality_rules, secrets, toxicity)
 from modelyard.session import ship_package
 
 from ..conftest import spark  # noqa: F401
@@ -94,6 +94,81 @@ def test_lines_keep_the_first_occurrence(spark):  # noqa: F811
     assert got == {1: (f"{words}\nalone here", 0), 2: ("other text\n\n", 1), 3: ("", 1)}
 
 
+def _words_apart(x, y):
+    """Edit distance of two word lists."""
+    row = list(range(len(y) + 1))
+    for i, a in enumerate(x, 1):
+        last, row[0] = row[0], i
+        for j, b in enumerate(y, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (a != b))
+    return row[-1]
+
+
+def _brute_lines(docs):
+    """{doc_id: text} by all pairs of lines; the SimHashes are the operator's."""
+    occ = line_dedup.occurrences(docs, "text", "doc_id").orderBy("mk_id", "mk_pos").collect()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    lines = {}
+    for r in occ:
+        words = [w for w in re.split(r"[\W_]+", texts[r["mk_id"]].split("\n")[r["mk_pos"]].lower()) if w]
+        lines.setdefault(tuple(words), (r["mk_sim"], []))[1].append((r["mk_id"], r["mk_pos"]))
+    root = {k: k for k in lines}
+    for a, b in combinations(lines, 2):
+        far = bin((lines[a][0] ^ lines[b][0]) & ((1 << 64) - 1)).count("1")
+        most = max(len(a), len(b))
+        if far <= line_dedup.MAX_DISTANCE and most - _words_apart(a, b) >= line_dedup.SIMILARITY * most:
+            ra, rb = root[a], root[b]
+            root = {k: ra if v == rb else v for k, v in root.items()}
+    gone = set()
+    for r in set(root.values()):
+        places = sorted(p for k, v in root.items() if v == r for p in lines[k][1])
+        gone.update(places[1:])
+    return {i: None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if (i, p) not in gone)
+            for i, t in texts.items()}
+
+
+def test_lines_equal_brute_force(spark):  # noqa: F811
+    rng = np.random.default_rng(11)
+    vocab = [f"w{i}" for i in range(300)]
+    bases = [list(rng.choice(vocab, n)) for n in (5, 12, 40, 80, 200, 200, 400)]
+    rows = []
+    for i in range(40):
+        lines = []
+        for _ in range(4):
+            w = list(bases[rng.integers(len(bases))])
+            for at in rng.choice(len(w), rng.integers(0, 4)):
+                w[at] = str(rng.choice(vocab))
+            lines.append(" ".join(w))
+        rows.append((i, "\n".join(lines)))
+    docs = spark.createDataFrame([*rows, (90, None), (91, ""), (92, "\n\n")], "doc_id long, text string")
+    out = line_dedup.dedup_lines(docs).collect()
+    assert {r["doc_id"]: r["text"] for r in out} == _brute_lines(docs)
+    assert sum(r["n_removed"] for r in out) > 40
+
+
+def test_toxicity_of_odd_rows(spark, odd):  # noqa: F811
+    rows = spark.createDataFrame(
+        [(i, f"you are a {'vile' if i % 2 else 'kind'} person number {i}", i % 2) for i in range(60)]
+        + [(90, None, 1), (91, "", 0)], "doc_id long, text string, label int")
+    model = toxicity.fit(rows, rows)
+    got = toxicity.predict(odd.drop("score"), model).collect()
+    assert len(got) == 8 and all(0 <= r["score"] <= 1 for r in got)
+    seen = {r["doc_id"]: r["score"] for r in toxicity.predict(rows, model).collect()}
+    assert min(seen[i] for i in range(1, 60, 2)) > max(seen[i] for i in range(0, 60, 2))
+    none = toxicity.fit(rows.limit(0), rows.limit(0))
+    assert [r["score"] for r in toxicity.predict(rows, none).select("score").distinct().collect()] == [0.5]
+    assert toxicity.predict(rows.limit(0), model).count() == 0
+
+
+def test_sample_is_the_least_hashed_rows(spark):  # noqa: F811
+    for ids in (F.col("id"), F.lit(7).cast("long")):      # spread ids, one id on all rows
+        train = spark.range(5000).select(ids.alias("doc_id"), F.lit(1).alias("label"), F.col("id").alias("row"))
+        want = train.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "label").limit(300)
+        got = nbsvm._least_hashed(train, 300)
+        assert got.count() == 300
+        assert sorted(r["doc_id"] for r in got.collect()) == sorted(r["doc_id"] for r in want.collect())
+
+
 def test_growth_moves_rows_only_into_the_new_shard(spark):  # noqa: F811
     df = spark.range(3000).withColumn("a", hash_tree.shard_of(F.col("id"), hash_tree.layout(16)))
     df = df.withColumn("b", hash_tree.shard_of(F.col("id"), hash_tree.layout(17)))
