@@ -31,6 +31,12 @@ HEADLINE = [
     "shuffle_order",
     "domain_values",
     "class_score_grid",
+    "grouped_least_squares",
+    "gang_shard_sums",
+    "dense_network",
+    "automl_leaderboard",
+    "automl_cv_leaderboard",
+    "classifier_comparison",
 ]
 
 

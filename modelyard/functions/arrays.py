@@ -1,7 +1,7 @@
 """Array (tensor) column functions, all as Spark higher-order functions.
 
-``transform`` / ``aggregate`` / ``zip_with`` run inside the JVM and whole-
-stage codegen; no Python per element.
+``transform`` / ``aggregate`` / ``zip_with`` run inside the JVM, interpreted and
+outside whole-stage codegen; no Python per element.
 """
 
 from __future__ import annotations
