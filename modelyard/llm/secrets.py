@@ -27,6 +27,8 @@ KINDS = ("assign", "access", "hex", "random")
 
 # A run that may be a key: at least 20 key characters.
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+# A part of a run between separators that may be one.
+PART = re.compile(r"[A-Za-z0-9+]{20,}")
 # Known digests and identifiers: MD5 to SHA-512 in hexadecimal (git's object
 # ids among them), UUIDs, plain numbers.
 KNOWN = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}"
@@ -52,16 +54,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def random_spans(text: str, taken: list[tuple[int, int, int]], n_tokens,
                  chars_per_token: float = CHARS_PER_TOKEN) -> list[tuple[int, int, int]]:
-    """Runs outside the base spans whose characters per token are few."""
+    """Runs outside the base spans whose characters per token are few.
+
+    Of a run that needs few tokens as a whole, such as a path, the parts
+    between ``/ = - _`` are tested one by one.  Words of small letters only
+    are ordinary text here, however rare.
+    """
+    def is_key(part, a, b):
+        if (part.isalpha() and part.islower()) or KNOWN.fullmatch(part):
+            return False
+        return not any(s < b and a < e for s, _, e in taken) and len(part) < chars_per_token * n_tokens(part)
+
     out = []
     for m in RUN.finditer(text):
-        run, a, b = m.group(), m.start(), m.end()
-        if run.isalpha() or not any(map(str.isdigit, run)) or KNOWN.fullmatch(run):
+        if KNOWN.fullmatch(m.group()):
             continue
-        if any(s < b and a < e for s, _, e in taken):
+        if is_key(m.group(), m.start(), m.end()):
+            out.append((m.start(), 3, m.end()))
             continue
-        if len(run) < chars_per_token * n_tokens(run):
-            out.append((a, 3, b))
+        out += [(p.start(), 3, p.end()) for p in PART.finditer(text, m.start(), m.end())
+                if p.group() != m.group() and is_key(p.group(), p.start(), p.end())]
     return out
 
 
