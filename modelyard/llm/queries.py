@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from ..registry import register
 from ..sources.tables import load_table
-from . import (bpe, chosen_path, decontaminate, hash_tree, line_dedup, nbsvm, ppm_language,
-               quality_rules, secrets, toxicity)
+from . import (bpe, chosen_path, decontaminate, hash_tree, line_dedup, nbsvm, periodic_runs, phrases,
+               ppm_language, quality_rules, secrets, token_counts, toxicity)
 from .keys import fold
 
 SHARDS = 16
+TOKEN_LIMIT = 2048
 
 
 def vocabulary(name: str) -> str:
@@ -157,3 +158,52 @@ def op10_decontaminate(spark, sf_dir):
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
     bench = load_table(spark, sf_dir, "benchmark")
     return decontaminate.verdicts(decontaminate.find_windows(docs, bench), "doc_id")
+
+
+@register("op11_periodic_runs", "LLM11")
+def op11_periodic_runs(spark, sf_dir):
+    """Runs of every document, those whose hash ends in 0 with a looped tail."""
+    docs = load_table(spark, sf_dir, "documents")
+    read = docs.select("doc_id", periodic_runs.looped(F.col("text"), F.col("doc_id")).alias("text"))
+    return periodic_runs.report(periodic_runs.periodic_runs(read), "doc_id")
+
+
+OP12_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+starts AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w WHERE len(ws) > 0),
+totals AS (SELECT lang, count(*) AS n FROM starts GROUP BY lang),
+grams AS (SELECT lang, ws, i, unnest([1, 2, 3, 4]) AS k FROM starts),
+f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS a
+      FROM grams WHERE i + k - 1 <= len(ws) GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (SELECT lang, phrase, k, a, string_split(phrase, ' ') AS ws, unnest(range(1, k)) AS c FROM f WHERE k >= 2),
+both_parts AS (SELECT cuts.*, x.a AS l, y.a AS r, (2000000::HUGEINT * cuts.a) // (x.a + y.a) AS score
+          FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(ws[1:c], ' ')
+                    JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(ws[c + 1:cuts.k], ' ')),
+cand AS (SELECT * FROM both_parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+sizes AS (SELECT lang, a, ws, k, unnest(range(2, k)) AS m FROM cand WHERE k >= 3),
+subs AS (SELECT lang, a, ws, m, unnest(range(1, k - m + 2)) AS i FROM sizes),
+inner_max AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS f FROM subs GROUP BY ALL),
+kept AS (SELECT cand.* FROM cand LEFT JOIN inner_max USING (lang, phrase)
+         WHERE inner_max.f IS NULL OR 100::HUGEINT * inner_max.f < 80::HUGEINT * cand.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+       score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@register("op12_phrases", "LLM12", OP12_SQL)
+def op12_phrases(spark, sf_dir):
+    """The best collocations of every language."""
+    return phrases.collocations(load_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+@register("op13_token_counts", "LLM13")
+def op13_token_counts(spark, sf_dir):
+    """Tokens of every document and whether they pass the limit."""
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, vocabulary("word_bpe_49k.json"))
+    return token_counts.limits(counted, TOKEN_LIMIT).select("doc_id", "n_bytes", "n_tokens", "over_limit")
