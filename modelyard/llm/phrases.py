@@ -3,19 +3,27 @@
 Level k is a relation of the occurrences of frequent phrases of k words, kept
 in blocks sorted by piece and position and written to the shared folder:
 
-1. a merge join by piece and adjacent position extends every occurrence by the
-   next frequent word (inside a block, both sides sorted by position);
+1. a merge join of the relation with itself at adjacent positions of a piece
+   extends a phrase of k words by the last word of the frequent phrase that
+   starts one word later;
 2. a block counts its distinct phrases, so a phrase that holds a third of the
    corpus is one row per block when Spark groups and counts them;
 3. the phrases below the least count go, and a semi-join back to the blocks
    leaves only occurrences of frequent phrases before the next level.
 
-Nothing is broadcast and nothing reaches the driver: frequent phrases grow with
-the corpus, so each block receives those it holds through a join on its number.
+Frequent phrases grow with the corpus, so none are broadcast or collected: each
+block receives those it holds through a join on its number.  What is broadcast
+is a bitmap of fixed size: while a level is filtered, its tasks count hashed
+candidates of the next one in a table of 2^24 saturating counters, and a
+candidate whose counter stays below the least count is not listed at all.  A
+counter holds at least the count of each of its phrases, so this only saves
+rows; the exact counts decide.
 """
 
 from __future__ import annotations
 
+import zlib
+from array import array
 from collections import defaultdict
 from itertools import count
 
@@ -26,18 +34,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .arrow import text_slices
 
 LEAST_COUNT = 30
 LONGEST = 4
 TOP = 2000
 UNKNOWN = "und"
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 22
 # A phrase is named by its first place: the block it is least in and its number
-# there.  A block has fewer than 2^22 words (BLOCK_WORDS and one more piece part).
-_PLACE_BITS = 22
-_BLOCK_BITS = 20
-
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else 10 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b
+# there.  A block has less than two times BLOCK_WORDS places.
+_PLACE_BITS, _BLOCK_BITS = 24, 18
+# Hashed counters, and how many of them make a row of their table.
+_HEAT_BITS, _CHUNK = 24, 1 << 14
+
+# A-Z in lower case, tabs as blanks, ends of pieces as a byte no UTF-8 text has.
+_END = b"\xff"
+_SPLIT = bytes(b + 32 if 65 <= b <= 90 else _END[0] if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b
                for b in range(256))
 
 
@@ -47,138 +59,249 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    return pa.compress(numbers.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob, decompressed_size=4 * size, codec="zstd", asbytes=True), np.int32)
+
+
+# -- hashed counters -----------------------------------------------------------
+class _Heat:
+    """A task's saturating counters of hashed candidates."""
+
+    def __init__(self, least: int):
+        self.cap = least
+        self.table = np.zeros(1 << _HEAT_BITS, np.min_scalar_type(least))
+
+    def add(self, hashes: np.ndarray, counts: np.ndarray | None = None) -> None:
+        if counts is None:
+            at, n = np.unique(hashes, return_counts=True)
+        else:
+            at, inverse = np.unique(hashes, return_inverse=True)
+            n = np.bincount(inverse, weights=counts)
+        self.table[at] = np.minimum(self.table[at] + n.astype(np.int64), self.cap)
+
+    def rows(self):
+        """(chunk, counters) of the chunks in use."""
+        for i, part in enumerate(self.table.reshape(-1, _CHUNK)):
+            if part.any():
+                yield i, part.tobytes()
+
+
+def _pair_hash(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    h = first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + last.astype(np.uint64)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return (h >> np.uint64(64 - _HEAT_BITS)).astype(np.uint32)
+
+
+def _hot(rows: DataFrame, least: int):
+    """The bitmap of the counters that reach ``least``, broadcast (2 MB at any size)."""
+    kind = np.min_scalar_type(least)
+
+    def total(batches):
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for chunk, table in zip(b.column("chunk").to_pylist(), b.column("heat").to_pylist()):
+                got = np.frombuffer(table, kind).astype(np.uint32)
+                sums[chunk] = np.minimum(sums.get(chunk, 0) + got, least)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()),
+             pa.array([np.packbits(s >= least).tobytes() for s in sums.values()], pa.binary())],
+            names=["chunk", "bits"])
+
+    bits = np.zeros(1 << (_HEAT_BITS - 3), np.uint8)
+    size = _CHUNK // 8
+    for r in (rows.where("chunk IS NOT NULL").select("chunk", "heat").repartition("chunk")
+              .mapInArrow(total, "chunk int, bits binary").collect()):
+        bits[r["chunk"] * size:(r["chunk"] + 1) * size] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return rows.sparkSession.sparkContext.broadcast(bits)
+
+
+# -- level 1 -------------------------------------------------------------------
 class _Block:
-    """Occurrences of one language on their way into a block."""
+    """Occurrences of one language on their way into a block; number 0 ends a piece."""
 
     def __init__(self):
-        self.number: defaultdict[bytes, int] = defaultdict(count().__next__)
-        self.places: list[int] = []
+        self.number: defaultdict[bytes, int] = defaultdict(count(1).__next__, {_END: 0})
+        self.places = array("i")
+        self.own = 0
 
-    def add(self, words: list[bytes], after: list[bytes] = ()) -> None:
-        """A piece part; ``after`` are the next words of the piece, which start no phrase here."""
+    def add(self, words: list[bytes], after: list[bytes]) -> None:
+        """Words of a text; ``after`` are the next ones, which start no phrase of this block."""
         get = self.number.__getitem__
-        self.places += map(get, words)
-        self.places += [-2 - get(w) for w in after]
-        self.places.append(-1)
+        self.places.extend(map(get, words))
+        self.own = len(self.places)
+        self.places.extend(map(get, after))
+        self.places.append(0)
 
 
-def _blocks(block_words: int, longest: int):
-    """Arrow batches of (lang, text) to blocks: places, words and their counts."""
-    def rows(blocks, seq):
+_BLOCK_SCHEMA = ("block long, lang string, own int, size int, starts binary, words array<string>, "
+                 "hashes binary, counts binary, n long, chunk int, heat binary")
+
+
+def _nulls(names_types: list[tuple[str, pa.DataType]], given: dict, n: int = 1) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([given.get(c, pa.nulls(n, t)) for c, t in names_types],
+                                      names=[c for c, _ in names_types])
+
+
+def _one(value, kind: pa.DataType) -> pa.Array:
+    return pa.array([value], kind)
+
+
+def _blocks(block_words: int, longest: int, least: int):
+    """Arrow batches of (lang, text) to blocks, then the counters of their words."""
+    kinds = [("block", pa.int64()), ("lang", pa.string()), ("own", pa.int32()), ("size", pa.int32()),
+             ("starts", pa.binary()), ("words", pa.list_(pa.string())), ("hashes", pa.binary()),
+             ("counts", pa.binary()), ("n", pa.int64()), ("chunk", pa.int32()), ("heat", pa.binary())]
+
+    def rows(blocks, seq, heat):
         part = TaskContext.get().partitionId()
         for lang, block in blocks.items():
-            if block.places:
-                places = np.array(block.places, dtype=np.int32)
-                own = places[places >= 0]
-                counts = np.bincount(own, minlength=len(block.number)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([(part << _BLOCK_BITS | next(seq)) << _PLACE_BITS], pa.int64()),
-                     pa.array([lang], pa.string()), pa.array([places.tobytes()], pa.binary()),
-                     pa.array([list(block.number)], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-                     pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.array(counts))],
-                    names=["block", "lang", "places", "words", "counts"])
+            starts = np.frombuffer(block.places, np.int32) - 1
+            words = list(block.number)[1:]
+            counts = np.bincount(starts[:block.own][starts[:block.own] >= 0], minlength=len(words)).astype(np.int32)
+            prefix = zlib.crc32(lang.encode("utf-8") + b"\t")
+            hashes = np.fromiter([zlib.crc32(w, prefix) for w in words], np.uint32, len(words)) \
+                & np.uint32((1 << _HEAT_BITS) - 1)
+            heat.add(hashes, counts)
+            yield _nulls(kinds, {
+                "block": _one((part << _BLOCK_BITS | next(seq)) << _PLACE_BITS, pa.int64()),
+                "lang": _one(lang, pa.string()), "own": _one(block.own, pa.int32()),
+                "size": _one(len(starts), pa.int32()), "starts": _one(_packed(starts), pa.binary()),
+                "words": _one(words, pa.list_(pa.binary())).cast(pa.list_(pa.string())),
+                "hashes": _one(hashes.tobytes(), pa.binary()), "counts": _one(counts.tobytes(), pa.binary()),
+                "n": _one(int(counts.sum()), pa.int64())})
 
     def run(batches):
-        seq = count()
+        seq, heat = count(), _Heat(least)
         blocks: defaultdict[str, _Block] = defaultdict(_Block)
         held = 0
-        for batch in batches:
-            langs, texts = batch.column("lang"), batch.column("text")
-            for i in range(batch.num_rows):
-                text = texts[i].as_py()
-                if not text:
-                    continue
-                lang = langs[i].as_py()
-                for piece in text.encode("utf-8").translate(_LOWER).split(b"\n"):
-                    words = [w for w in piece.split(b" ") if w]
+        for whole in batches:
+            for batch in text_slices(whole, "text"):
+                for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                    if not text:
+                        continue
+                    words = text.encode("utf-8").translate(_SPLIT).replace(_END, b" " + _END + b" ").split()
                     for a in range(0, len(words), block_words):
                         part = words[a:a + block_words]
-                        blocks[lang].add(part, words[a + block_words:a + block_words + longest - 1])
-                        held += len(part) + longest
-                        if held >= block_words:
-                            yield from rows(blocks, seq)
+                        after = words[a + block_words:a + block_words + longest - 1]
+                        blocks[lang].add(part, after)
+                        held += len(part)
+                        if after or held >= block_words:
+                            yield from rows(blocks, seq, heat)
                             blocks.clear()
                             held = 0
-        yield from rows(blocks, seq)
+        yield from rows(blocks, seq, heat)
+        for chunk, table in heat.rows():
+            yield _nulls(kinds, {"chunk": _one(chunk, pa.int32()), "heat": _one(table, pa.binary())})
     return run
 
 
-def _table(lists: pa.Array, i: int) -> np.ndarray:
-    return lists[i].values.to_numpy(zero_copy_only=False) if lists[i].is_valid else np.empty(0, np.int64)
+def _listed_words(hot):
+    """(block, place, lang, word, n) of the words whose counter is hot."""
+    def run(batches):
+        bits = np.unpackbits(hot.value).astype(bool)
+        for b in batches:
+            for i in range(b.num_rows):
+                at = np.flatnonzero(bits[np.frombuffer(b.column("hashes")[i].as_py(), np.uint32)])
+                if len(at):
+                    counts = np.frombuffer(b.column("counts")[i].as_py(), np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(at), b.column("block")[i].as_py())), pa.array(at.astype(np.int64)),
+                         pa.array([b.column("lang")[i].as_py()] * len(at), pa.string()),
+                         b.column("words")[i].values.take(pa.array(at)), pa.array(counts[at].astype(np.int64))],
+                        names=["block", "place", "lang", "word", "n"])
+    return run
+
+
+# -- from level k to level k + 1 -----------------------------------------------
+def _adjacent(starts: np.ndarray) -> np.ndarray:
+    """Positions at which a frequent phrase starts, and another one word later."""
+    return np.flatnonzero((starts[:-1] >= 0) & (starts[1:] >= 0))
 
 
-def _extend(batches):
-    """Merge join of phrase occurrences with the word after them, and a count per block.
+_HELD_SCHEMA = "block long, own int, size int, starts binary, names binary, chunk int, heat binary"
 
-    ``places`` holds the word number at every position (-1: end of a piece, or
-    no frequent word; -2-n: word n, which starts no phrase in this block),
-    ``starts`` the phrase number at its first word (-1: none).  ``old`` and
-    ``ids`` list the block's frequent phrases and their names.
+
+def _frequent_only(least: int):
+    """The semi-join inside a block, then the counters of the next level's candidates.
+
+    ``starts`` holds the number of the phrase at its first word (-1: none or the
+    end of a piece); ``old`` and ``ids`` list the numbers and names of those
+    that are frequent.
     """
-    for batch in batches:
-        cols = {n: batch.column(n) for n in batch.schema.names}
-        for i in range(batch.num_rows):
-            k = cols["k"][i].as_py()
-            places = np.frombuffer(cols["places"][i].as_py(), np.int32)
-            old, ids = _table(cols["old"], i), _table(cols["ids"], i)
-            if k == 1:
-                size = int(max(places.max(initial=-1), -2 - places.min(initial=0))) + 1
-                names = np.full(size, -1, np.int64)
-                names[old] = ids
-                word = np.where(places <= -2, -2 - places, places)
-                word = np.where(word >= 0, names[word], -1)
-                # Only frequent words keep a number.
-                places = np.where(word >= 0, places, -1).astype(np.int32)
-                starts, phrase = places, np.where(places >= 0, word, -1)
-            else:
-                word_names = np.frombuffer(cols["word_names"][i].as_py(), np.int64)
-                word = np.where(places <= -2, -2 - places, places)
-                word = np.where(word >= 0, word_names[word], -1)
-                starts = np.frombuffer(cols["starts"][i].as_py(), np.int32)
-                names = np.full(int(starts.max(initial=-1)) + 1, -1, np.int64)
-                names[old] = ids
-                phrase = np.where(starts >= 0, names[starts], -1) if len(names) else np.full(len(starts), -1)
-            # Adjacent positions of one piece: k words on, with no end between.
-            at = np.flatnonzero((phrase[:len(phrase) - k] >= 0) & (word[k:] >= 0)) if len(phrase) > k \
-                else np.empty(0, np.int64)
-            first, last = phrase[at], word[at + k]
-            order = np.lexsort((last, first))
-            new = np.ones(len(at), bool)
-            new[1:] = (np.diff(first[order]) != 0) | (np.diff(last[order]) != 0)
-            heads = np.flatnonzero(new)
-            found = np.full(len(places), -1, np.int32)
-            found[at[order]] = np.cumsum(new) - 1
-            counts = np.diff(np.append(heads, len(at)))
-            if k == 1:
-                word_names = names
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([cols["block"][i].as_py()], pa.int64()),
-                 pa.array([places.tobytes()], pa.binary()), pa.array([word_names.tobytes()], pa.binary()),
-                 pa.array([found.tobytes()], pa.binary())]
-                + [pa.ListArray.from_arrays(pa.array([0, len(heads)], pa.int32()), pa.array(x.astype(np.int64)))
-                   for x in (first[order][heads], last[order][heads], counts)],
-                names=["block", "places", "word_names", "starts", "first", "last", "counts"])
+    kinds = [("block", pa.int64()), ("own", pa.int32()), ("size", pa.int32()), ("starts", pa.binary()),
+             ("names", pa.binary()), ("chunk", pa.int32()), ("heat", pa.binary())]
+
+    def run(batches):
+        heat = _Heat(least)
+        for b in batches:
+            for i in range(b.num_rows):
+                row = {n: b.column(n)[i] for n in ("block", "own", "size", "starts")}
+                size, own = row["size"].as_py(), row["own"].as_py()
+                starts = _unpacked(row["starts"].as_py(), size)
+                names = np.full(int(starts.max(initial=-1)) + 2, -1, np.int64)
+                names[b.column("old")[i].values.to_numpy()] = b.column("ids")[i].values.to_numpy()
+                # The last entry stays -1, so that number -1 has no name either.
+                starts = np.where(names[starts] >= 0, starts, -1).astype(np.int32)
+                at = _adjacent(starts)
+                at = at[at < own]
+                heat.add(_pair_hash(names[starts[at]], names[starts[at + 1]]))
+                yield _nulls(kinds, {
+                    "block": _one(row["block"].as_py(), pa.int64()), "own": _one(own, pa.int32()),
+                    "size": _one(size, pa.int32()), "starts": _one(_packed(starts), pa.binary()),
+                    "names": _one(names.tobytes(), pa.binary())})
+        for chunk, table in heat.rows():
+            yield _nulls(kinds, {"chunk": _one(chunk, pa.int32()), "heat": _one(table, pa.binary())})
+    return run
+
+
+def _extended(hot):
+    """Merge join of a block's phrases at adjacent positions, and a count of what comes out."""
+    def run(batches):
+        bits = np.unpackbits(hot.value).astype(bool)
+        for b in batches:
+            for i in range(b.num_rows):
+                size, own = b.column("size")[i].as_py(), b.column("own")[i].as_py()
+                starts = _unpacked(b.column("starts")[i].as_py(), size)
+                names = np.frombuffer(b.column("names")[i].as_py(), np.int64)
+                at = _adjacent(starts)
+                first, last = starts[at], starts[at + 1]
+                keep = bits[_pair_hash(names[first], names[last])]
+                at = at[keep]
+                pairs, place = np.unique(first[keep].astype(np.int64) << 32 | last[keep], return_inverse=True)
+                found = np.full(size, -1, np.int32)
+                found[at] = place
+                counts = np.bincount(place[at < own], minlength=len(pairs)).astype(np.int64)
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pa.array(x)) for x in
+                         (names[pairs >> 32], names[pairs & 0xFFFFFFFF], counts)]
+                yield pa.RecordBatch.from_arrays(
+                    [_one(b.column("block")[i].as_py(), pa.int64()), _one(own, pa.int32()), _one(size, pa.int32()),
+                     _one(_packed(found), pa.binary()), *lists],
+                    names=["block", "own", "size", "starts", "first", "last", "counts"])
+    return run
 
 
 def _frequent(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
     """``rows(block, place, keys, n)`` of frequent phrases, with their count ``a`` and name ``id``.
 
     Each block has a phrase once, so no key is hot; one exchange serves the
-    count and the semi-join.
+    count and the semi-join.  A hash goes first so that the sort compares longs.
     """
-    same = Window.partitionBy(*keys)
-    return (rows.withColumn("a", F.sum("n").over(same))
+    same = Window.partitionBy(F.xxhash64(*keys), *keys)
+    return (rows.repartition(*keys).withColumn("a", F.sum("n").over(same))
             .withColumn("id", F.min(F.col("block") + F.col("place")).over(same))
             .where(F.col("a") >= least))
 
 
-def _semi_join(blocks: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
-    """Blocks with the names of their frequent phrases."""
+def _semi_join(blocks: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Blocks with the numbers and names of their frequent phrases."""
     held = (frequent.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("mk_held"))
-            .select(F.col("block").alias("mk_block"), F.col("mk_held.place").cast("array<long>").alias("old"),
+            .select(F.col("block").alias("mk_block"), F.col("mk_held.place").alias("old"),
                     F.col("mk_held.id").alias("ids")))
-    return (blocks.join(held, blocks.block == F.col("mk_block")).drop("mk_block")
-            .withColumn("k", F.lit(k)))
+    return blocks.join(held, blocks.block == F.col("mk_block")).drop("mk_block")
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -190,52 +313,46 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     A-Z are lower-cased, texts cut at ``[.,;:!?]`` and line ends into pieces,
     those at blanks and tabs into words; overlapping occurrences all count.  A
     null language is ``und``; null and empty texts have no words; repeated rows
-    count as often as they stand there.
+    count as often as they stand there.  A text longer than a block is cut, and
+    each part knows the words after it.
     """
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
                        F.col(text_col).alias("text"))
-    blocks = _kept(rows.mapInArrow(_blocks(block_words, longest),
-                                   "block long, lang string, places binary, words array<string>, counts array<long>"),
-                   "phrase-words")
-    totals = blocks.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x).alias("n")) \
-        .groupBy("lang").agg(F.sum("n").alias("n"))
-    listed = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w")) \
-        .select("block", "place", "lang", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    made = _kept(rows.mapInArrow(_blocks(block_words, longest, least), _BLOCK_SCHEMA), "phrase-words")
+    blocks = made.where("chunk IS NULL")
+    totals = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
+    listed = blocks.select("block", "lang", "words", "hashes", "counts").mapInArrow(
+        _listed_words(_hot(made, least)), "block long, place long, lang string, word string, n long")
     level = _kept(_frequent(listed, ["lang", "word"], least).select("block", "place", "id", "lang", "word", "a"),
                   "phrase-level1")
     named = level.where(F.col("id") == F.col("block") + F.col("place"))
-    words = named.select("id", "lang", F.col("word").alias("phrase"), F.array("word").alias("words"), "a")
-    phrases, all_levels = words, [words.withColumn("k", F.lit(1))]
-    held = blocks.select("block", "places")
+    phrases = named.select("id", "lang", F.array("word").alias("words"), "a")
+    all_levels = [phrases]
+    held = blocks.select("block", "own", "size", "starts")
     for k in range(1, longest):
-        joined = _semi_join(held, level, k)
-        if k == 1:
-            joined = joined.select("block", "places", "old", "ids", "k")
-        held = _kept(joined.mapInArrow(
-            _extend, "block long, places binary, word_names binary, starts binary, "
-                     "first array<long>, last array<long>, counts array<long>"), f"phrase-occurrences{k + 1}")
+        made = _kept(_semi_join(held, level).mapInArrow(_frequent_only(least), _HELD_SCHEMA), f"phrase-held{k}")
+        joined = made.where("chunk IS NULL").drop("chunk", "heat").mapInArrow(
+            _extended(_hot(made, least)), "block long, own int, size int, starts binary, "
+                                          "first array<long>, last array<long>, counts array<long>")
+        held = _kept(joined, f"phrase-occurrences{k + 1}")
         listed = held.select("block", F.posexplode(F.arrays_zip("first", "last", "counts")).alias("place", "p")) \
             .select("block", "place", F.col("p.first").alias("first"), F.col("p.last").alias("last"),
                     F.col("p.counts").alias("n"))
-        held = held.select("block", "places", "word_names", "starts")
-        if k + 1 < longest:
-            level = _kept(_frequent(listed, ["first", "last"], least)
-                          .select("block", "place", "id", "first", "last", "a"), f"phrase-level{k + 1}")
-            named = level.where(F.col("id") == F.col("block") + F.col("place")).select("id", "first", "last", "a")
-        else:
-            named = (listed.groupBy("first", "last").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-                     .withColumn("id", F.lit(None).cast("long")))
-        heads = phrases.select(F.col("id").alias("first"), "lang", F.col("phrase").alias("mk_phrase"),
-                               F.col("words").alias("mk_words"))
-        tails = words.select(F.col("id").alias("last"), F.col("phrase").alias("mk_word"))
+        held = held.drop("first", "last", "counts")
+        level = _kept(_frequent(listed, ["first", "last"], least)
+                      .select("block", F.col("place").cast("long"), "id", "first", "last", "a"), f"phrase-level{k + 1}")
+        named = level.where(F.col("id") == F.col("block") + F.col("place")).select("id", "first", "last", "a")
+        heads = phrases.select(F.col("id").alias("first"), "lang", "words")
+        tails = phrases.select(F.col("id").alias("last"), F.element_at("words", -1).alias("mk_word"))
         phrases = _kept(named.join(heads, "first").join(tails, "last")
-                        .select("id", "lang", F.concat_ws(" ", "mk_phrase", "mk_word").alias("phrase"),
-                                F.concat("mk_words", F.array("mk_word")).alias("words"), "a"), f"phrases{k + 1}")
-        all_levels.append(phrases.withColumn("k", F.lit(k + 1)))
+                        .select("id", "lang", F.concat("words", F.array("mk_word")).alias("words"), "a"),
+                        f"phrases{k + 1}")
+        all_levels.append(phrases)
     out = all_levels[0]
     for more in all_levels[1:]:
         out = out.unionByName(more)
-    return out.drop("id"), totals
+    return out.select("lang", F.size("words").alias("k"), F.array_join("words", " ").alias("phrase"),
+                      "words", "a"), totals
 
 
 def scored(phrases: DataFrame) -> DataFrame:
