@@ -15,7 +15,7 @@ from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,48 +76,72 @@ def _stretch(words: np.ndarray, lag: int, i: int) -> tuple[int, int]:
     return a, b
 
 
+# Lags below this are compared at every place; others from equal grams of
+# half as many words on.
+_SHORT_LAGS = 16
+_GRAM = _SHORT_LAGS // 2
+
+
+def _gram_hashes(words: np.ndarray) -> np.ndarray:
+    """A hash of the ``_GRAM`` words from every place on (fewer places than words)."""
+    h = words.astype(np.uint64) + np.uint64(1)
+    for step, factor in ((1, 0x9E3779B97F4A7C15), (2, 0xD6E8FEB86659FD93), (4, 0xA24BAED4963EE407)):
+        h = h[:-step] * np.uint64(factor) + (h[step:] ^ (h[step:] >> np.uint64(29)))
+    return h
+
+
 def lag_scan(words: np.ndarray, least: int = LEAST_WORDS) -> list[tuple[int, int, int]]:
     """All runs ``(start, length, period)`` of one segment.
 
-    A run of period q holds ``need`` places in a row that equal the word q
-    later.  Every lag is first compared at about eight places in each stretch
-    of that length; only where they all agree the stretch is followed to its
-    ends.  Multiples of a period inside a known run are skipped.
+    A run of period q holds ``max(least - q, q)`` places in a row that equal the
+    word q later.  Short lags are compared at every place.  Lags from ``s`` to
+    ``2s`` are compared at places ``s / 2`` apart: one of them lies so early in
+    the run's first period that the gram from there on comes again q later.
+    Grams are compared by hash, for all lags of a scale at once; a hit is
+    followed to its ends on the words themselves.  Hits that a known run of a
+    shorter period explains are multiples of it.
     """
     n = len(words)
     runs: list[tuple[int, int, int]] = []
-    known: dict[int, tuple[list[int], list[int], int]] = {}
-    for lag in range(1, n // 2 + 1):
+    for lag in range(1, min(n // 2, _SHORT_LAGS - 1) + 1):
         need = max(least - lag, lag)
-        if n - lag < need:
-            continue
-        step = max(1, need // 8)
-        agree = words[step - 1:n - lag:step] == words[step - 1 + lag::step]
-        bad = np.concatenate([[-1], np.flatnonzero(~agree), [len(agree)]])
-        held = np.flatnonzero(np.diff(bad) > need // step)
-        if not len(held):
-            continue
-        parts = [known[p] for p in known if lag % p == 0 and known[p][2] > lag]
+        bad = np.flatnonzero(words[:n - lag] != words[lag:])
+        ends = np.append(bad, n - lag)
+        begins = np.append(0, bad + 1)
+        for i in np.flatnonzero(ends - begins >= need):
+            a, b = int(begins[i]), int(ends[i]) + lag
+            if not any(p < lag and lag % p == 0 and s <= a and b <= s + size for s, size, p in runs):
+                runs.append((a, b - a, lag))
+    if n < 2 * _SHORT_LAGS:
+        return runs
+    grams = _gram_hashes(words)
+    scale = _SHORT_LAGS
+    while scale <= n // 2:
+        step = scale // 2
+        ahead = np.concatenate([grams[scale:], np.zeros(2 * scale, np.uint64)])
+        anchors = grams[:max(0, len(grams) - scale):step]
+        windows = np.lib.stride_tricks.sliding_window_view(ahead, scale)[::step][:len(anchors)]
+        at, more = np.nonzero(windows == anchors[:, None])
+        at, lag = at * step, more + scale
+        inside = (at + lag < len(grams)) & (lag <= n // 2)
+        at, lag = at[inside], lag[inside]
+        for s, size, p in runs:
+            if size > scale and len(at):
+                other = ~((lag % p == 0) & (at >= s) & (at + lag < s + size))
+                at, lag = at[other], lag[other]
+        order = np.lexsort((at, lag))
+        done, last = 0, 0
         new = []
-        done = 0
-        for first in (bad[held] + 1) * step + step - 1:
-            if first < done:
-                continue
-            covered = False
-            for begins, ends, _ in parts:
-                k = int(np.searchsorted(begins, first, "right")) - 1
-                if k >= 0 and first + lag < ends[k]:
-                    covered = True
-                    break
-            if covered:
+        for i in order:
+            a, q = int(at[i]), int(lag[i])
+            if q == last and a < done:
                 continue
-            a, b = _stretch(words, lag, int(first))
-            done = b
-            if b - a >= need:
-                new.append((a, b + lag))
-        if new:
-            known[lag] = ([a for a, _ in new], [b for _, b in new], max(b - a for a, b in new))
-            runs += [(a, b - a, lag) for a, b in new]
+            begin, end = _stretch(words, q, a)
+            done, last = end, q
+            if end - begin >= max(least - q, q):
+                new.append((begin, end - begin + q, q))
+        runs += new
+        scale *= 2
     return runs
 
 
@@ -172,22 +196,26 @@ def periodic_runs(df: DataFrame, text_col: str = "text", least: int = LEAST_WORD
                                T.StructField("collapsed", T.StringType())], text_col)
 
 
-def looped(text: Column, doc_id: Column) -> Column:
-    """The text with its tail turned into a loop, for ids whose hash ends in 0.
+def looped_texts(df: DataFrame, text_col: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The table with the tail of some texts turned into a loop: where the id's hash ends in 0.
 
     With h = crc32 of the decimal id, g = h div 10 and n words: where h % 10 = 0
     and n > 0, word i >= a becomes word a + (i - a) % p, for a = g % n and
     p = 1 + (n - a) div (3 + g % 8).  Other texts, and those of a null id, stay.
     """
-    h = F.crc32(doc_id.cast("string").cast("binary"))
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    g, n = F.floor(h / 10).cast("int"), F.size(words)
-    a = g % n
-    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
-    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int"))),
-                   F.lit(1), n - a)
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")) \
-        .otherwise(text)
+    h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
+    words = F.array_remove(F.split(text_col, r"[\x20\x09-\x0D]+"), "")
+    # Split once; the steps below only read what the one before has made.
+    out = df.withColumns({"mk_words": F.when(h % 10 == 0, words), "mk_g": F.floor(h / 10).cast("bigint")})
+    out = out.withColumn("mk_n", F.size("mk_words"))
+    out = out.withColumn("mk_a", F.when(F.col("mk_n") > 0, F.col("mk_g") % F.col("mk_n")).cast("int"))
+    rest = F.col("mk_n") - F.col("mk_a")
+    out = out.withColumn("mk_p", (F.lit(1) + F.floor(rest / (F.lit(3) + F.col("mk_g") % 8))).cast("int"))
+    cycle = F.array_repeat(F.slice("mk_words", F.col("mk_a") + 1, F.col("mk_p")), F.ceil(rest / F.col("mk_p")).cast("int"))
+    tail = F.slice(F.flatten(cycle), F.lit(1), rest)
+    made = F.array_join(F.concat(F.slice("mk_words", F.lit(1), F.col("mk_a")), tail), " ")
+    return (out.withColumn(text_col, F.when(F.col("mk_a").isNotNull(), made).otherwise(F.col(text_col)))
+            .drop("mk_words", "mk_g", "mk_n", "mk_a", "mk_p"))
 
 
 def report(found: DataFrame, *keep: str) -> DataFrame:

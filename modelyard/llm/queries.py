@@ -163,9 +163,8 @@ def op10_decontaminate(spark, sf_dir):
 @register("op11_periodic_runs", "LLM11")
 def op11_periodic_runs(spark, sf_dir):
     """Runs of every document, those whose hash ends in 0 with a looped tail."""
-    docs = load_table(spark, sf_dir, "documents")
-    read = docs.select("doc_id", periodic_runs.looped(F.col("text"), F.col("doc_id")).alias("text"))
-    return periodic_runs.report(periodic_runs.periodic_runs(read), "doc_id")
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.report(periodic_runs.periodic_runs(periodic_runs.looped_texts(docs)), "doc_id")
 
 
 OP12_SQL = r"""

@@ -60,6 +60,11 @@ def random_words(rng):
 def test_runs_equal_brute_force():
     rng = random.Random(5)
     texts = [random_words(rng) for _ in range(400)]
+    # Long periods, in random words and inside one another.
+    for period in (15, 16, 17, 31, 32, 33, 50, 64, 90):
+        loop = [rng.choice("abcdefgh") for _ in range(period)]
+        inner = ["x"] * 13 + loop + ["y", "z"] * 9
+        texts += [["p"] + loop * 2 + ["q"], loop * 3 + loop[:5], inner * 2, inner * 3 + ["x"]]
     got = periodic_runs.find([[w.encode() for w in t] for t in texts])
     for words, runs in zip(texts, got):
         assert runs == runs_brute(words), words
@@ -104,7 +109,7 @@ def test_periodic_report_equals_brute_force(spark):  # noqa: F811
     rows = [(i, " ".join(random_words(rng)) + rng.choice(["", " \n", "\x0b\x0c"])) for i in range(300)]
     rows += [(7_000_001, None), (7_000_002, ""), (7_000_003, "é è " * 20), (7_000_003, "é è " * 20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    read = docs.select("doc_id", periodic_runs.looped(F.col("text"), F.col("doc_id")).alias("text"))
+    read = periodic_runs.looped_texts(docs)
     got = sorted(map(tuple, periodic_runs.report(periodic_runs.periodic_runs(read), "doc_id").collect()))
     assert got == sorted(report_brute(*r) for r in rows)
 
