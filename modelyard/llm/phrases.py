@@ -13,22 +13,22 @@ in blocks sorted by piece and position and written to the shared folder:
 
 Frequent phrases grow with the corpus, so none are broadcast or collected: each
 block receives those it holds through a join on its number.  What is broadcast
-is a bitmap of fixed size: while a level is filtered, its tasks count hashed
+is bitmaps of fixed size: while a level is made, its tasks count hashed
 candidates of the next one in a table of 2^24 saturating counters, and a
-candidate whose counter stays below the least count is not listed at all.  A
-counter holds at least the count of each of its phrases, so this only saves
-rows; the exact counts decide.
+candidate whose counter stays below the least count is not listed at all; words
+that are in no such pair are not listed either.  A counter holds at least the
+count of each of its phrases, so this only saves rows; the exact counts decide.
 """
 
 from __future__ import annotations
 
-import zlib
 from array import array
 from collections import defaultdict
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,13 +75,12 @@ class _Heat:
         self.cap = least
         self.table = np.zeros(1 << _HEAT_BITS, np.min_scalar_type(least))
 
-    def add(self, hashes: np.ndarray, counts: np.ndarray | None = None) -> None:
-        if counts is None:
-            at, n = np.unique(hashes, return_counts=True)
-        else:
-            at, inverse = np.unique(hashes, return_inverse=True)
-            n = np.bincount(inverse, weights=counts)
-        self.table[at] = np.minimum(self.table[at] + n.astype(np.int64), self.cap)
+    def add(self, hashes: np.ndarray) -> None:
+        at, n = np.unique(hashes, return_counts=True)
+        self.table[at] = np.minimum(self.table[at] + n, self.cap)
+
+    def mark(self, hashes: np.ndarray) -> None:
+        self.table[hashes] = self.cap
 
     def rows(self):
         """(chunk, counters) of the chunks in use."""
@@ -90,12 +89,30 @@ class _Heat:
                 yield i, part.tobytes()
 
 
+# Positions whose candidates are hashed at once.
+_SLICE = 1 << 19
+
+
+def _slices(size: int):
+    return [slice(a, min(a + _SLICE, size)) for a in range(0, size, _SLICE)]
+
+
 def _pair_hash(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     h = first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + last.astype(np.uint64)
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
     return (h >> np.uint64(64 - _HEAT_BITS)).astype(np.uint32)
 
 
+def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    """What Spark's xxhash64(lang, word) gives."""
+    seed = xxhash.xxh64_intdigest(lang.encode("utf-8"), 42)
+    return np.fromiter([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64, len(words))
+
+
+def _word_bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - _HEAT_BITS)).astype(np.uint32)
+
+
 def _hot(rows: DataFrame, least: int):
     """The bitmap of the counters that reach ``least``, broadcast (2 MB at any size)."""
     kind = np.min_scalar_type(least)
@@ -138,7 +155,7 @@ class _Block:
 
 
 _BLOCK_SCHEMA = ("block long, lang string, own int, size int, starts binary, words array<string>, "
-                 "hashes binary, counts binary, n long, chunk int, heat binary")
+                 "counts binary, n long, chunk int, heat binary")
 
 
 def _nulls(names_types: list[tuple[str, pa.DataType]], given: dict, n: int = 1) -> pa.RecordBatch:
@@ -150,29 +167,34 @@ def _one(value, kind: pa.DataType) -> pa.Array:
     return pa.array([value], kind)
 
 
+def _heat_row(kinds, chunk: int, table: bytes) -> pa.RecordBatch:
+    return _nulls(kinds, {"chunk": _one(chunk, pa.int32()), "heat": _one(table, pa.binary())})
+
+
 def _blocks(block_words: int, longest: int, least: int):
-    """Arrow batches of (lang, text) to blocks, then the counters of their words."""
+    """Arrow batches of (lang, text) to blocks, then the counters of their pairs of words."""
     kinds = [("block", pa.int64()), ("lang", pa.string()), ("own", pa.int32()), ("size", pa.int32()),
-             ("starts", pa.binary()), ("words", pa.list_(pa.string())), ("hashes", pa.binary()),
-             ("counts", pa.binary()), ("n", pa.int64()), ("chunk", pa.int32()), ("heat", pa.binary())]
+             ("starts", pa.binary()), ("words", pa.list_(pa.string())), ("counts", pa.binary()),
+             ("n", pa.int64()), ("chunk", pa.int32()), ("heat", pa.binary())]
 
     def rows(blocks, seq, heat):
         part = TaskContext.get().partitionId()
-        for lang, block in blocks.items():
+        for lang in list(blocks):
+            block = blocks.pop(lang)
             starts = np.frombuffer(block.places, np.int32) - 1
             words = list(block.number)[1:]
-            counts = np.bincount(starts[:block.own][starts[:block.own] >= 0], minlength=len(words)).astype(np.int32)
-            prefix = zlib.crc32(lang.encode("utf-8") + b"\t")
-            hashes = np.fromiter([zlib.crc32(w, prefix) for w in words], np.uint32, len(words)) \
-                & np.uint32((1 << _HEAT_BITS) - 1)
-            heat.add(hashes, counts)
+            own = starts[:block.own]
+            counts = np.bincount(own[own >= 0], minlength=len(words)).astype(np.int32)
+            hashes = _word_hashes(lang, words)
+            for cut in _slices(block.own):
+                at = cut.start + _adjacent(starts[cut.start:cut.stop + 1])
+                heat.add(_pair_hash(hashes[starts[at]], hashes[starts[at + 1]]))
             yield _nulls(kinds, {
                 "block": _one((part << _BLOCK_BITS | next(seq)) << _PLACE_BITS, pa.int64()),
                 "lang": _one(lang, pa.string()), "own": _one(block.own, pa.int32()),
                 "size": _one(len(starts), pa.int32()), "starts": _one(_packed(starts), pa.binary()),
                 "words": _one(words, pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-                "hashes": _one(hashes.tobytes(), pa.binary()), "counts": _one(counts.tobytes(), pa.binary()),
-                "n": _one(int(counts.sum()), pa.int64())})
+                "counts": _one(counts.tobytes(), pa.binary()), "n": _one(int(counts.sum()), pa.int64())})
 
     def run(batches):
         seq, heat = count(), _Heat(least)
@@ -191,27 +213,55 @@ def _blocks(block_words: int, longest: int, least: int):
                         held += len(part)
                         if after or held >= block_words:
                             yield from rows(blocks, seq, heat)
-                            blocks.clear()
                             held = 0
         yield from rows(blocks, seq, heat)
         for chunk, table in heat.rows():
-            yield _nulls(kinds, {"chunk": _one(chunk, pa.int32()), "heat": _one(table, pa.binary())})
+            yield _heat_row(kinds, chunk, table)
     return run
 
 
-def _listed_words(hot):
-    """(block, place, lang, word, n) of the words whose counter is hot."""
+def _block_words(batch: pa.RecordBatch, i: int) -> tuple[pa.Array, np.ndarray]:
+    """The words of a block and their hashes."""
+    words = batch.column("words")[i].values
+    return words, _word_hashes(batch.column("lang")[i].as_py(), words.cast(pa.binary()).to_pylist())
+
+
+def _used_words(hot, least: int):
+    """Marks of the words that stand in a hot pair somewhere."""
     def run(batches):
         bits = np.unpackbits(hot.value).astype(bool)
+        used = _Heat(least)
+        for b in batches:
+            for i in range(b.num_rows):
+                starts = _unpacked(b.column("starts")[i].as_py(), b.column("size")[i].as_py())
+                _, hashes = _block_words(b, i)
+                seen = np.zeros(len(hashes), bool)
+                for cut in _slices(len(starts)):
+                    at = cut.start + _adjacent(starts[cut.start:cut.stop + 1])
+                    at = at[bits[_pair_hash(hashes[starts[at]], hashes[starts[at + 1]])]]
+                    seen[starts[at]] = True
+                    seen[starts[at + 1]] = True
+                used.mark(_word_bucket(hashes[seen]))
+        for chunk, table in used.rows():
+            yield pa.RecordBatch.from_arrays([_one(chunk, pa.int32()), _one(table, pa.binary())],
+                                             names=["chunk", "heat"])
+    return run
+
+
+def _listed_words(used):
+    """(block, place, lang, word, n) of the words that are marked, in every block."""
+    def run(batches):
+        bits = np.unpackbits(used.value).astype(bool)
         for b in batches:
             for i in range(b.num_rows):
-                at = np.flatnonzero(bits[np.frombuffer(b.column("hashes")[i].as_py(), np.uint32)])
+                words, hashes = _block_words(b, i)
+                at = np.flatnonzero(bits[_word_bucket(hashes)])
                 if len(at):
                     counts = np.frombuffer(b.column("counts")[i].as_py(), np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(at), b.column("block")[i].as_py())), pa.array(at.astype(np.int64)),
                          pa.array([b.column("lang")[i].as_py()] * len(at), pa.string()),
-                         b.column("words")[i].values.take(pa.array(at)), pa.array(counts[at].astype(np.int64))],
+                         words.take(pa.array(at)), pa.array(counts[at].astype(np.int64))],
                         names=["block", "place", "lang", "word", "n"])
     return run
 
@@ -222,16 +272,31 @@ def _adjacent(starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero((starts[:-1] >= 0) & (starts[1:] >= 0))
 
 
-_HELD_SCHEMA = "block long, own int, size int, starts binary, names binary, chunk int, heat binary"
-
-
-def _frequent_only(least: int):
-    """The semi-join inside a block, then the counters of the next level's candidates.
+def _named(batch: pa.RecordBatch, i: int) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
+    """(own, size, starts, names, hashes): occurrences of frequent phrases only.
 
     ``starts`` holds the number of the phrase at its first word (-1: none or the
     end of a piece); ``old`` and ``ids`` list the numbers and names of those
-    that are frequent.
+    that are frequent, ``hashes`` what their pairs are hashed by.
     """
+    own, size = batch.column("own")[i].as_py(), batch.column("size")[i].as_py()
+    starts = _unpacked(batch.column("starts")[i].as_py(), size)
+    # The last entry stays -1, so that number -1 has no name either.
+    names = np.full(int(starts.max(initial=-1)) + 2, -1, np.int64)
+    old = batch.column("old")[i].values.to_numpy()
+    names[old] = batch.column("ids")[i].values.to_numpy()
+    hashes = names.view(np.uint64)
+    if "hashes" in batch.schema.names:
+        hashes = np.zeros(len(names), np.uint64)
+        hashes[old] = batch.column("hashes")[i].values.to_numpy().view(np.uint64)
+    return own, size, np.where(names[starts] >= 0, starts, -1).astype(np.int32), names, hashes
+
+
+_HELD_SCHEMA = "block long, own int, size int, starts binary, names binary, chunk int, heat binary"
+
+
+def _frequent_only(least: int):
+    """The semi-join inside a block, then the counters of the next level's candidates."""
     kinds = [("block", pa.int64()), ("own", pa.int32()), ("size", pa.int32()), ("starts", pa.binary()),
              ("names", pa.binary()), ("chunk", pa.int32()), ("heat", pa.binary())]
 
@@ -239,44 +304,56 @@ def _frequent_only(least: int):
         heat = _Heat(least)
         for b in batches:
             for i in range(b.num_rows):
-                row = {n: b.column(n)[i] for n in ("block", "own", "size", "starts")}
-                size, own = row["size"].as_py(), row["own"].as_py()
-                starts = _unpacked(row["starts"].as_py(), size)
-                names = np.full(int(starts.max(initial=-1)) + 2, -1, np.int64)
-                names[b.column("old")[i].values.to_numpy()] = b.column("ids")[i].values.to_numpy()
-                # The last entry stays -1, so that number -1 has no name either.
-                starts = np.where(names[starts] >= 0, starts, -1).astype(np.int32)
-                at = _adjacent(starts)
-                at = at[at < own]
-                heat.add(_pair_hash(names[starts[at]], names[starts[at + 1]]))
+                own, size, starts, names, hashes = _named(b, i)
+                for cut in _slices(own):
+                    at = cut.start + _adjacent(starts[cut.start:cut.stop + 1])
+                    heat.add(_pair_hash(hashes[starts[at]], hashes[starts[at + 1]]))
                 yield _nulls(kinds, {
-                    "block": _one(row["block"].as_py(), pa.int64()), "own": _one(own, pa.int32()),
+                    "block": _one(b.column("block")[i].as_py(), pa.int64()), "own": _one(own, pa.int32()),
                     "size": _one(size, pa.int32()), "starts": _one(_packed(starts), pa.binary()),
                     "names": _one(names.tobytes(), pa.binary())})
         for chunk, table in heat.rows():
-            yield _nulls(kinds, {"chunk": _one(chunk, pa.int32()), "heat": _one(table, pa.binary())})
+            yield _heat_row(kinds, chunk, table)
     return run
 
 
+_FOUND_SCHEMA = ("block long, own int, size int, starts binary, "
+                 "first array<long>, last array<long>, counts array<long>")
+
+
 def _extended(hot):
-    """Merge join of a block's phrases at adjacent positions, and a count of what comes out."""
+    """Merge join of a block's phrases at adjacent positions, and a count of what comes out.
+
+    Rows come from the semi-join (level 1) or as :func:`_frequent_only` left them.
+    """
     def run(batches):
         bits = np.unpackbits(hot.value).astype(bool)
         for b in batches:
             for i in range(b.num_rows):
-                size, own = b.column("size")[i].as_py(), b.column("own")[i].as_py()
-                starts = _unpacked(b.column("starts")[i].as_py(), size)
-                names = np.frombuffer(b.column("names")[i].as_py(), np.int64)
-                at = _adjacent(starts)
-                first, last = starts[at], starts[at + 1]
-                keep = bits[_pair_hash(names[first], names[last])]
-                at = at[keep]
-                pairs, place = np.unique(first[keep].astype(np.int64) << 32 | last[keep], return_inverse=True)
+                if "names" in b.schema.names:
+                    size, own = b.column("size")[i].as_py(), b.column("own")[i].as_py()
+                    starts = _unpacked(b.column("starts")[i].as_py(), size)
+                    names = np.frombuffer(b.column("names")[i].as_py(), np.int64)
+                    hashes = names.view(np.uint64)
+                else:
+                    own, size, starts, names, hashes = _named(b, i)
+                kept = []
+                for cut in _slices(size):
+                    at = cut.start + _adjacent(starts[cut.start:cut.stop + 1])
+                    kept.append(at[bits[_pair_hash(hashes[starts[at]], hashes[starts[at + 1]])]])
+                at = np.concatenate(kept) if kept else np.empty(0, np.int64)
+                pairs, place = np.unique(starts[at].astype(np.int64) << 32 | starts[at + 1], return_inverse=True)
+                first, last = names[pairs >> 32], names[pairs & 0xFFFFFFFF]
+                # Numbered by name, so that neighbouring rows are alike.
+                order = np.lexsort((last, first))
+                number = np.empty(len(order), np.int64)
+                number[order] = np.arange(len(order))
+                place = number[place]
                 found = np.full(size, -1, np.int32)
                 found[at] = place
                 counts = np.bincount(place[at < own], minlength=len(pairs)).astype(np.int64)
-                lists = [pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pa.array(x)) for x in
-                         (names[pairs >> 32], names[pairs & 0xFFFFFFFF], counts)]
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pa.array(x))
+                         for x in (first[order], last[order], counts)]
                 yield pa.RecordBatch.from_arrays(
                     [_one(b.column("block")[i].as_py(), pa.int64()), _one(own, pa.int32()), _one(size, pa.int32()),
                      _one(_packed(found), pa.binary()), *lists],
@@ -285,29 +362,33 @@ def _extended(hot):
 
 
 def _frequent(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """``rows(block, place, keys, n)`` of frequent phrases, with their count ``a`` and name ``id``.
+    """``rows(at, keys, n)`` of frequent phrases, with their count ``a`` and name ``id``.
 
-    Each block has a phrase once, so no key is hot; one exchange serves the
-    count and the semi-join.  A hash goes first so that the sort compares longs.
+    ``at`` is the block and the number in it.  Each block has a phrase once, so
+    no key is hot; one exchange serves the count and the semi-join.  A hash goes
+    first so that the sort compares longs.
     """
     same = Window.partitionBy(F.xxhash64(*keys), *keys)
     return (rows.repartition(*keys).withColumn("a", F.sum("n").over(same))
-            .withColumn("id", F.min(F.col("block") + F.col("place")).over(same))
-            .where(F.col("a") >= least))
+            .withColumn("id", F.min("at").over(same)).where(F.col("a") >= least))
 
 
-def _semi_join(blocks: DataFrame, frequent: DataFrame) -> DataFrame:
-    """Blocks with the numbers and names of their frequent phrases."""
-    held = (frequent.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("mk_held"))
-            .select(F.col("block").alias("mk_block"), F.col("mk_held.place").alias("old"),
-                    F.col("mk_held.id").alias("ids")))
+def _semi_join(blocks: DataFrame, frequent: DataFrame, *more: str) -> DataFrame:
+    """Blocks with the numbers and names (and ``more``) of their frequent phrases.
+
+    The lists of one aggregate run in step: each takes one value from every row.
+    """
+    block = F.col("at").bitwiseAND(F.lit(-(1 << _PLACE_BITS)))
+    lists = {"old": F.col("at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)), "ids": F.col("id"),
+             **{c: F.col(c) for c in more}}
+    held = frequent.groupBy(block.alias("mk_block")).agg(*[F.collect_list(c).alias(n) for n, c in lists.items()])
     return blocks.join(held, blocks.block == F.col("mk_block")).drop("mk_block")
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                      least: int = LEAST_COUNT, longest: int = LONGEST,
                      block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
-    """``(lang, k, phrase, words, a)`` of every phrase of 1 to ``longest`` words
+    """``(lang, k, phrase, a)`` of every phrase of 1 to ``longest`` words
     with count ``a >= least``, and ``(lang, n)``, all words of a language.
 
     A-Z are lower-cased, texts cut at ``[.,;:!?]`` and line ends into pieces,
@@ -321,38 +402,48 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     made = _kept(rows.mapInArrow(_blocks(block_words, longest, least), _BLOCK_SCHEMA), "phrase-words")
     blocks = made.where("chunk IS NULL")
     totals = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
-    listed = blocks.select("block", "lang", "words", "hashes", "counts").mapInArrow(
-        _listed_words(_hot(made, least)), "block long, place long, lang string, word string, n long")
-    level = _kept(_frequent(listed, ["lang", "word"], least).select("block", "place", "id", "lang", "word", "a"),
-                  "phrase-level1")
-    named = level.where(F.col("id") == F.col("block") + F.col("place"))
+    hot = _hot(made, least)
+    used = _hot(blocks.select("lang", "size", "starts", "words").mapInArrow(
+        _used_words(hot, least), "chunk int, heat binary"), least)
+    listed = blocks.select("block", "lang", "words", "counts").mapInArrow(
+        _listed_words(used), "block long, place long, lang string, word string, n long")
+    listed = listed.select((F.col("block") + F.col("place")).alias("at"), "lang", "word", "n")
+    level = _kept(_frequent(listed, ["lang", "word"], least).select("at", "id", "lang", "word", "a"), "phrase-level1")
+    named = level.where("id = at")
     phrases = named.select("id", "lang", F.array("word").alias("words"), "a")
     all_levels = [phrases]
-    held = blocks.select("block", "own", "size", "starts")
+    # Level 1 has its counters already, hashed by word.
+    held = _semi_join(blocks.select("block", "own", "size", "starts"),
+                      level.withColumn("hashes", F.xxhash64("lang", "word")), "hashes")
     for k in range(1, longest):
-        made = _kept(_semi_join(held, level).mapInArrow(_frequent_only(least), _HELD_SCHEMA), f"phrase-held{k}")
-        joined = made.where("chunk IS NULL").drop("chunk", "heat").mapInArrow(
-            _extended(_hot(made, least)), "block long, own int, size int, starts binary, "
-                                          "first array<long>, last array<long>, counts array<long>")
-        held = _kept(joined, f"phrase-occurrences{k + 1}")
-        listed = held.select("block", F.posexplode(F.arrays_zip("first", "last", "counts")).alias("place", "p")) \
-            .select("block", "place", F.col("p.first").alias("first"), F.col("p.last").alias("last"),
-                    F.col("p.counts").alias("n"))
-        held = held.drop("first", "last", "counts")
-        level = _kept(_frequent(listed, ["first", "last"], least)
-                      .select("block", F.col("place").cast("long"), "id", "first", "last", "a"), f"phrase-level{k + 1}")
-        named = level.where(F.col("id") == F.col("block") + F.col("place")).select("id", "first", "last", "a")
+        found = _kept(held.mapInArrow(_extended(hot), _FOUND_SCHEMA), f"phrase-occurrences{k + 1}")
+        listed = found.select("block", F.posexplode(F.arrays_zip("first", "last", "counts")).alias("place", "p")) \
+            .select((F.col("block") + F.col("place")).alias("at"), F.col("p.first").alias("first"),
+                    F.col("p.last").alias("last"), F.col("p.counts").alias("n"))
+        level = _kept(_frequent(listed, ["first", "last"], least).select("at", "id", "first", "last", "a"),
+                      f"phrase-level{k + 1}")
+        named = level.where("id = at").select("id", "first", "last", "a")
         heads = phrases.select(F.col("id").alias("first"), "lang", "words")
         tails = phrases.select(F.col("id").alias("last"), F.element_at("words", -1).alias("mk_word"))
         phrases = _kept(named.join(heads, "first").join(tails, "last")
                         .select("id", "lang", F.concat("words", F.array("mk_word")).alias("words"), "a"),
                         f"phrases{k + 1}")
         all_levels.append(phrases)
+        if k + 1 < longest:
+            made = _kept(_semi_join(found.drop("first", "last", "counts"), level)
+                         .mapInArrow(_frequent_only(least), _HELD_SCHEMA), f"phrase-held{k + 1}")
+            hot = _hot(made, least)
+            held = made.where("chunk IS NULL").drop("chunk", "heat")
     out = all_levels[0]
     for more in all_levels[1:]:
         out = out.unionByName(more)
     return out.select("lang", F.size("words").alias("k"), F.array_join("words", " ").alias("phrase"),
-                      "words", "a"), totals
+                      "a"), totals
+
+
+def _part(first, size):
+    """``size`` words of the phrase from word ``first`` (1-based); words hold no blanks."""
+    return F.array_join(F.slice(F.split("phrase", " "), first, size), " ")
 
 
 def scored(phrases: DataFrame) -> DataFrame:
@@ -363,27 +454,27 @@ def scored(phrases: DataFrame) -> DataFrame:
     are in ``phrases``.  Decimals keep the products exact.
     """
     parts = phrases.select("lang", F.col("phrase").alias("part"), F.col("a").alias("f"))
-    cuts = (phrases.where("k >= 2")
-            .select("lang", "phrase", "words", "k", "a", F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
-            .withColumns({"left": F.array_join(F.slice("words", F.lit(1), F.col("cut")), " "),
-                          "right": F.array_join(F.slice("words", F.col("cut") + 1, F.col("k") - F.col("cut")), " ")}))
+    cuts = phrases.where("k >= 2").select("lang", "phrase", "k", "a",
+                                          F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
+    cuts = cuts.withColumns({"left": _part(F.lit(1), F.col("cut")),
+                             "right": _part(F.col("cut") + 1, F.col("k") - F.col("cut"))})
     left = parts.withColumnsRenamed({"part": "left", "f": "l"})
     right = parts.withColumnsRenamed({"part": "right", "f": "r"})
-    both = cuts.join(left, ["lang", "left"]).join(right, ["lang", "right"]).withColumn("score", F.expr(
-        "(2000000BD * cast(a as decimal(19, 0))) div (cast(l as decimal(19, 0)) + cast(r as decimal(19, 0)))"))
+    both = (cuts.join(left, ["lang", "left"]).drop("left").join(right, ["lang", "right"]).drop("right")
+            .withColumn("score", F.expr("(2000000BD * cast(a as decimal(19, 0))) "
+                                        "div (cast(l as decimal(19, 0)) + cast(r as decimal(19, 0)))")))
     worst = both.groupBy("lang", "phrase", "k", "a").agg(
-        F.min_by(F.struct("words", "l", "r", "score"), F.struct("score", "cut")).alias("worst"))
-    return worst.select("lang", "phrase", "k", "a", "worst.words", "worst.l", "worst.r", "worst.score")
+        F.min(F.struct("score", "cut", "l", "r")).alias("worst"))
+    return worst.select("lang", "phrase", "k", "a", "worst.l", "worst.r", "worst.score")
 
 
 def maximal(candidates: DataFrame) -> DataFrame:
     """Candidates whose words lie in no longer candidate that has four fifths of their count."""
     inner = (candidates.where("k >= 3")
-             .select("lang", "words", "k", F.col("a").alias("f"),
+             .select("lang", "phrase", "k", F.col("a").alias("f"),
                      F.explode(F.sequence(F.lit(2), F.col("k") - 1)).alias("size"))
-             .select("lang", "words", "k", "f", "size",
-                     F.explode(F.sequence(F.lit(1), F.col("k") - F.col("size") + 1)).alias("from"))
-             .select("lang", "f", F.array_join(F.slice("words", F.col("from"), F.col("size")), " ").alias("phrase"))
+             .withColumn("from", F.explode(F.sequence(F.lit(1), F.col("k") - F.col("size") + 1)))
+             .select("lang", "f", _part(F.col("from"), F.col("size")).alias("phrase"))
              .groupBy("lang", "phrase").agg(F.max("f").alias("f")))
     return (candidates.join(inner, ["lang", "phrase"], "left")
             .where("f IS NULL OR 100BD * cast(f as decimal(19, 0)) < 80BD * cast(a as decimal(19, 0))").drop("f"))
