@@ -1,23 +1,24 @@
 """Phrase collocations by set-oriented mining (SETM) over occurrence relations.
 
-Level k is a relation of the occurrences of frequent phrases of k words, kept
-in blocks sorted by piece and position and written to the shared folder:
+Level k is a relation of the occurrences of phrases of k words, kept in blocks
+sorted by piece and position and written to the shared folder:
 
 1. a merge join of the relation with itself at adjacent positions of a piece
-   extends a phrase of k words by the last word of the frequent phrase that
-   starts one word later;
+   extends a phrase of k words by the last word of the phrase that starts one
+   word later;
 2. a block counts its distinct phrases, so a phrase that holds a third of the
    corpus is one row per block when Spark groups and counts them;
-3. the phrases below the least count go, and a semi-join back to the blocks
-   leaves only occurrences of frequent phrases before the next level.
-
-Frequent phrases grow with the corpus, so none are broadcast or collected: each
-block receives those it holds through a join on its number.  What is broadcast
-is bitmaps of fixed size: while a level is made, its tasks count hashed
-candidates of the next one in a table of 2^24 saturating counters, and a
-candidate whose counter stays below the least count is not listed at all; words
-that are in no such pair are not listed either.  A counter holds at least the
-count of each of its phrases, so this only saves rows; the exact counts decide.
+3. the phrases below the least count go, and a semi-join with the frequent
+   groups leaves only their occurrences before the next level.
+
+Frequent phrases grow with the corpus, so none are broadcast or collected.
+Words get their names through a join on the block's number; for longer phrases
+the semi-join reads a bitmap of fixed size, marked with the hashes of the
+frequent ones.  A phrase it lets through by chance extends to phrases that are
+no more frequent than itself, and these fall when they are counted: the counts
+decide, the bitmap only saves rows.  So does another one, made with the blocks:
+tasks count hashed pairs of words in saturating counters, and pairs below the
+least count are not listed, nor are words without a hot pair.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ BLOCK_WORDS = 1 << 22
 # A phrase is named by its first place: the block it is least in and its number
 # there.  A block has less than two times BLOCK_WORDS places.
 _PLACE_BITS, _BLOCK_BITS = 24, 18
-# Hashed counters, and how many of them make a row of their table.
+# Hashed counters (two for each candidate), and how many make a row of their table.
 _HEAT_BITS, _CHUNK = 24, 1 << 14
 
 # A-Z in lower case, tabs as blanks, ends of pieces as a byte no UTF-8 text has.
@@ -63,11 +64,28 @@ def _packed(numbers: np.ndarray) -> bytes:
     return pa.compress(numbers.tobytes(), codec="zstd", asbytes=True)
 
 
+def _inflated(blob: bytes, size: int) -> bytes:
+    return pa.decompress(blob, decompressed_size=size, codec="zstd", asbytes=True)
+
+
 def _unpacked(blob: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(blob, decompressed_size=4 * size, codec="zstd", asbytes=True), np.int32)
+    return np.frombuffer(_inflated(blob, 4 * size), np.int32)
 
 
 # -- hashed counters -----------------------------------------------------------
+def _buckets(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two counters of every hash, one in each half of the table."""
+    half = np.uint64(65 - _HEAT_BITS)
+    other = hashes * np.uint64(0xA24BAED4963EE407)
+    return ((hashes >> half).astype(np.uint32),
+            (other >> half).astype(np.uint32) + np.uint32(1 << (_HEAT_BITS - 1)))
+
+
+def _lit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    one, two = _buckets(hashes)
+    return bits[one] & bits[two]
+
+
 class _Heat:
     """A task's saturating counters of hashed candidates."""
 
@@ -76,17 +94,24 @@ class _Heat:
         self.table = np.zeros(1 << _HEAT_BITS, np.min_scalar_type(least))
 
     def add(self, hashes: np.ndarray) -> None:
-        at, n = np.unique(hashes, return_counts=True)
-        self.table[at] = np.minimum(self.table[at] + n, self.cap)
+        for buckets in _buckets(hashes):
+            at, n = np.unique(buckets, return_counts=True)
+            self.table[at] = np.minimum(self.table[at] + n, self.cap)
 
     def mark(self, hashes: np.ndarray) -> None:
-        self.table[hashes] = self.cap
+        for buckets in _buckets(hashes):
+            self.table[buckets] = self.cap
 
     def rows(self):
-        """(chunk, counters) of the chunks in use."""
+        """(chunk, packed counters) of the chunks in use."""
         for i, part in enumerate(self.table.reshape(-1, _CHUNK)):
             if part.any():
-                yield i, part.tobytes()
+                yield i, _packed(part)
+
+    def batches(self):
+        for chunk, table in self.rows():
+            yield pa.RecordBatch.from_arrays([_one(chunk, pa.int32()), _one(table, pa.binary())],
+                                             names=["chunk", "heat"])
 
 
 # Positions whose candidates are hashed at once.
@@ -97,10 +122,18 @@ def _slices(size: int):
     return [slice(a, min(a + _SLICE, size)) for a in range(0, size, _SLICE)]
 
 
-def _pair_hash(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+def _joined_hash(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     h = first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + last.astype(np.uint64)
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    return (h >> np.uint64(64 - _HEAT_BITS)).astype(np.uint32)
+    return h ^ (h >> np.uint64(29))
+
+
+def _phrase_hash(names: np.ndarray) -> np.ndarray:
+    """Hashes of phrases given as rows of word names."""
+    h = np.zeros(len(names), np.uint64)
+    for column in names.T:
+        h = _joined_hash(h, column)
+    return h
 
 
 def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
@@ -109,8 +142,8 @@ def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64, len(words))
 
 
-def _word_bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - _HEAT_BITS)).astype(np.uint32)
+def _one(value, kind: pa.DataType) -> pa.Array:
+    return pa.array([value], kind)
 
 
 def _hot(rows: DataFrame, least: int):
@@ -121,7 +154,7 @@ def _hot(rows: DataFrame, least: int):
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for chunk, table in zip(b.column("chunk").to_pylist(), b.column("heat").to_pylist()):
-                got = np.frombuffer(table, kind).astype(np.uint32)
+                got = np.frombuffer(_inflated(table, _CHUNK * kind.itemsize), kind).astype(np.uint32)
                 sums[chunk] = np.minimum(sums.get(chunk, 0) + got, least)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int32()),
@@ -163,14 +196,6 @@ def _nulls(names_types: list[tuple[str, pa.DataType]], given: dict, n: int = 1)
                                       names=[c for c, _ in names_types])
 
 
-def _one(value, kind: pa.DataType) -> pa.Array:
-    return pa.array([value], kind)
-
-
-def _heat_row(kinds, chunk: int, table: bytes) -> pa.RecordBatch:
-    return _nulls(kinds, {"chunk": _one(chunk, pa.int32()), "heat": _one(table, pa.binary())})
-
-
 def _blocks(block_words: int, longest: int, least: int):
     """Arrow batches of (lang, text) to blocks, then the counters of their pairs of words."""
     kinds = [("block", pa.int64()), ("lang", pa.string()), ("own", pa.int32()), ("size", pa.int32()),
@@ -188,7 +213,7 @@ def _blocks(block_words: int, longest: int, least: int):
             hashes = _word_hashes(lang, words)
             for cut in _slices(block.own):
                 at = cut.start + _adjacent(starts[cut.start:cut.stop + 1])
-                heat.add(_pair_hash(hashes[starts[at]], hashes[starts[at + 1]]))
+                heat.add(_joined_hash(hashes[starts[at]], hashes[starts[at + 1]]))
             yield _nulls(kinds, {
                 "block": _one((part << _BLOCK_BITS | next(seq)) << _PLACE_BITS, pa.int64()),
                 "lang": _one(lang, pa.string()), "own": _one(block.own, pa.int32()),
@@ -216,7 +241,7 @@ def _blocks(block_words: int, longest: int, least: int):
                             held = 0
         yield from rows(blocks, seq, heat)
         for chunk, table in heat.rows():
-            yield _heat_row(kinds, chunk, table)
+            yield _nulls(kinds, {"chunk": _one(chunk, pa.int32()), "heat": _one(table, pa.binary())})
     return run
 
 
@@ -238,13 +263,11 @@ def _used_words(hot, least: int):
                 seen = np.zeros(len(hashes), bool)
                 for cut in _slices(len(starts)):
                     at = cut.start + _adjacent(starts[cut.start:cut.stop + 1])
-                    at = at[bits[_pair_hash(hashes[starts[at]], hashes[starts[at + 1]])]]
+                    at = at[_lit(bits, _joined_hash(hashes[starts[at]], hashes[starts[at + 1]]))]
                     seen[starts[at]] = True
                     seen[starts[at + 1]] = True
-                used.mark(_word_bucket(hashes[seen]))
-        for chunk, table in used.rows():
-            yield pa.RecordBatch.from_arrays([_one(chunk, pa.int32()), _one(table, pa.binary())],
-                                             names=["chunk", "heat"])
+                used.mark(hashes[seen])
+        yield from used.batches()
     return run
 
 
@@ -255,7 +278,7 @@ def _listed_words(used):
         for b in batches:
             for i in range(b.num_rows):
                 words, hashes = _block_words(b, i)
-                at = np.flatnonzero(bits[_word_bucket(hashes)])
+                at = np.flatnonzero(_lit(bits, hashes))
                 if len(at):
                     counts = np.frombuffer(b.column("counts")[i].as_py(), np.int32)
                     yield pa.RecordBatch.from_arrays(
@@ -268,120 +291,98 @@ def _listed_words(used):
 
 # -- from level k to level k + 1 -----------------------------------------------
 def _adjacent(starts: np.ndarray) -> np.ndarray:
-    """Positions at which a frequent phrase starts, and another one word later."""
+    """Positions at which a phrase starts, and another one word later."""
     return np.flatnonzero((starts[:-1] >= 0) & (starts[1:] >= 0))
 
 
-def _named(batch: pa.RecordBatch, i: int) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
-    """(own, size, starts, names, hashes): occurrences of frequent phrases only.
-
-    ``starts`` holds the number of the phrase at its first word (-1: none or the
-    end of a piece); ``old`` and ``ids`` list the numbers and names of those
-    that are frequent, ``hashes`` what their pairs are hashed by.
-    """
-    own, size = batch.column("own")[i].as_py(), batch.column("size")[i].as_py()
-    starts = _unpacked(batch.column("starts")[i].as_py(), size)
-    # The last entry stays -1, so that number -1 has no name either.
-    names = np.full(int(starts.max(initial=-1)) + 2, -1, np.int64)
-    old = batch.column("old")[i].values.to_numpy()
-    names[old] = batch.column("ids")[i].values.to_numpy()
-    hashes = names.view(np.uint64)
-    if "hashes" in batch.schema.names:
-        hashes = np.zeros(len(names), np.uint64)
-        hashes[old] = batch.column("hashes")[i].values.to_numpy().view(np.uint64)
-    return own, size, np.where(names[starts] >= 0, starts, -1).astype(np.int32), names, hashes
+_FOUND_SCHEMA = "block long, own int, size int, starts binary, names binary, phrases array<array<long>>, counts array<long>"
 
 
-_HELD_SCHEMA = "block long, own int, size int, starts binary, names binary, chunk int, heat binary"
-
-
-def _frequent_only(least: int):
-    """The semi-join inside a block, then the counters of the next level's candidates."""
-    kinds = [("block", pa.int64()), ("own", pa.int32()), ("size", pa.int32()), ("starts", pa.binary()),
-             ("names", pa.binary()), ("chunk", pa.int32()), ("heat", pa.binary())]
-
-    def run(batches):
-        heat = _Heat(least)
-        for b in batches:
-            for i in range(b.num_rows):
-                own, size, starts, names, hashes = _named(b, i)
-                for cut in _slices(own):
-                    at = cut.start + _adjacent(starts[cut.start:cut.stop + 1])
-                    heat.add(_pair_hash(hashes[starts[at]], hashes[starts[at + 1]]))
-                yield _nulls(kinds, {
-                    "block": _one(b.column("block")[i].as_py(), pa.int64()), "own": _one(own, pa.int32()),
-                    "size": _one(size, pa.int32()), "starts": _one(_packed(starts), pa.binary()),
-                    "names": _one(names.tobytes(), pa.binary())})
-        for chunk, table in heat.rows():
-            yield _heat_row(kinds, chunk, table)
-    return run
-
-
-_FOUND_SCHEMA = ("block long, own int, size int, starts binary, "
-                 "first array<long>, last array<long>, counts array<long>")
-
-
-def _extended(hot):
+def _extended(k: int, hot):
     """Merge join of a block's phrases at adjacent positions, and a count of what comes out.
 
-    Rows come from the semi-join (level 1) or as :func:`_frequent_only` left them.
+    ``starts`` holds the number of the phrase at its first word (-1: none or the
+    end of a piece), ``names`` the names of the k words of every number.  At
+    level 1 they come from the semi-join as lists of numbers, names and hashes,
+    and ``hot`` tells the likely pairs; later ``hot`` tells the frequent phrases.
     """
+    def level(batch, i, bits):
+        """(starts, names, hashes or None): the semi-join."""
+        starts = _unpacked(batch.column("starts")[i].as_py(), batch.column("size")[i].as_py())
+        numbers = int(starts.max(initial=-1)) + 2
+        # The last entry is never kept, so that number -1 isn't either.
+        keep = np.zeros(numbers, bool)
+        if k > 1:
+            names = np.frombuffer(batch.column("names")[i].as_py(), np.int64).reshape(-1, k)
+            keep[:len(names)] = _lit(bits, _phrase_hash(names))
+            return np.where(keep[starts], starts, -1).astype(np.int32), names, None
+        old = batch.column("old")[i].values.to_numpy()
+        names, hashes = np.full((numbers, 1), -1, np.int64), np.zeros(numbers, np.uint64)
+        keep[old] = True
+        names[old, 0] = batch.column("ids")[i].values.to_numpy()
+        hashes[old] = batch.column("hashes")[i].values.to_numpy().view(np.uint64)
+        return np.where(keep[starts], starts, -1).astype(np.int32), names, hashes
+
     def run(batches):
         bits = np.unpackbits(hot.value).astype(bool)
         for b in batches:
             for i in range(b.num_rows):
-                if "names" in b.schema.names:
-                    size, own = b.column("size")[i].as_py(), b.column("own")[i].as_py()
-                    starts = _unpacked(b.column("starts")[i].as_py(), size)
-                    names = np.frombuffer(b.column("names")[i].as_py(), np.int64)
-                    hashes = names.view(np.uint64)
-                else:
-                    own, size, starts, names, hashes = _named(b, i)
-                kept = []
-                for cut in _slices(size):
-                    at = cut.start + _adjacent(starts[cut.start:cut.stop + 1])
-                    kept.append(at[bits[_pair_hash(hashes[starts[at]], hashes[starts[at + 1]])]])
-                at = np.concatenate(kept) if kept else np.empty(0, np.int64)
+                own = b.column("own")[i].as_py()
+                starts, names, hashes = level(b, i, bits)
+                at = _adjacent(starts)
+                if hashes is not None:
+                    at = np.concatenate([np.empty(0, np.int64), *[
+                        at[cut][_lit(bits, _joined_hash(hashes[starts[at[cut]]], hashes[starts[at[cut] + 1]]))]
+                        for cut in _slices(len(at))]])
                 pairs, place = np.unique(starts[at].astype(np.int64) << 32 | starts[at + 1], return_inverse=True)
-                first, last = names[pairs >> 32], names[pairs & 0xFFFFFFFF]
-                # Numbered by name, so that neighbouring rows are alike.
-                order = np.lexsort((last, first))
-                number = np.empty(len(order), np.int64)
-                number[order] = np.arange(len(order))
-                place = number[place]
-                found = np.full(size, -1, np.int32)
+                longer = np.concatenate([names[pairs >> 32], names[pairs & 0xFFFFFFFF][:, -1:]], axis=1)
+                found = np.full(len(starts), -1, np.int32)
                 found[at] = place
                 counts = np.bincount(place[at < own], minlength=len(pairs)).astype(np.int64)
-                lists = [pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pa.array(x))
-                         for x in (first[order], last[order], counts)]
+                ends = pa.array([0, len(pairs)], pa.int32())
+                rows = pa.FixedSizeListArray.from_arrays(pa.array(longer.ravel()), k + 1).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [_one(b.column("block")[i].as_py(), pa.int64()), _one(own, pa.int32()), _one(size, pa.int32()),
-                     _one(_packed(found), pa.binary()), *lists],
-                    names=["block", "own", "size", "starts", "first", "last", "counts"])
+                    [_one(b.column("block")[i].as_py(), pa.int64()), _one(own, pa.int32()),
+                     _one(len(starts), pa.int32()), _one(_packed(found), pa.binary()),
+                     _one(longer.tobytes(), pa.binary()), pa.ListArray.from_arrays(ends, rows),
+                     pa.ListArray.from_arrays(ends, pa.array(counts))],
+                    names=["block", "own", "size", "starts", "names", "phrases", "counts"])
+    return run
+
+
+def _marks(least: int):
+    """Marks of the frequent phrases ``ids``."""
+    def run(batches):
+        heat = _Heat(least)
+        for b in batches:
+            if b.num_rows:
+                ids = b.column("ids")
+                heat.mark(_phrase_hash(ids.flatten().to_numpy().reshape(b.num_rows, -1)))
+        yield from heat.batches()
     return run
 
 
-def _frequent(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """``rows(at, keys, n)`` of frequent phrases, with their count ``a`` and name ``id``.
+def _named_words(rows: DataFrame, least: int) -> DataFrame:
+    """``rows(at, lang, word, n)`` of frequent words, with their count ``a`` and name ``id``.
 
-    ``at`` is the block and the number in it.  Each block has a phrase once, so
-    no key is hot; one exchange serves the count and the semi-join.  A hash goes
-    first so that the sort compares longs.
+    ``at`` is the block and the number in it, the name the least of a word.
+    Each block has a word once, so no key is hot; one exchange serves the count
+    and the semi-join.  A hash goes first so that the sort compares longs.
     """
-    same = Window.partitionBy(F.xxhash64(*keys), *keys)
-    return (rows.repartition(*keys).withColumn("a", F.sum("n").over(same))
+    same = Window.partitionBy(F.xxhash64("lang", "word"), "lang", "word")
+    return (rows.repartition("lang", "word").withColumn("a", F.sum("n").over(same))
             .withColumn("id", F.min("at").over(same)).where(F.col("a") >= least))
 
 
-def _semi_join(blocks: DataFrame, frequent: DataFrame, *more: str) -> DataFrame:
-    """Blocks with the numbers and names (and ``more``) of their frequent phrases.
+def _semi_join(blocks: DataFrame, words: DataFrame) -> DataFrame:
+    """Blocks with the numbers, names and hashes of their frequent words.
 
     The lists of one aggregate run in step: each takes one value from every row.
     """
     block = F.col("at").bitwiseAND(F.lit(-(1 << _PLACE_BITS)))
-    lists = {"old": F.col("at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)), "ids": F.col("id"),
-             **{c: F.col(c) for c in more}}
-    held = frequent.groupBy(block.alias("mk_block")).agg(*[F.collect_list(c).alias(n) for n, c in lists.items()])
+    held = words.groupBy(block.alias("mk_block")).agg(
+        F.collect_list(F.col("at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).alias("old"),
+        F.collect_list("id").alias("ids"), F.collect_list(F.xxhash64("lang", "word")).alias("hashes"))
     return blocks.join(held, blocks.block == F.col("mk_block")).drop("mk_block")
 
 
@@ -408,37 +409,28 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     listed = blocks.select("block", "lang", "words", "counts").mapInArrow(
         _listed_words(used), "block long, place long, lang string, word string, n long")
     listed = listed.select((F.col("block") + F.col("place")).alias("at"), "lang", "word", "n")
-    level = _kept(_frequent(listed, ["lang", "word"], least).select("at", "id", "lang", "word", "a"), "phrase-level1")
-    named = level.where("id = at")
-    phrases = named.select("id", "lang", F.array("word").alias("words"), "a")
-    all_levels = [phrases]
+    words = _kept(_named_words(listed, least).select("at", "id", "lang", "word", "a"), "phrase-level1")
+    named = words.where("id = at")
+    levels = named.select(F.array("id").alias("ids"), "a")
     # Level 1 has its counters already, hashed by word.
-    held = _semi_join(blocks.select("block", "own", "size", "starts"),
-                      level.withColumn("hashes", F.xxhash64("lang", "word")), "hashes")
+    held = _semi_join(blocks.select("block", "own", "size", "starts"), words)
     for k in range(1, longest):
-        found = _kept(held.mapInArrow(_extended(hot), _FOUND_SCHEMA), f"phrase-occurrences{k + 1}")
-        listed = found.select("block", F.posexplode(F.arrays_zip("first", "last", "counts")).alias("place", "p")) \
-            .select((F.col("block") + F.col("place")).alias("at"), F.col("p.first").alias("first"),
-                    F.col("p.last").alias("last"), F.col("p.counts").alias("n"))
-        level = _kept(_frequent(listed, ["first", "last"], least).select("at", "id", "first", "last", "a"),
-                      f"phrase-level{k + 1}")
-        named = level.where("id = at").select("id", "first", "last", "a")
-        heads = phrases.select(F.col("id").alias("first"), "lang", "words")
-        tails = phrases.select(F.col("id").alias("last"), F.element_at("words", -1).alias("mk_word"))
-        phrases = _kept(named.join(heads, "first").join(tails, "last")
-                        .select("id", "lang", F.concat("words", F.array("mk_word")).alias("words"), "a"),
-                        f"phrases{k + 1}")
-        all_levels.append(phrases)
+        found = _kept(held.mapInArrow(_extended(k, hot), _FOUND_SCHEMA), f"phrase-occurrences{k + 1}")
+        level = _kept(found.select(F.explode(F.arrays_zip("phrases", "counts")).alias("p"))
+                      .groupBy(*[F.col("p.phrases")[i].alias(f"w{i}") for i in range(k + 1)])
+                      .agg(F.sum("p.counts").alias("a")).where(F.col("a") >= least)
+                      .select(F.array(*[f"w{i}" for i in range(k + 1)]).alias("ids"), "a"), f"phrase-level{k + 1}")
+        levels = levels.unionByName(level)
         if k + 1 < longest:
-            made = _kept(_semi_join(found.drop("first", "last", "counts"), level)
-                         .mapInArrow(_frequent_only(least), _HELD_SCHEMA), f"phrase-held{k + 1}")
-            hot = _hot(made, least)
-            held = made.where("chunk IS NULL").drop("chunk", "heat")
-    out = all_levels[0]
-    for more in all_levels[1:]:
-        out = out.unionByName(more)
-    return out.select("lang", F.size("words").alias("k"), F.array_join("words", " ").alias("phrase"),
-                      "a"), totals
+            hot = _hot(level.select("ids").mapInArrow(_marks(least), "chunk int, heat binary"), least)
+            held = found.select("block", "own", "size", "starts", "names")
+    spelled = (levels.select("ids", "a", F.posexplode("ids").alias("at", "id"))
+               .join(named.select("id", "lang", "word"), "id")
+               .groupBy("ids", "a").agg(F.first("lang").alias("lang"),
+                                        F.array_sort(F.collect_list(F.struct("at", "word"))).alias("spelling")))
+    phrases = _kept(spelled.select("lang", F.size("ids").alias("k"),
+                                   F.array_join("spelling.word", " ").alias("phrase"), "a"), "phrases")
+    return phrases, totals
 
 
 def _part(first, size):
