@@ -25,15 +25,18 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 LEAST_VALUE, LEAST_ACCESS = 8, 16
 KINDS = ("assign", "access", "hex", "random")
 
-# A run that may be a key: at least 20 key characters.
+# A run that may hold a key: at least 20 key characters.
+LEAST_KEY = 20
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-# A part of a run between separators that may be one.
-PART = re.compile(r"[A-Za-z0-9+]{20,}")
+# Its parts, between the separators of paths and of key alphabets.
+PART = re.compile(r"[A-Za-z0-9+]+")
 # Known digests and identifiers: MD5 to SHA-512 in hexadecimal (git's object
 # ids among them), UUIDs, plain numbers.
-KNOWN = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}"
+KNOWN = re.compile(r"(?<![A-Za-z0-9+])(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}"
                    r"|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}"
-                   r"|[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}|[0-9+/_=-]+)")
+                   r"|[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}|[0-9+]+)(?![A-Za-z0-9+])")
+# Shorter steps of a path at the ends of a window say nothing by themselves.
+LEAST_END = 4
 CHARS_PER_TOKEN = 2.1
 
 SPAN = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()),
@@ -52,28 +55,68 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _ends(run: str, parts: list[tuple[int, int]]) -> tuple[int, int]:
+    """The ends of a window: without short steps of a path, with dashes of the key if it needs them."""
+    first, last = 0, len(parts) - 1
+    while first < last and parts[first][1] - parts[first][0] < LEAST_END and run[parts[first][1]] in "/=":
+        first += 1
+    while first < last and parts[last][1] - parts[last][0] < LEAST_END and run[parts[last][0] - 1] in "/=":
+        last -= 1
+    a, b = parts[first][0], parts[last][1]
+    while b - a < LEAST_KEY and run[b:b + 1] in ("-", "_"):
+        b += 1
+    while b - a < LEAST_KEY and a and run[a - 1] in "-_":
+        a -= 1
+    return a, b
+
+
+def key_windows(run: str, n_tokens, chars_per_token: float = CHARS_PER_TOKEN) -> list[tuple[int, int]]:
+    """Windows ``[a, b)`` of a run that the vocabulary writes with few characters per token.
+
+    The parts between ``/ = - _`` gain what their tokens say beyond their
+    characters, so words lose and random strings gain; known digests and
+    identifiers end a window.  The neighbouring parts with the largest gain are
+    a window, then those left and right of it are searched in the same way.
+    """
+    out, stretches, at = [], [], 0
+    for known in [*KNOWN.finditer(run), None]:
+        end = known.start() if known else len(run)
+        stretches.append([p.span() for p in PART.finditer(run, at, end)])
+        at = known.end() if known else end
+    while stretches:
+        parts = stretches.pop()
+        if not parts:
+            continue
+        gains = [chars_per_token * n_tokens(run[a:b]) - (b - a) for a, b in parts]
+        best, first, last, total, begin = 0.0, 0, 0, 0.0, 0
+        for i, gain in enumerate(gains):
+            if total <= 0:
+                total, begin = 0.0, i
+            total += gain
+            if total > best:
+                best, first, last = total, begin, i + 1
+        if not best:
+            continue
+        stretches += [parts[:first], parts[last:]]
+        a, b = _ends(run, parts[first:last])
+        if b - a >= LEAST_KEY and b - a < chars_per_token * n_tokens(run[a:b]):
+            out.append((a, b))
+    return sorted(out)
+
+
 def random_spans(text: str, taken: list[tuple[int, int, int]], n_tokens,
                  chars_per_token: float = CHARS_PER_TOKEN) -> list[tuple[int, int, int]]:
-    """Runs outside the base spans whose characters per token are few.
+    """Windows of runs, outside the base spans, whose characters per token are few.
 
-    Of a run that needs few tokens as a whole, such as a path, the parts
-    between ``/ = - _`` are tested one by one.  Words of small letters only
-    are ordinary text here, however rare.
+    No string is excused for its alphabet: rare words are told from keys by the
+    ratio alone.
     """
-    def is_key(part, a, b):
-        if (part.isalpha() and part.islower()) or KNOWN.fullmatch(part):
-            return False
-        return not any(s < b and a < e for s, _, e in taken) and len(part) < chars_per_token * n_tokens(part)
-
     out = []
     for m in RUN.finditer(text):
-        if KNOWN.fullmatch(m.group()):
-            continue
-        if is_key(m.group(), m.start(), m.end()):
-            out.append((m.start(), 3, m.end()))
-            continue
-        out += [(p.start(), 3, p.end()) for p in PART.finditer(text, m.start(), m.end())
-                if p.group() != m.group() and is_key(p.group(), p.start(), p.end())]
+        for a, b in key_windows(m.group(), n_tokens, chars_per_token):
+            a, b = m.start() + a, m.start() + b
+            if not any(s < b and a < e for s, _, e in taken):
+                out.append((a, 3, b))
     return out
 
 
