@@ -8,6 +8,7 @@ trial produces the same ids and appends are idempotent when keyed by them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
@@ -19,8 +20,10 @@ from pyspark.sql import functions as F
 from ..functions.ids import artifact_path, key_md5
 from .index import row_index
 
-# What names a row of the log.
-LOG_KEYS = ("run_id", "kind", "key", "step")
+# The columns every log has, and those of its manifest.
+LOG_COLUMNS = {"run_id": "string", "kind": "string", "key": "string", "step": "bigint",
+               "value": "string", "metric": "double"}
+COMMIT_SCHEMA = "trial string, attempt string, committed_at timestamp"
 
 
 def get_or_create_experiments(existing: DataFrame, requested: DataFrame,
@@ -102,52 +105,96 @@ def artifact_locations(runs: DataFrame, experiments: DataFrame, root_col: str =
             .withColumn("artifact_uri", artifact_path(F.col(root_col), "experiment_id", model_col)))
 
 
-def append_log(frames: Sequence[DataFrame], path: str, fmt: str = "parquet") -> str:
-    """Buffered logging: union the rows of one trial and append them in one write.
+def _log_rows(frames: Sequence[DataFrame]) -> DataFrame:
+    """The rows of one trial under the columns of the log, plus any of their own."""
+    out = None
+    for f in frames:
+        if "value" in f.columns and f.schema["value"].dataType.simpleString() != "string":
+            f = f.withColumnRenamed("value", "metric")
+        f = f.withColumns({c: (F.col(c) if c in f.columns else F.lit(None)).cast(t)
+                           for c, t in LOG_COLUMNS.items()})
+        out = f if out is None else out.unionByName(f, allowMissingColumns=True)
+    return out.drop("trial", "attempt")
+
+
+def append_log(frames: Sequence[DataFrame], path: str, fmt: str = "parquet",
+               trial: str | None = None) -> str:
+    """Buffered logging: union the rows of one trial, append them in one write, commit.
 
     The log is one typed table: a string ``value`` for params and tags and a
     double ``metric`` for metrics.  A frame whose ``value`` column is numeric
     (as :func:`metrics_long` returns) has it moved to ``metric``, so numbers
     are never turned into text and text is never cast to a number.
 
-    A row whose (run_id, kind, key, step), as far as the columns exist, is in
-    the log already is not appended again, so a retried trial adds nothing.
+    Rows are written first, under the trial and an attempt of its own; a
+    manifest row naming both is written last.  :func:`read_log` takes committed
+    attempts only, one a trial, so a killed writer leaves nothing to see and
+    two writers of one trial count once.
+
+    With ``trial`` a retry is known by that name: only the manifest is read, and
+    a committed trial adds nothing.  Without it rows that equal a logged row in
+    every column (null equals null) are taken for a retry and left out; a new
+    step or a changed value is a row of its own.
     """
     if not frames:
         return path
-    norm = []
-    for f in frames:
-        types = dict(f.dtypes)
-        if "value" in types and types["value"] != "string":
-            f = f.withColumnRenamed("value", "metric")
-        if "metric" in f.columns:
-            f = f.withColumn("metric", F.col("metric").cast("double"))
-        if "value" in f.columns:
-            f = f.withColumn("value", F.col("value").cast("string"))
-        norm.append(f)
-    df = norm[0]
-    for f in norm[1:]:
-        df = df.unionByName(f, allowMissingColumns=True)
-    logged = _logged(df.sparkSession, path, fmt)
-    keys = [c for c in LOG_KEYS if logged is not None and c in df.columns and c in logged.columns]
-    if keys:
-        old = logged.select(*[F.col(c).alias(f"_{c}") for c in keys])
-        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
-        df = df.join(old, reduce(and_, same), "left_anti")
-    df.write.mode("append").format(fmt).save(path)
+    rows = _log_rows(frames)
+    spark = rows.sparkSession
+    attempt = uuid.uuid4().hex
+    if trial is None:
+        rows = _not_logged(rows, read_log(spark, path, fmt))
+        trial = f"rows-{attempt}"
+    else:
+        done = _commits(spark, path)
+        if done is not None and not done.where(F.col("trial") == trial).isEmpty():
+            return path
+    (rows.withColumns({"trial": F.lit(trial), "attempt": F.lit(attempt)})
+     .write.mode("append").format(fmt).save(path))
+    (spark.range(1).select(F.lit(trial).alias("trial"), F.lit(attempt).alias("attempt"),
+                           F.current_timestamp().alias("committed_at"))
+     .write.mode("append").parquet(_manifest(path)))
     return path
 
 
-def _logged(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
-    """What the log holds, or None where there is no log yet."""
+def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The committed rows of a log, or None where nothing was committed yet.
+
+    One attempt counts per trial, the first to be committed.
+    """
+    done = _commits(spark, path)
+    if done is None:
+        return None
+    first = done.groupBy("trial").agg(
+        F.min_by("attempt", F.struct("committed_at", "attempt")).alias("attempt"))
+    rows = spark.read.option("mergeSchema", "true").format(fmt).load(path)
+    return rows.join(first, ["trial", "attempt"], "left_semi").drop("trial", "attempt")
+
+
+def _manifest(path: str) -> str:
+    """Folder of the manifest; readers of the log skip names with ``_``."""
+    return f"{path.rstrip('/')}/_commits"
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.format(fmt).load(path)
+        return spark.read.schema(COMMIT_SCHEMA).parquet(_manifest(path))
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def _not_logged(rows: DataFrame, logged: DataFrame | None) -> DataFrame:
+    if logged is None:
+        return rows
+    names = list(dict.fromkeys([*rows.columns, *logged.columns]))
+    mine = rows.withColumns({c: F.lit(None) for c in names if c not in rows.columns})
+    old = logged.select(*[(F.col(f"`{c}`") if c in logged.columns else F.lit(None)).alias(f"_{i}")
+                          for i, c in enumerate(names)])
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(names)]
+    return mine.join(old, reduce(and_, same), "left_anti").select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
 def register_versions(registry: DataFrame, name: str = "name", created: str = "created",
                       run_id: str = "run_id") -> DataFrame:
     """Version numbers per registered name, counting up by (created, run_id).
@@ -160,9 +207,12 @@ def register_versions(registry: DataFrame, name: str = "name", created: str = "c
 
 
 def autolog(fit: Callable[[], tuple[DataFrame, DataFrame]], experiment_id: str, parent_name: str,
-            path: str, metric_cols: Sequence[str], tags: Mapping[str, str] | None = None) -> str:
+            path: str, metric_cols: Sequence[str], tags: Mapping[str, str] | None = None,
+            trial: str | None = None) -> str:
     """Run ``fit`` and log its runs, params, metrics and tags in one append.
 
+    ``trial`` names the trial for retries, as in :func:`append_log`.
+
     ``fit`` returns ``(models, board)``: a models frame with ``model_id`` and
     a ``params`` map, and a board with one row per model.  The log is one
     typed table (string ``value`` for params/tags, double ``metric``).
@@ -174,4 +224,4 @@ def autolog(fit: Callable[[], tuple[DataFrame, DataFrame]], experiment_id: str,
               .withColumn("kind", F.lit("metric"))]
     if tags:
         frames.append(tags_long(rs, tags).withColumn("kind", F.lit("tag")))
-    return append_log(frames, path)
+    return append_log(frames, path, trial=trial)

@@ -177,3 +177,47 @@ def test_grouped_fit_of_repeated_rows_and_null_groups(spark):
 def test_no_models_still_gives_a_parent_run(spark):
     none = spark.createDataFrame([], "model_id string")
     assert [r["nested"] for r in runs_table(none, "e", "p").collect()] == [False]
+
+
+def _metric(spark, rows, schema="run_id string, key string, metric double"):
+    return spark.createDataFrame(rows, schema)
+
+
+def test_append_log_keeps_new_steps_and_changed_values(spark, tmp_path):
+    from modelyard.operators.tracking import append_log, read_log
+    path = str(tmp_path / "log")
+    stepped = "run_id string, key string, metric double, step int"
+    append_log([_metric(spark, [("r", "rmse", 3.0)])], path)
+    append_log([_metric(spark, [("r", "rmse", 3.0, s) for s in (1, 2, 3)], stepped)], path)
+    append_log([_metric(spark, [("r", "rmse", 2.0)])], path)
+    append_log([_metric(spark, [("r", "rmse", 3.0, 2), ("r", "rmse", 3.0, 4)], stepped)], path)
+    got = sorted((r["step"] or 0, r["metric"]) for r in read_log(spark, path).collect())
+    assert got == [(0, 2.0), (0, 3.0), (1, 3.0), (2, 3.0), (3, 3.0), (4, 3.0)]
+
+
+def test_trial_is_logged_once_and_keeps_equal_rows(spark, tmp_path):
+    from modelyard.operators.tracking import append_log, read_log
+    path = str(tmp_path / "log")
+    one = _metric(spark, [("r", "rmse", 1.0), ("r", "rmse", 1.0)])
+    append_log([one], path, trial="a")
+    append_log([_metric(spark, [("r", "rmse", 9.0)])], path, trial="a")   # a retry under another result
+    append_log([one.withColumn("note", F.lit("again"))], path, trial="b")
+    got = read_log(spark, path)
+    assert sorted((r["metric"], r["note"] or "") for r in got.collect()) == \
+        [(1.0, ""), (1.0, ""), (1.0, "again"), (1.0, "again")]
+
+
+def test_killed_and_rival_writers_leave_nothing(spark, tmp_path):
+    from modelyard.operators.tracking import append_log, read_log
+    path = str(tmp_path / "log")
+    assert read_log(spark, path) is None
+    row = _metric(spark, [("r", "rmse", 1.0)])
+    row.withColumns({"trial": F.lit("a"), "attempt": F.lit("killed")}).write.parquet(path)
+    assert read_log(spark, path) is None
+    append_log([row], path, trial="a")
+    assert read_log(spark, path).count() == 1
+    # A rival that committed the same trial later does not count twice.
+    row.withColumns({"trial": F.lit("a"), "attempt": F.lit("rival")}).write.mode("append").parquet(path)
+    spark.sql("SELECT 'a' AS trial, 'rival' AS attempt, current_timestamp() AS committed_at") \
+        .write.mode("append").parquet(path + "/_commits")
+    assert [r["metric"] for r in read_log(spark, path).collect()] == [1.0]
