@@ -8,9 +8,10 @@ Two families:
   key (integer arithmetic for integral keys, md5 otherwise).  They are plain projections (no shuffle), stable under any
   partitioning, and the same rows land in the same split in DuckDB.
 
-Stratified variants either rank rows inside each class by the key hash (the
-exact mode: class shares are met to the row) or reuse the hash split, which
-is stratified in expectation and needs no shuffle at all.
+Stratified variants either work on the rank of rows inside each class by the
+key hash (the exact mode: class shares are met to the row), found by histograms
+of the hash and not by sorting, or reuse the hash split, which is stratified in
+expectation and needs no shuffle at all.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import (hash_bucket_of, hash_bucket_of_sql, key_hash, key_hash_sql,
                              numeric_keys)
-from .index import row_index
+from .select import below_cut, bucketed_rank, class_cuts
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int = 1) -> list[DataFrame]:
@@ -75,13 +76,16 @@ def class_rank(df: DataFrame, label: str, keys: Sequence[str], seed: int = 1,
                out: str = "class_rank", size: str = "class_n") -> DataFrame:
     """0-based rank of each row inside its class, ordered by (key hash, key).
 
-    Uses the distributed row index, so a class holding most rows is still cut
-    over many tasks.
+    Rows are ranked inside (class, leading hash bits), a bucket of some ten
+    thousand rows however large the class, and a histogram of the buckets gives
+    the rows before each: one hash exchange, no range partitions.
     """
-    h = "_h"
-    ranked = row_index(df.withColumn(h, key_hash(keys, seed, numeric_keys(df, keys))), [h, *keys],
-                       group_cols=[label], out=out, group_size=size)
-    return ranked.drop(h)
+    return bucketed_rank(df, label, _order_hash(df, keys, seed), keys, out, size)
+
+
+def _order_hash(df: DataFrame, keys: Sequence[str], seed: int) -> Column:
+    """The key hash rows are ordered by; a null key comes first."""
+    return F.coalesce(key_hash(keys, seed, numeric_keys(df, keys)), F.lit(0).cast("bigint"))
 
 
 def stratified_holdout(df: DataFrame, label: str, keys: Sequence[str],
@@ -90,15 +94,16 @@ def stratified_holdout(df: DataFrame, label: str, keys: Sequence[str],
     """``split`` 0 (train) or 1 (hold-out), stratified by ``label``.
 
     ``exact``: the first ``floor(n_class * train_share)`` rows of each class
-    (in hash order) train.  ``hash``: the plain hash split, no shuffle.
+    (in hash order) train.  The last of them is found by three histograms of
+    the hash (:func:`~.select.class_cuts`), so the split itself is a projection.
+    Rows equal in class and keys stay together.  ``hash``: the plain hash split.
     """
     if mode == "hash":
         return df.withColumn(out, hash_split_col(keys, [train_share, 1 - train_share], seed,
                                                  numeric_keys(df, keys)))
     bp = int(round(train_share * 10_000))
-    ranked = class_rank(df, label, keys, seed, out="_r", size="_n")
-    cut = F.floor(F.col("_n") * F.lit(bp) / F.lit(10_000))
-    return ranked.withColumn(out, F.when(F.col("_r") < cut, 0).otherwise(1).cast("int")).drop("_r", "_n")
+    h = _order_hash(df, keys, seed)
+    return below_cut(df, class_cuts(df, label, h, keys, bp), label, h, keys, out)
 
 
 def stratified_kfold(df: DataFrame, label: str, keys: Sequence[str], k: int = 5,

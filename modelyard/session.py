@@ -88,6 +88,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written_table(df, name: str):
+    """``df`` written below the shared checkpoint root and read back: computed once, kept on loss."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 
