@@ -23,17 +23,20 @@ from ..session import ensure_checkpoint_dir
 
 
 def gang_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-             schema: str, n_tasks: int, key: str | None = None) -> DataFrame:
+             schema: str, n_tasks: int, key: str | None = None, order: Sequence[str] = ()) -> DataFrame:
     """Run ``fn`` on ``n_tasks`` partitions launched together (barrier stage).
 
     Barrier tasks start all at once or not at all, so ``n_tasks`` must not
     exceed the cluster's task slots; that is checked up front.  With ``key``, an
-    integer from 0 to ``n_tasks - 1``, task i gets the rows of key i.
+    integer from 0 to ``n_tasks - 1``, task i gets the rows of key i; with
+    ``order`` they reach it sorted (a sort that spills, not a buffer of the task).
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     if n_tasks > slots:
         raise ValueError(f"barrier stage needs {n_tasks} slots, cluster has {slots}")
     parts = df.repartitionById(n_tasks, F.col(key).cast("int")) if key else df.repartition(n_tasks)
+    if order:
+        parts = parts.sortWithinPartitions(*order)
     return parts.mapInArrow(fn, schema, barrier=True)
 
 
