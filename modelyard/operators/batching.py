@@ -18,6 +18,10 @@ from ..functions.ids import key_hash, numeric_keys
 from .index import row_index
 
 
+# A budget of up to so many rows is taken as a top-k, without a sort of the table.
+TOP_ROWS = 1 << 17
+
+
 def shuffled_index(df: DataFrame, keys: Sequence[str], seed: int = 1,
                    out: str = "order_idx") -> DataFrame:
     """Repeatable full shuffle: index rows by (key hash, keys)."""
@@ -26,11 +30,6 @@ def shuffled_index(df: DataFrame, keys: Sequence[str], seed: int = 1,
                      out=out).drop(h)
 
 
-def random_order(df: DataFrame, seed: int = 1) -> DataFrame:
-    """``orderBy(rand(seed))``: a random full shuffle (not repeatable across layouts)."""
-    return df.orderBy(F.rand(seed))
-
-
 def repeat_batches(df: DataFrame, keys: Sequence[str], batch_size: int = 64,
                    epochs: int | None = None, steps: int | None = None,
                    shuffle_seed: int | None = None, n_rows: int | None = None) -> DataFrame:
@@ -44,6 +43,12 @@ def repeat_batches(df: DataFrame, keys: Sequence[str], batch_size: int = 64,
     """
     if (epochs is None) == (steps is None):
         raise ValueError("give exactly one of epochs or steps")
+    wanted = steps * batch_size if steps is not None else None
+    if wanted is not None and wanted <= TOP_ROWS and shuffle_seed is None:
+        n_rows = df.count() if n_rows is None else n_rows
+        if wanted < n_rows:
+            # The budget ends inside the first epoch: its rows are a top-k.
+            df = df.orderBy(*keys).limit(wanted)
     if shuffle_seed is not None:
         indexed = shuffled_index(df, keys, shuffle_seed, out="_idx")
     else:
@@ -71,4 +76,4 @@ def shard(df: DataFrame, keys: Sequence[str], n_shards: int, out: str = "shard",
     """Worker ``w`` keeps rows with ``idx % n == w`` (data sharding by row)."""
     indexed = row_index(df, list(keys), out="_idx")
     tagged = indexed.withColumn(out, F.pmod(F.col("_idx"), F.lit(n_shards)).cast("int")).drop("_idx")
-    return tagged.repartition(n_shards, out) if repartition else tagged
+    return tagged.repartitionById(n_shards, F.col(out)) if repartition else tagged

@@ -3,8 +3,7 @@
 * Baselines: majority class and per-category positive rate, both fitted on
   train rows only.
 * Nearest class mean on array features: class centroids by one grouped
-  aggregate over ``posexplode`` (partial aggregation keeps it at
-  classes x dim rows), scored by a projection with the centroids as literals.
+  vector sum, scored by array operations on whole Arrow batches.
 * ROC points and AUC: counts per distinct score first (this shrinks the data
   to the distinct scores), then running sums from the distributed prefix sum
   (no single-task window even for one model with many distinct scores).
@@ -17,9 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import literal_vector, softmax, squared_distance
 from .broadcast import checked_broadcast
 from .index import running_sum
+from ..session import written_table
 
 
 def majority_class(train: DataFrame, label: str):
@@ -74,6 +73,21 @@ def fit_category_rates(train: DataFrame, label: str, cat: str, positive=1,
     return {"mode": mode, "overall": overall, "rates": rates, "n": n}
 
 
+def fit_category_table(train: DataFrame, label: str, cat: str, positive=1) -> tuple:
+    """``(majority class, overall positive rate, rates)`` with one pass over the rows.
+
+    The (category, class) counts are written once and everything else is read
+    from them; ``rates`` is a table ``(cat, rate)``, so categories have no bound.
+    """
+    cells = written_table(train.groupBy(cat, label).agg(F.count(F.lit(1)).alias("n")), "category-counts")
+    hit = F.when(F.col(label) == positive, F.col("n")).otherwise(F.lit(0))
+    classes = cells.where(F.col(label).isNotNull()).groupBy(label).agg(F.sum("n").alias("n"))
+    top = classes.agg(F.min_by(label, F.struct(-F.col("n"), F.col(label))).alias("mode")).first()
+    overall = cells.agg((F.sum(hit) / F.sum("n")).alias("rate")).first()["rate"]
+    rates = cells.where(F.col(cat).isNotNull()).groupBy(cat).agg((F.sum(hit) / F.sum("n")).alias("rate"))
+    return top["mode"], overall, rates
+
+
 def score_category_map(df: DataFrame, cat: str, rates: dict, fallback: float,
                        threshold: float = 0.5) -> DataFrame:
     """Score = the category's positive rate, looked up in a literal map (no join)."""
@@ -108,7 +122,8 @@ def roc_points(pred: DataFrame, label: str = "label", score: str = "score",
         raise ValueError("roc_points needs at least one grouping column (e.g. model_id)")
     counts = roc_counts(pred, label, score, by, positive)
     cum = running_sum(counts, ["pos", "neg"], [F.col(score).desc()], group_cols=by)
-    totals = counts.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    # The totals are the last running sums, read from the rows already written.
+    totals = cum.groupBy(*by).agg(F.max("cum_pos").alias("P"), F.max("cum_neg").alias("N"))
     out = cum.join(checked_broadcast(totals), by)
     return out.select(
         *by, score, "pos", "neg", "cum_pos", "cum_neg",
@@ -133,41 +148,53 @@ def fit_centroids(df: DataFrame, vec: str, label: str,
                   max_cells: int = 10_000_000) -> list[tuple[object, list[float]]]:
     """Mean vector per class.
 
-    ``posexplode`` + ``groupBy(label, pos)``: each task pre-aggregates to at
-    most classes x dim rows, so the shuffle is tiny whatever the row count.
-    The result (classes x dim numbers) is checked before it is collected.
+    Spark ML's summarizer adds up whole vectors, one partial sum per class and
+    task, so a hot class is reduced where its rows are.  The result (classes x
+    dim numbers) is checked before it is collected.  Null vectors are left out.
     """
-    cells = (df.select(label, F.posexplode(vec).alias("pos", "x"))
-             .groupBy(label, "pos").agg(F.avg(F.col("x").cast("double")).alias("v")))
-    got = cells.limit(max_cells + 1).collect()
-    if len(got) > max_cells:
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    rows = df.where(F.col(vec).isNotNull() & F.col(label).isNotNull()).select(label, array_to_vector(vec).alias("mk_v"))
+    means = rows.groupBy(label).agg(vector_to_array(Summarizer.mean(F.col("mk_v"))).alias("mk_mean"))
+    first = means.limit(1).collect()
+    limit = max_cells // max(1, len(first[0]["mk_mean"]) if first else 1)
+    got = means.limit(limit + 1).collect()
+    if len(got) > limit:
         raise ValueError(f"more than {max_cells} centroid cells")
-    cents: dict = {}
-    for r in got:
-        cents.setdefault(r[label], {})[r["pos"]] = r["v"]
-    return [(lbl, [c[i] for i in sorted(c)]) for lbl, c in sorted(cents.items())]
-
-
-def centroid_distances(vec: str | Column, centroids) -> Column:
-    """Array of squared distances to each centroid, in centroid order."""
-    v = F.col(vec) if isinstance(vec, str) else vec
-    return F.array(*[squared_distance(v, literal_vector(c)) for _, c in centroids])
+    return sorted(((r[label], list(r["mk_mean"])) for r in got), key=lambda c: c[0])
 
 
 def predict_centroids(df: DataFrame, vec: str, centroids, out: str = "prediction") -> DataFrame:
     """Nearest centroid label (ties: smallest label) and class probabilities.
 
-    Probabilities are the softmax of minus the squared distances.
+    Probabilities are the softmax of minus the squared distances.  Distances of
+    a whole Arrow batch are one array operation per class; the centroids go with
+    the task, bounded where they are fitted.  A null vector gets nulls.
     """
+    import numpy as np
+    import pyarrow as pa
+    centres = np.array([c for _, c in centroids])
     labels = F.array(*[F.lit(lbl) for lbl, _ in centroids])
-    d = F.col("_dist")
-    best = F.array_min(F.transform(
-        d, lambda x, i: F.struct(x.alias("d"), F.element_at(labels, i + 1).alias("l"))))
-    probs = softmax(F.transform(d, lambda x: -x))
-    return (df.withColumn("_dist", centroid_distances(vec, centroids))
-            .withColumn(out, best["l"])
-            .withColumn("probability", probs)
-            .drop("_dist"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+    def run(batches):
+        for b in batches:
+            x = b.column(vec)
+            known = x.is_valid().to_numpy(zero_copy_only=False)
+            rows = x.filter(x.is_valid()).flatten().to_numpy(zero_copy_only=False).astype(float)
+            rows = rows.reshape(-1, centres.shape[1])
+            d = np.stack([((rows - c) ** 2).sum(axis=1) for c in centres], axis=1)
+            e = np.exp(d.min(axis=1, keepdims=True) - d)
+            best = np.zeros(len(known), np.int32)
+            best[known] = d.argmin(axis=1)
+            probs = iter((e / e.sum(axis=1, keepdims=True)).tolist())
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(best, pa.int32(), mask=~known),
+                 pa.array([next(probs) if k else None for k in known], pa.list_(pa.float64()))],
+                names=[*b.schema.names, "mk_best", "probability"])
+
+    scored = df.mapInArrow(run, f"{fields}, mk_best int, probability array<double>")
+    return scored.withColumn(out, F.try_element_at(labels, F.col("mk_best") + 1)).drop("mk_best")
 
 
 def true_class_probability(label: str, centroids, probs: str = "probability") -> Column:

@@ -36,13 +36,11 @@ def _names(cols: Sequence[str | Column]) -> list[Column]:
 def _range_tag(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str | Column],
                num_partitions: int | None, checkpoint: bool) -> DataFrame:
     spark = df.sparkSession
-    # As many range partitions as the input has splits (so partition size
-    # follows the data), and at least the configured shuffle partitions.
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              df.rdd.getNumPartitions())
+    # Without a number, spark.sql.shuffle.partitions is the start and AQE merges
+    # small partitions; the input is planned and run once.
     keys = _names(list(group_cols)) + _names(order_cols)
-    tagged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    tagged = (ranged.sortWithinPartitions(*keys)
               .withColumn("_mid", F.monotonically_increasing_id()))
     if checkpoint:
         ensure_checkpoint_dir(spark)

@@ -125,9 +125,23 @@ def fold_scores(fitted: dict, df: DataFrame, fold_col: str, keys: Sequence[str],
                 label: str) -> DataFrame:
     """Out-of-fold predictions of all classifiers: (keys, fold, model_id, label, prediction, score).
 
-    ``fitted`` is what :func:`fit_fold_candidates` returns.  ``score`` is the
-    probability of class 1, or the margin of a model that gives none.  The rows
-    of a fold are prepared once; every model then adds columns of its own.
+    ``score`` is the probability of class 1, or the margin of a model that gives none.
+    """
+    return _out_of_fold(fitted, df, fold_col, keys, label, scores=True)
+
+
+def fold_predictions(fitted: dict, df: DataFrame, fold_col: str, keys: Sequence[str],
+                     label: str) -> DataFrame:
+    """Out-of-fold predictions of any models: (keys, fold, model_id, label, prediction)."""
+    return _out_of_fold(fitted, df, fold_col, keys, label, scores=False)
+
+
+def _out_of_fold(fitted: dict, df: DataFrame, fold_col: str, keys: Sequence[str], label: str,
+                 scores: bool) -> DataFrame:
+    """``fitted`` is what :func:`fit_fold_candidates` returns.
+
+    The rows of a fold are read and prepared once; every model then adds columns
+    of its own, and one row per model comes out.
     """
     from pyspark.ml.functions import vector_to_array
     out = None
@@ -148,9 +162,11 @@ def fold_scores(fitted: dict, df: DataFrame, fold_col: str, keys: Sequence[str],
                 if last.hasParam(param):
                     last._set(**{param: name})  # noqa: SLF001
             rows = last.transform(rows)
-            score = vector_to_array(f"_q{i}" if last.hasParam("probabilityCol") else f"_r{i}")[1]
-            parts.append(F.struct(F.lit(mid).alias("model_id"), F.col(f"_p{i}").alias("prediction"),
-                                  score.alias("score")))
+            made = [F.lit(mid).alias("model_id"), F.col(f"_p{i}").cast("double").alias("prediction")]
+            if scores:
+                made.append(vector_to_array(f"_q{i}" if last.hasParam("probabilityCol") else f"_r{i}")[1]
+                            .alias("score"))
+            parts.append(F.struct(*made))
         long = rows.select(*keys, F.col(fold_col), F.col(label).cast("double").alias("label"),
                            F.inline(F.array(*parts)))
         out = long if out is None else out.unionByName(long)

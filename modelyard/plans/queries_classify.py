@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ..functions.ids import key_hash_sql
 from ..functions.metrics import accuracy_agg, log_loss_agg
 from ..functions.numeric import round_sig, round_sig_sql
-from ..operators.classify import (auc_from_roc, fit_category_rates, fit_centroids,
-                                  predict_centroids, roc_points, score_category_map,
+from ..operators.classify import (auc_from_roc, fit_category_table, fit_centroids,
+                                  predict_centroids, roc_points, score_category_rate,
                                   true_class_probability)
 from ..operators.measure import binary_metrics, confusion_matrix, rounded
 from ..operators.split import stratified_holdout
@@ -36,13 +36,12 @@ def class_split(spark, sf_dir):
 def baseline_predictions(spark, sf_dir):
     """Hold-out predictions of the majority-class and per-language-rate models."""
     train, hold = class_split(spark, sf_dir)
-    fit = fit_category_rates(train, "quality", "lang")
-    mode = fit["mode"]
+    mode, overall, rates = fit_category_table(train, "quality", "lang")
     maj = hold.select("doc_id", F.col("quality").alias("label"),
                       F.lit("majority").alias("model_id"),
                       F.lit(float(mode == 1)).alias("score"),
                       F.lit(int(mode)).alias("prediction"))
-    lr = score_category_map(hold, "lang", fit["rates"], fit["overall"]).select(
+    lr = score_category_rate(hold, rates, "lang", overall).select(
         "doc_id", F.col("quality").alias("label"), F.lit("lang_rate").alias("model_id"),
         "score", "prediction")
     return maj.unionByName(lr)

@@ -9,15 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.metrics import REGRESSION_METRICS
 from ..functions.numeric import round_sig, round_sig_sql
 from ..operators.batching import shard
 from ..operators.classify import auc_from_roc, roc_points
 from ..operators.gang import gang_map, grouped_least_squares, shard_partials
 from ..operators.measure import (binary_metrics, fold_summary, leaderboard,
-                                 regression_metrics)
+                                 regression_metrics, rounded)
 from ..operators.spark_models import (classifiers, fit_candidates, fit_fold_candidates,
-                                      fold_scores, iterative_regressors, long_predictions,
-                                      regressors, scoring_history, timings)
+                                      fold_predictions, fold_scores, iterative_regressors,
+                                      long_predictions, regressors, scoring_history, timings)
 from ..operators.split import hash_split_col, kfold_col, kfold_sql, stratified_kfold
 from ..registry import register
 from ..session import scratch_path
@@ -25,8 +26,10 @@ from ..sources.tables import load_table
 from .queries_classify import labelled_docs
 from .queries_core import (PART_FEATURES, PART_KEYS, PART_LABEL, _part_split_cte,
                            part_trial)
+from .sqltext import regression_metrics_sql
 
 R = round_sig_sql
+K = 5
 
 ASSEMBLED_SQL = "SELECT p_partkey, CAST(p_partkey AS DOUBLE) AS f0, CAST(p_size AS DOUBLE) AS f1, " \
                 "CAST(2 AS INTEGER) AS n_features FROM part"
@@ -76,7 +79,7 @@ def scoring_history_q(spark, sf_dir):
 @register("autolog_trial", "T7 T2 T3 T4 T9")
 def autolog_trial(spark, sf_dir):
     """Fit two Spark ML candidates and log runs, params and metrics in one append."""
-    from ..operators.tracking import autolog
+    from ..operators.tracking import autolog, read_log
     t, asm = _part_features(spark, sf_dir)
 
     def fit():
@@ -90,22 +93,52 @@ def autolog_trial(spark, sf_dir):
         return params, board
 
     path = autolog(fit, "autolog", "automl", scratch_path(spark, "autolog"),
-                   ["mse", "rmse", "mae", "r2", "train_seconds"], {"source": "modelyard"})
-    return spark.read.parquet(path)
+                   ["mse", "rmse", "mae", "r2", "train_seconds"], {"source": "modelyard"}, trial="automl")
+    return read_log(spark, path)
 
 
 @register("automl_cv_leaderboard", "M2 M14 E8 R4")
 def automl_cv_leaderboard(spark, sf_dir):
-    """Spark ML candidates ranked by 5-fold CV RMSE (CrossValidator with the hash folds)."""
-    from ..operators.spark_models import cross_validate
+    """Spark ML candidates ranked by 5-fold CV RMSE: all candidates and folds in one pool."""
     t, asm = _part_features(spark, sf_dir)
-    tr = t.train.withColumn("fold", kfold_col(PART_KEYS, 5, 1))
-    res = cross_validate(tr, [asm], regressors(PART_LABEL, seed=1), PART_LABEL, "fold", 5)
-    rows = [(mid, mean, sd, n) for mid, mean, sd, n, _ in res]
-    cv = spark.createDataFrame(rows, "model_id string, rmse double, rmse_sd double, folds int")
+    per_fold = cv_metrics(t.train.withColumn("fold", kfold_col(PART_KEYS, K, 1)), [asm],
+                          regressors(PART_LABEL, seed=1))
+    cv = fold_summary(per_fold, ["rmse"]).select(
+        "model_id", F.col("rmse_mean").alias("rmse"), "rmse_sd", F.col("folds").cast("int").alias("folds"))
     return leaderboard(cv, "rmse")
 
 
+def cv_metrics(train, stages, candidates):
+    """Every regression metric per (model, fold), each row scored by the models that did not see it."""
+    fitted = fit_fold_candidates(train, stages, candidates, "fold", K)
+    return regression_metrics(fold_predictions(fitted, train, "fold", PART_KEYS, PART_LABEL),
+                              ["model_id", "fold"])
+
+
+CV_REGRESSORS_SQL = f"""
+WITH {_part_split_cte()},
+ft AS (SELECT CAST({PART_LABEL} AS DOUBLE) AS y, CAST({PART_FEATURES[0]} AS DOUBLE) AS x1,
+              CAST({PART_FEATURES[1]} AS DOUBLE) AS x2, {kfold_sql(PART_KEYS, 5, 1)} AS fold FROM train),
+mom AS (SELECT f, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, var_pop(x1) AS v1, var_pop(x2) AS v2,
+               covar_pop(x1, x2) AS c12, covar_pop(x1, y) AS c1, covar_pop(x2, y) AS c2
+        FROM ft JOIN (SELECT DISTINCT fold AS f FROM ft) g ON ft.fold <> g.f GROUP BY f),
+co AS (SELECT *, (c1 * v2 - c2 * c12) / (v1 * v2 - c12 * c12) AS b1,
+              (c2 * v1 - c1 * c12) / (v1 * v2 - c12 * c12) AS b2 FROM mom),
+pred AS (SELECT fold, y, my + b1 * (x1 - m1) + b2 * (x2 - m2) AS p FROM ft JOIN co ON fold = f)
+SELECT model_id, fold, {regression_metrics_sql('y', 'p', 7)}
+FROM pred, (VALUES ('linear'), ('glm')) m(model_id) GROUP BY model_id, fold
+"""
+
+
+@register("cv_regressor_metrics", "M14 E8 M2", CV_REGRESSORS_SQL)
+def cv_regressor_metrics(spark, sf_dir):
+    """Linear regression and the Gaussian GLM per fold, equal to least squares on the other folds."""
+    t, asm = _part_features(spark, sf_dir)
+    exact = [c for c in regressors(PART_LABEL, seed=1) if c[0] in ("linear", "glm")]
+    per_fold = cv_metrics(t.train.withColumn("fold", kfold_col(PART_KEYS, K, 1)), [asm], exact)
+    return rounded(per_fold, REGRESSION_METRICS, 7)
+
+
 @register("spark_model_details", "E11 E12 M12")
 def spark_model_details(spark, sf_dir):
     """Linear coefficients and tree importances (relative, scaled, share) of the candidates."""

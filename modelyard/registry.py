@@ -34,4 +34,4 @@ def load_all() -> None:
     """Import the modules that register queries."""
     from .plans import (queries_arrays, queries_classify, queries_core,  # noqa: F401
                         queries_features, queries_ml, queries_models, queries_split,
-                        queries_stream, queries_track)
+                        queries_stream, queries_track, queries_trials)
