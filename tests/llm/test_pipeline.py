@@ -92,3 +92,16 @@ def test_pipeline_end_to_end_and_empty(spark, tables, tmp_path):  # noqa: F811
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{at}/{name}.parquet").where(F.lit(False)).write.parquet(f"{tmp_path}/{name}.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_leave_clashing_columns_alone(spark, tables):  # noqa: F811
+    at, _ = tables
+    names = ["score", "lang_pred", "n_lines", "n_removed", "n_words", "n_hit", "contaminated", "class_id", "set",
+             "is_first", "n_links"]
+    docs = spark.read.parquet(f"{at}/documents.parquet").withColumns(
+        {c: F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")) for c in names})
+    for stage in (cp.language, cp.lines, cp.near_copies, cp.benchmark_passages):
+        out = stage(spark, docs, at)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}-{r['doc_id']}" for r in rows for c in names)
