@@ -76,14 +76,3 @@ def softmax(arr: str | Column) -> Column:
     e = F.transform(a, lambda x: F.exp(x.cast("double") - m))
     s = F.aggregate(e, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
     return F.transform(e, lambda x: x / s)
-
-
-def squared_distance(a: str | Column, b: str | Column) -> Column:
-    """Squared Euclidean distance of two equal-length arrays."""
-    d = F.zip_with(_c(a), _c(b), lambda x, y: (x.cast("double") - y.cast("double")) * (
-        x.cast("double") - y.cast("double")))
-    return F.aggregate(d, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-
-
-def literal_vector(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)).cast("double") for v in values])

@@ -21,20 +21,6 @@ from .index import running_sum
 from ..session import written_table
 
 
-def majority_class(train: DataFrame, label: str):
-    """Most frequent label on the train rows (ties: smallest label)."""
-    row = (train.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-           .agg(F.min_by(label, F.struct(-F.col("n"), F.col(label))).alias("mode")).first())
-    return row["mode"]
-
-
-def category_rate(train: DataFrame, label: str, cat: str, positive=1) -> DataFrame:
-    """Positive rate per category: (cat, rate, n)."""
-    return train.groupBy(cat).agg(
-        F.avg((F.col(label) == positive).cast("double")).alias("rate"),
-        F.count(F.lit(1)).alias("n"))
-
-
 def score_category_rate(df: DataFrame, rates: DataFrame, cat: str, fallback: float,
                         threshold: float = 0.5, max_levels: int = 1_000_000) -> DataFrame:
     """Score = positive rate of the row's category (unseen: ``fallback``).

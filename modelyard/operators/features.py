@@ -170,14 +170,3 @@ def one_hot(df: DataFrame, col: str, levels: Sequence[str], prefix: str | None =
             for v in levels]
     base = [F.col(f"`{c}`") for c in df.columns if not (drop and c == col)]
     return df.select(*base, *cols)
-
-
-def index_and_encode(train: DataFrame, col: str, out: str | None = None):
-    """Spark ML form of F6: ``StringIndexer`` + ``OneHotEncoder`` fitted on train."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
-    out = out or f"{col}_vec"
-    idx = StringIndexer(inputCol=col, outputCol=f"{col}_idx", handleInvalid="keep",
-                        stringOrderType="alphabetAsc")
-    enc = OneHotEncoder(inputCols=[f"{col}_idx"], outputCols=[out], handleInvalid="keep")
-    return Pipeline(stages=[idx, enc]).fit(train)

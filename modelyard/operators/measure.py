@@ -6,7 +6,7 @@ windows that rank them run on aggregates, never on row data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,6 +97,31 @@ def fold_summary(per_fold: DataFrame, metrics: Sequence[str] = tuple(REGRESSION_
     return per_fold.groupBy(*by).agg(F.count(F.lit(1)).alias("folds"), *aggs)
 
 
+def current_metrics(sources: Mapping[str, DataFrame | None],
+                    metrics: Sequence[str] = tuple(REGRESSION_METRICS)) -> DataFrame:
+    """The metric that counts, per model: from the first source that has it.
+
+    ``sources`` maps a name (cross-validation first, then validation, then
+    training) to a wide metric frame, or to None where there is none.  Returns
+    ``(model_id, metric, value, source, <one column per source>)``; a metric no
+    source has keeps a null value and source.
+    """
+    long = None
+    for name, frame in sources.items():
+        if frame is None:
+            continue
+        part = (frame.select("model_id", *[F.col(m).cast("double").alias(m) for m in metrics])
+                .unpivot(["model_id"], list(metrics), "metric", "value").withColumn("source", F.lit(name)))
+        long = part if long is None else long.unionByName(part)
+    if long is None:
+        raise ValueError("no source of metrics")
+    got = long.groupBy("model_id", "metric").agg(*[
+        F.max(F.when(F.col("source") == n, F.col("value"))).alias(n) for n in sources])
+    which = F.coalesce(*[F.when(F.col(n).isNotNull(), F.lit(n)) for n in sources])
+    return got.select("model_id", "metric", F.coalesce(*[F.col(n) for n in sources]).alias("value"),
+                      which.alias("source"), *sources)
+
+
 def present_only(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows whose ``cols`` are all present (a model detail that may be absent).
 

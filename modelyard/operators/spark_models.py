@@ -193,35 +193,6 @@ def scoring_history(model_stage, holdout_features: DataFrame, label: str) -> lis
     return rows
 
 
-def cross_validate(data: DataFrame, stages: Sequence, candidates: Sequence[tuple[str, Callable]],
-                   label: str, fold_col: str, n_folds: int, metric: str = "rmse",
-                   parallelism: int = 4, keep_fold_models: bool = False) -> list[tuple]:
-    """Spark ML's ``CrossValidator`` with a fold column, once per candidate.
-
-    Folds come from the data (``foldCol``), so they are the same repeatable
-    hash folds as the closed-form candidates.  Returns
-    ``(model_id, cv_mean, cv_std, n_folds, fold_models)`` per candidate.
-    """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    out = []
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for mid, make in candidates:
-            pipe = Pipeline(stages=[*stages, make()])
-            cv = CrossValidator(estimator=pipe, estimatorParamMaps=ParamGridBuilder().build(),
-                                evaluator=RegressionEvaluator(labelCol=label, metricName=metric),
-                                foldCol=fold_col, numFolds=n_folds, parallelism=parallelism,
-                                collectSubModels=keep_fold_models)
-            m = cv.fit(data)
-            subs = m.subModels if keep_fold_models else None
-            out.append((mid, float(m.avgMetrics[0]), float(m.stdMetrics[0]), n_folds, subs))
-    finally:
-        data.unpersist()
-    return out
-
-
 def model_details(models: dict, feature_names: Sequence[str]) -> list[tuple]:
     """Coefficients of linear models and importances of tree models, when present.
 

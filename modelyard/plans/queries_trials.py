@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from ..functions.ids import key_hash_sql
 from ..functions.metrics import REGRESSION_METRICS
 from ..functions.numeric import round_sig, round_sig_sql
-from ..operators.closed_form import fit_closed_form
+from ..operators.closed_form import fit_closed_form, measure_wide
 from ..operators.distinct import RELATIVE_ERROR, distinct_sketches, united
 from ..operators.importance import permutation_importance, staged_predictions
-from ..operators.measure import best_n, regression_metrics, rounded
+from ..operators.measure import best_n, current_metrics, regression_metrics, rounded
 from ..operators.model_store import load_model, save_models
 from ..operators.prep import LevelEncoder, TableImputer
 from ..operators.score_sketch import merge_sketches, score_sketch, sketch_auc
@@ -30,7 +30,7 @@ from .queries_classify import _ROC_CTE, roc_inputs
 from .queries_core import (LI_KEYS, PART_FEATURES, PART_FILTER, PART_KEYS, PART_LABEL,
                            REGRESSION_LEADERBOARD_SQL, _part_split_cte, part_trial)
 from .queries_ml import _part_features
-from .queries_models import REFIT_SQL
+from .queries_models import CURRENT_METRICS_SQL, REFIT_SQL, _cv_summary
 from .queries_split import _batches_sql
 from .sqltext import regression_metrics_sql
 
@@ -366,3 +366,29 @@ def random_split_cover(spark, sf_dir):
     t, g = F.coalesce("taken", F.lit(0)), F.coalesce("given", F.lit(0))
     return both.agg(F.sum(t).alias("n"), F.sum(F.greatest(t - g, F.lit(0))).alias("overlap"),
                     F.sum(F.greatest(g - t, F.lit(0))).alias("uncovered"))
+
+
+# --- Metrics that count when a source is missing (E9) ------------------------
+
+FALLBACK_SQL = f"""
+WITH b AS ({CURRENT_METRICS_SQL}),
+g AS (SELECT model_id, metric, training, CASE WHEN model_id <> 'mean' THEN validation END AS validation,
+             CASE WHEN model_id = 'lsq_{PART_FEATURES[0]}' THEN cv END AS cv FROM b)
+SELECT model_id, metric, training, validation, cv, coalesce(cv, validation, training) AS value,
+       CASE WHEN cv IS NOT NULL THEN 'cv' WHEN validation IS NOT NULL THEN 'validation'
+            WHEN training IS NOT NULL THEN 'training' END AS source FROM g
+"""
+
+
+@register("current_metrics_fallback", "E9", FALLBACK_SQL)
+def current_metrics_fallback(spark, sf_dir):
+    """One model has CV metrics, another only validation, the mean only training ones."""
+    t, summary = _cv_summary(spark, sf_dir)
+    cv = summary.select("model_id", *[F.col(f"{m}_mean").alias(m) for m in REGRESSION_METRICS])
+    digits = {"training": measure_wide(t.train, t.models, PART_LABEL),
+              "validation": measure_wide(t.holdout, t.models, PART_LABEL), "cv": cv}
+    digits = {n: rounded(f, REGRESSION_METRICS) for n, f in digits.items()}
+    return current_metrics({
+        "cv": digits["cv"].where(F.col("model_id") == f"lsq_{PART_FEATURES[0]}"),
+        "validation": digits["validation"].where(F.col("model_id") != "mean"),
+        "training": digits["training"]})

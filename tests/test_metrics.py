@@ -142,3 +142,18 @@ def test_problem_kind_counts_exactly(spark):
     assert problem_kind(df, "c").first()["kind"] == "multinomial"
     r = problem_kind(df, "big").first()
     assert r["kind"] == "regression" and r["n_distinct"] == 5000
+
+
+def test_current_metrics_take_the_first_source_that_has_them(spark):
+    from modelyard.operators.measure import current_metrics
+    schema = "model_id string, mse double, r2 double"
+    train = spark.createDataFrame([("a", 1.0, 0.1), ("b", 2.0, None), ("c", 3.0, 0.3)], schema)
+    valid = spark.createDataFrame([("a", 4.0, 0.4), ("b", None, 0.5)], schema)
+    cv = spark.createDataFrame([("a", 6.0, None)], schema)
+    got = {(r["model_id"], r["metric"]): (r["value"], r["source"]) for r in current_metrics(
+        {"cv": cv, "validation": valid, "training": train}, ["mse", "r2"]).collect()}
+    assert got == {("a", "mse"): (6.0, "cv"), ("a", "r2"): (0.4, "validation"), ("b", "mse"): (2.0, "training"),
+                   ("b", "r2"): (0.5, "validation"), ("c", "mse"): (3.0, "training"), ("c", "r2"): (0.3, "training")}
+    only = current_metrics({"validation": valid.where("model_id = 'b'"), "training": train.where("model_id = 'b'")},
+                           ["r2"]).first()
+    assert (only["value"], only["source"], only["training"]) == (0.5, "validation", None)

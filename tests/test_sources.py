@@ -50,3 +50,22 @@ def test_session_sql_with_dataframe_argument(spark):
     li = load_table(spark, SF_SMALL, "lineitem")
     n = spark.sql("SELECT count(*) AS n FROM {li} WHERE l_quantity > 10", li=li).first()["n"]
     assert n == li.where("l_quantity > 10").count()
+
+
+def test_reads_and_writes_on_a_store_only_spark_reaches(spark, tmp_path):
+    """Object-store paths go through the session's Hadoop settings, like fs.s3a.* ones."""
+    from modelyard.sources.tables import save_table
+    name = "fs.viewfs.mounttable.bucket.link./data"
+    spark.conf.set(name, f"file://{tmp_path}")
+    try:
+        cust = load_table(spark, SF_SMALL, "customer")
+        uri = "viewfs://bucket/data/customer-csv"
+        assert write_csv(cust, uri) == uri
+        back = cast_like(read_csv(spark, uri), cust.schema).select(*cust.columns)
+        assert back.exceptAll(cust).count() == 0 and cust.exceptAll(back).count() == 0
+        cust.write.parquet("viewfs://bucket/data/sf/customer.parquet")
+        assert load_table(spark, "viewfs://bucket/data/sf/", "customer").count() == cust.count()
+        assert (tmp_path / "customer-csv").is_dir()
+        assert read_table(spark, save_table(cust, "t_stored", path=str(tmp_path / "t"))).count() == cust.count()
+    finally:
+        spark.conf.unset(name)
