@@ -272,20 +272,19 @@ def _used_words(hot, least: int):
 
 
 def _listed_words(used):
-    """(block, place, lang, word, n) of the words that are marked, in every block."""
+    """(block, place, lang, word, n, used) of every word of a block; ``used`` if it is marked."""
     def run(batches):
         bits = np.unpackbits(used.value).astype(bool)
         for b in batches:
             for i in range(b.num_rows):
                 words, hashes = _block_words(b, i)
-                at = np.flatnonzero(_lit(bits, hashes))
-                if len(at):
-                    counts = np.frombuffer(b.column("counts")[i].as_py(), np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), b.column("block")[i].as_py())), pa.array(at.astype(np.int64)),
-                         pa.array([b.column("lang")[i].as_py()] * len(at), pa.string()),
-                         words.take(pa.array(at)), pa.array(counts[at].astype(np.int64))],
-                        names=["block", "place", "lang", "word", "n"])
+                counts = np.frombuffer(b.column("counts")[i].as_py(), np.int32)
+                n = len(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, b.column("block")[i].as_py(), np.int64)), pa.array(np.arange(n)),
+                     pa.repeat(b.column("lang")[i], n), words, pa.array(counts.astype(np.int64)),
+                     pa.array(_lit(bits, hashes))],
+                    names=["block", "place", "lang", "word", "n", "used"])
     return run
 
 
@@ -407,8 +406,8 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     used = _hot(blocks.select("lang", "size", "starts", "words").mapInArrow(
         _used_words(hot, least), "chunk int, heat binary"), least)
     listed = blocks.select("block", "lang", "words", "counts").mapInArrow(
-        _listed_words(used), "block long, place long, lang string, word string, n long")
-    listed = listed.select((F.col("block") + F.col("place")).alias("at"), "lang", "word", "n")
+        _listed_words(used), "block long, place long, lang string, word string, n long, used boolean")
+    listed = listed.where("used").select((F.col("block") + F.col("place")).alias("at"), "lang", "word", "n")
     words = _kept(_named_words(listed, least).select("at", "id", "lang", "word", "a"), "phrase-level1")
     named = words.where("id = at")
     levels = named.select(F.array("id").alias("ids"), "a")
