@@ -34,7 +34,7 @@ WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.999
 DEPTH = 3                 # levels a set descends at once
-SMALL_NODE = 512          # a node is small when it needs the square of this many comparisons
+SMALL_NODE = 2048         # a node is small when it needs the square of this many comparisons
 STAR = 1024               # sets one task compares with a lead
 CHUNK = 2048              # sets of a group that one task compares with as many
 SMALL_KEYS = 2_000_000    # rows (two longs each) that may be broadcast: 32 MB
@@ -60,33 +60,38 @@ def shingles(ids: np.ndarray, words: int = WORDS) -> np.ndarray:
 
 
 # -- the tree ------------------------------------------------------------------
-def _draw(node: int, salt: int) -> int:
-    """64 random bits that belong to a node."""
-    h = ((node ^ salt) * _M1) & _MASK
-    h = ((h ^ (h >> 31)) * _M2) & _MASK
-    return h ^ (h >> 29)
-
-
-def children(s: np.ndarray, node: int, similarity: float) -> list[int]:
-    """The one or two children of a node that the set ``s`` goes to."""
-    out = []
-    for salt in (1, 2) if _draw(node, 3) < (1 / similarity - 1) * 2 ** 64 else (1,):
-        order = _draw(node, salt)
-        h = (s ^ np.uint64(order)) * np.uint64(_M2)
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(_M1)
-        out.append(_draw(order, int(h.min())))
+def _draw(nodes: np.ndarray, salt) -> np.ndarray:
+    """64 random bits that belong to each node."""
+    h = (nodes ^ np.asarray(salt, np.uint64)) * np.uint64(_M1)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(_M2)
+    return h ^ (h >> np.uint64(29))
+
+
+def _first(s: np.ndarray, orders: np.ndarray) -> np.ndarray:
+    """The first shingle of the set under each order, as its place in the order."""
+    out = np.full(len(orders), _MASK, np.uint64)
+    for i in range(0, len(s), 4096):
+        h = (s[None, i:i + 4096] ^ orders[:, None]) * np.uint64(_M2)
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(_M1)
+        out = np.minimum(out, h.min(axis=1))
     return out
 
 
-def paths(s: np.ndarray, nodes: list[int], depth: int, similarity: float) -> np.ndarray:
-    """Names of the nodes ``depth`` levels below ``nodes`` that the set reaches."""
+def paths(s: np.ndarray, nodes: np.ndarray, depth: int, similarity: float) -> np.ndarray:
+    """Names of the nodes ``depth`` levels below ``nodes`` that the set ``s`` reaches.
+
+    Every node sends the set to one child, and some (1 / similarity - 1) to a second.
+    """
+    more = np.uint64((1 / similarity - 1) * 2 ** 64)
     for _ in range(depth):
-        nodes = [c for node in nodes for c in children(s, node, similarity)]
-    return np.unique(np.array(nodes, np.uint64)).view(np.int64)
+        orders = np.concatenate([_draw(nodes, 1), _draw(nodes[_draw(nodes, 3) < more], 2)])
+        nodes = _draw(orders, _first(s, orders))
+    return np.unique(nodes).view(np.int64)
 
 
-def _roots(first: int, runs: int) -> list[int]:
-    return [_draw(run, 5) for run in range(first, first + runs)]
+def _roots(first: int, runs: int) -> np.ndarray:
+    return _draw(np.arange(first, first + runs, dtype=np.uint64), 5)
 
 
 def runs_for(recall: float, similarity: float, depth: int = DEPTH) -> int:
@@ -233,20 +238,29 @@ _PAIR = "a1 long, a2 long, b1 long, b2 long"
 
 
 def _brute_force(nodes: DataFrame, similarity: float) -> DataFrame:
-    """Links of each node's ``loose`` sets with all of its sets."""
+    """Links that connect what any link of a node's ``loose`` sets with its sets connects.
+
+    The other sets of a node hang together through its lead.  A link inside what
+    is connected already is not returned, so a node gives fewer links than it
+    has sets.
+    """
     def pairs(pdf):
         grams = _read(pdf["grams"])
-        loose = pdf["loose"].to_numpy().nonzero()[0]
+        loose = pdf["loose"].to_numpy()
         sizes = np.array([len(g) for g in grams])
+        part = np.where(loose, np.arange(len(loose)), -1)
         i, j = [], []
-        for a in range(0, len(loose), 256):
-            mine = loose[a:a + 256]
+        at = loose.nonzero()[0]
+        for a in range(0, len(at), 256):
+            mine = at[a:a + 256]
             both = _intersections([grams[k] for k in mine], grams)
-            x, y = np.nonzero(_alike(both, sizes[mine][:, None] + sizes[None, :], similarity))
-            i.append(mine[x])
-            j.append(y)
-        i, j = np.concatenate(i), np.concatenate(j)
-        i, j = i[i != j], j[i != j]
+            for x, ok in zip(mine, _alike(both, sizes[mine][:, None] + sizes[None, :], similarity)):
+                met, first = np.unique(part[ok], return_index=True)
+                other = np.flatnonzero(ok)[first][met != part[x]]
+                i += [x] * len(other)
+                j += other.tolist()
+                part[np.isin(part, met)] = part[x]
+        i, j = np.array(i, np.int64), np.array(j, np.int64)
         s1, s2 = pdf["s1"].to_numpy(), pdf["s2"].to_numpy()
         return pd.DataFrame({"a1": s1[i], "a2": s2[i], "b1": s1[j], "b2": s2[j]})
 
@@ -266,7 +280,7 @@ def _descend(front: DataFrame, grams: DataFrame, similarity: float, depth: int)
 
     def run(batches):
         for b in batches:
-            keys = [paths(np.frombuffer(g, np.uint64), [k & _MASK for k in nodes], depth, similarity)
+            keys = [paths(np.frombuffer(g, np.uint64), np.array(nodes, np.int64).view(np.uint64), depth, similarity)
                     for g, nodes in zip(b.column("grams").to_pylist(), b.column("nodes").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column("s1"), b.column("s2"), b.column("n"), pa.array(keys, pa.list_(pa.int64()))],
@@ -344,7 +358,7 @@ def links_of(docs: DataFrame, sets: DataFrame, text_col: str, doc_id: str,
         if more <= 0:
             break
         again = fronts.distinct().withColumn("nodes", F.array(*[
-            F.lit(r - (1 << 64) if r >> 63 else r) for r in _roots(runs, more)]))
+            F.lit(int(r)) for r in _roots(runs, more).view(np.int64)]))
         keyed = written(_descend(again, grams, similarity, DEPTH), "path-keys")
         links, fronts, reached = _explore(keyed, grams, similarity, links)
         deep, runs = max(deep, reached), runs + more
