@@ -37,6 +37,11 @@ HEADLINE = [
     "automl_leaderboard",
     "automl_cv_leaderboard",
     "classifier_comparison",
+    "stratified_holdout",
+    "binned_auc",
+    "cv_regressor_metrics",
+    "sync_network_shards",
+    "endless_feed",
 ]
 
 
