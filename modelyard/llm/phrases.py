@@ -7,7 +7,8 @@ sorted by piece and position and written to the shared folder:
    extends a phrase of k words by the last word of the phrase that starts one
    word later;
 2. a block counts its distinct phrases, so a phrase that holds a third of the
-   corpus is one row per block when Spark groups and counts them;
+   corpus is counted once per block when Spark brings the blocks' counts of a
+   part of all phrases together;
 3. the phrases below the least count go, and a semi-join with the frequent
    groups leaves only their occurrences before the next level.
 
@@ -294,7 +295,7 @@ def _adjacent(starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero((starts[:-1] >= 0) & (starts[1:] >= 0))
 
 
-_FOUND_SCHEMA = "block long, own int, size int, starts binary, names binary, phrases array<array<long>>, counts array<long>"
+_FOUND_SCHEMA = "block long, own int, size int, starts binary, names binary, counts binary"
 
 
 def _extended(k: int, hot):
@@ -338,17 +339,75 @@ def _extended(k: int, hot):
                 found = np.full(len(starts), -1, np.int32)
                 found[at] = place
                 counts = np.bincount(place[at < own], minlength=len(pairs)).astype(np.int64)
-                ends = pa.array([0, len(pairs)], pa.int32())
-                rows = pa.FixedSizeListArray.from_arrays(pa.array(longer.ravel()), k + 1).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [_one(b.column("block")[i].as_py(), pa.int64()), _one(own, pa.int32()),
                      _one(len(starts), pa.int32()), _one(_packed(found), pa.binary()),
-                     _one(longer.tobytes(), pa.binary()), pa.ListArray.from_arrays(ends, rows),
-                     pa.ListArray.from_arrays(ends, pa.array(counts))],
-                    names=["block", "own", "size", "starts", "names", "phrases", "counts"])
+                     _one(longer.tobytes(), pa.binary()), _one(counts.tobytes(), pa.binary())],
+                    names=["block", "own", "size", "starts", "names", "counts"])
     return run
 
 
+def _dealt(k: int, parts: int):
+    """A block's phrases of k words and their counts, dealt to parts by hash: one row per part."""
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                names = np.frombuffer(b.column("names")[i].as_py(), np.int64).reshape(-1, k)
+                counts = np.frombuffer(b.column("counts")[i].as_py(), np.int64)
+                part = (_phrase_hash(names) % np.uint64(parts)).astype(np.int32)
+                order = np.argsort(part, kind="stable")
+                rows = np.column_stack([names, counts])[order]
+                seen, at = np.unique(part[order], return_index=True)
+                blobs = [rows[x:y].tobytes() for x, y in zip(at, [*at[1:], len(rows)])]
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(blobs, pa.binary())],
+                                                 names=["part", "rows"])
+    return run
+
+
+def _summed(k: int, least: int):
+    """(ids, a) of the frequent phrases of each part; parts follow one another."""
+    def total(blobs):
+        rows = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, k + 1) for x in blobs])
+        rows = rows[np.lexsort(rows[:, :k].T)]
+        new = np.ones(len(rows), bool)
+        new[1:] = (rows[1:, :k] != rows[:-1, :k]).any(axis=1)
+        at = np.flatnonzero(new)
+        a = np.add.reduceat(rows[:, k], at) if len(at) else np.empty(0, np.int64)
+        ids, a = rows[at][a >= least, :k], a[a >= least]
+        lists = pa.FixedSizeListArray.from_arrays(pa.array(ids.ravel()), k).cast(pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([lists, pa.array(a)], names=["ids", "a"])
+
+    def run(batches):
+        part, blobs = None, []
+        for b in batches:
+            for p, blob in zip(b.column("part").to_pylist(), b.column("rows").to_pylist()):
+                if p != part and blobs:
+                    yield total(blobs)
+                    blobs = []
+                part = p
+                blobs.append(blob)
+        if blobs:
+            yield total(blobs)
+    return run
+
+
+# Rows of (names, count) that one part of a group count holds, on average.
+_PART_ROWS = 1 << 20
+
+
+def _group_count(found: DataFrame, k: int, least: int) -> DataFrame:
+    """(ids, a) of the phrases of k words with ``a >= least``.
+
+    A block's phrases travel as one blob of numbers per part, with as many parts
+    as the rows of all blocks ask for, so no task sums more than a part at a time.
+    """
+    rows = found.agg(F.sum(F.octet_length("counts") / 8).alias("n")).first()["n"] or 0
+    parts = max(1, int(rows) // _PART_ROWS + 1)
+    dealt = found.select("names", "counts").mapInArrow(_dealt(k, parts), "part int, rows binary")
+    return (dealt.repartition("part").sortWithinPartitions("part")
+            .mapInArrow(_summed(k, least), "ids array<long>, a long"))
+
+
 def _marks(least: int):
     """Marks of the frequent phrases ``ids``."""
     def run(batches):
@@ -415,10 +474,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     held = _semi_join(blocks.select("block", "own", "size", "starts"), words)
     for k in range(1, longest):
         found = _kept(held.mapInArrow(_extended(k, hot), _FOUND_SCHEMA), f"phrase-occurrences{k + 1}")
-        level = _kept(found.select(F.explode(F.arrays_zip("phrases", "counts")).alias("p"))
-                      .groupBy(*[F.col("p.phrases")[i].alias(f"w{i}") for i in range(k + 1)])
-                      .agg(F.sum("p.counts").alias("a")).where(F.col("a") >= least)
-                      .select(F.array(*[f"w{i}" for i in range(k + 1)]).alias("ids"), "a"), f"phrase-level{k + 1}")
+        level = _kept(_group_count(found, k + 1, least), f"phrase-level{k + 1}")
         levels = levels.unionByName(level)
         if k + 1 < longest:
             hot = _hot(level.select("ids").mapInArrow(_marks(least), "chunk int, heat binary"), least)
