@@ -1,35 +1,37 @@
-"""Synchronous mini-batch training of a dense network over barrier tasks.
+"""Synchronous mini-batch training of a dense network, one short Spark job a step.
 
 Every worker holds one shard of the rows (R9) in the order of the endless
-batches (R7).  At each step it takes its rows of the step's batch, sums their
-gradients, and exchanges the sums with ``BarrierTaskContext.allGather``; all
-workers add them up in the same order and make the same update, so the weights
-never leave step.  Only gradients travel, as many numbers as the network has
-weights, whatever the number of rows.
-
-Rows stream through a worker in batch order, so a worker holds one batch at a
-time.  A lost task ends the barrier stage, which Spark runs again as a whole
-from the first step; the order is fixed by the keys, so it gives the same weights.
+batches (R7).  At each step every worker takes its rows of the step's batch and
+sums their gradients under the weights it is sent; the sums are added up in the
+order of the workers and make one update, so the weights are the same for all.
+Only weights and gradients travel, as many numbers as the network has weights,
+whatever the number of rows.  (A barrier's ``allGather`` in place of the job
+takes a second a step: Spark looks that often whether a barrier is passed.)
+
+A shard lies in partitions of ``STEPS_HELD`` steps, and a step's job runs on the
+partitions of that step alone.  A lost task is run again by itself; the order is
+fixed by the keys, so it gives the same sums.
 """
 
 from __future__ import annotations
 
-import base64
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batching import repeat_batches
-from .gang import gang_map
 
 # The defaults of the network that is trained this way.
 HIDDEN, CLASSES, BATCH = 64, 10, 64
 RATE, DECAY, EPSILON = 0.001, 0.9, 1e-7
+# Steps whose rows of one shard lie in one partition.
+STEPS_HELD = 32
 
 
 class DenseNet:
@@ -112,30 +114,24 @@ def _by_step(batches: Iterator[pa.RecordBatch], n_in: int) -> Iterator[tuple[int
         yield step, np.concatenate(xs), np.concatenate(ys)
 
 
-def _worker(net_args: dict, n_in: int, n_steps: int):
-    """The loop of one barrier task: local sums, exchange, update."""
+def _packed(n_in: int):
+    """One row for each step of a partition: the step, its features and labels as bytes."""
     def run(batches):
-        from pyspark import BarrierTaskContext
-        ctx = BarrierTaskContext.get()
-        net = DenseNet(n_in, **net_args)
-        mine = _by_step(batches, n_in)
-        ready = next(mine, None)
-        rows, losses = 0, []
-        for step in range(n_steps):
-            x, y = np.empty((0, n_in)), np.empty(0, np.int64)
-            if ready is not None and ready[0] == step:
-                _, x, y = ready
-                ready = next(mine, None)
-            rows += len(y)
-            told = ctx.allGather(base64.b64encode(net.sums(x, y).tobytes()).decode("ascii"))
-            total = np.zeros(len(net.weights) + 2)
-            for message in told:
-                total += np.frombuffer(base64.b64decode(message))
-            losses.append(net.step(total))
-        yield pa.RecordBatch.from_pydict(
-            {"shard": pa.array([ctx.partitionId()], pa.int32()), "n_rows": pa.array([rows], pa.int64()),
-             "n_steps": pa.array([n_steps], pa.int64()), "losses": pa.array([losses], pa.list_(pa.float64())),
-             "weights": pa.array([net.weights.tolist()], pa.list_(pa.float64()))})
+        for step, x, y in _by_step(batches, n_in):
+            yield pa.RecordBatch.from_pydict(
+                {"step": pa.array([step], pa.int64()), "x": pa.array([x.tobytes()], pa.binary()),
+                 "y": pa.array([y.tobytes()], pa.binary())})
+    return run
+
+
+def _sums_of(step: int, net_args: dict, n_in: int, weights: np.ndarray):
+    """What a worker adds to ``step``: the sums of its rows, if it has any."""
+    def run(rows):
+        for r in rows:
+            if r["step"] == step:
+                net = DenseNet(n_in, **net_args)
+                net.weights = weights
+                yield net.sums(np.frombuffer(r["x"]).reshape(-1, n_in), np.frombuffer(r["y"], np.int64))
     return run
 
 
@@ -192,15 +188,26 @@ def sync_fit(df: DataFrame, features: str, label: str, keys: Sequence[str], n_in
         raise ValueError("no rows or no steps to train on")
     fed = repeat_batches(rows, keys, batch_size, epochs=epochs, steps=steps, n_rows=n)
     n_steps = steps if steps is not None else math.ceil(epochs * n / batch_size)
-    shards = fed.select("batch_id", "p", "mk_x", "mk_y", F.pmod(
-        F.col("p") - F.lit(n).cast("bigint") * F.col("epoch"), F.lit(n_tasks)).cast("int").alias("shard"))
+    shard = F.pmod(F.col("p") - F.lit(n).cast("bigint") * F.col("epoch"), F.lit(n_tasks))
+    part = F.floor(F.col("batch_id") / STEPS_HELD) * n_tasks + shard
+    packed = (fed.select("batch_id", "p", "mk_x", "mk_y", part.cast("int").alias("mk_part"))
+              .repartitionById(math.ceil(n_steps / STEPS_HELD) * n_tasks, F.col("mk_part"))
+              .sortWithinPartitions("p").mapInArrow(_packed(n_in), "step long, x binary, y binary"))
     net_args = {"hidden": hidden, "classes": classes, "seed": seed, "rate": rate, "optimizer": optimizer}
-    out = gang_map(shards, _worker(net_args, n_in, n_steps),
-                   "shard int, n_rows long, n_steps long, losses array<double>, weights array<double>",
-                   n_tasks, key="shard", order=["p"]).collect()
-    out = sorted(out, key=lambda r: r["shard"])
-    net = DenseNet(n_in, **net_args)
-    net.weights = np.array(out[0]["weights"])
-    if any(r["weights"] != out[0]["weights"] for r in out):
-        raise RuntimeError("workers fell out of step")
-    return SyncFit(net, list(out[0]["losses"]), [(r["shard"], r["n_rows"], r["n_steps"]) for r in out])
+    net, losses, n_rows = DenseNet(n_in, **net_args), [], [0] * n_tasks
+    held = packed.rdd.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for step in range(n_steps):
+            work = _sums_of(step, net_args, n_in, net.weights)
+            first = step // STEPS_HELD * n_tasks
+            told = held.context.runJob(held.mapPartitionsWithIndex(
+                lambda i, rows, work=work: ((i, s) for s in work(rows))), lambda found: found,
+                range(first, first + n_tasks))
+            total = np.zeros(len(net.weights) + 2)
+            for i, sums in told:
+                total += sums
+                n_rows[i - first] += int(sums[0])
+            losses.append(net.step(total))
+    finally:
+        held.unpersist()
+    return SyncFit(net, losses, [(w, rows, n_steps) for w, rows in enumerate(n_rows)])

@@ -1,6 +1,7 @@
 """Synchronous training, selection, the endless feed, saved models, fitted preparation."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -74,6 +75,22 @@ def test_short_batches_idle_workers_and_nulls(spark):
         sync_fit(df.limit(0), "x", "y", ["k"], 2, 1, steps=1)
 
 
+def test_a_step_does_not_wait_for_a_barrier(spark):
+    """A barrier takes a second a step; more workers than slots are no hindrance either."""
+    ship_package(spark)
+    x, y, df = _rows(spark, n=90)
+    slots = spark.sparkContext.defaultParallelism
+    args = {"hidden": 8, "classes": 3}
+    sync_fit(df, "x", "y", ["k"], 6, 2, batch_size=16, steps=2, **args)
+    begun = time.monotonic()
+    fit = sync_fit(df, "x", "y", ["k"], 6, slots + 1, batch_size=16, steps=70, **args)
+    assert time.monotonic() - begun < 50
+    net, losses = _plain(x, y, 70, 16, **args)
+    assert np.abs(fit.net.weights - net.weights).max() < 1e-9 and len(fit.losses) == 70
+    assert fit.workers == [(w, sum(1 for p in range(70 * 16) if p % 90 % (slots + 1) == w), 70)
+                           for w in range(slots + 1)]
+
+
 # -- selection -----------------------------------------------------------------
 
 def test_selection_equals_sorting(spark):
