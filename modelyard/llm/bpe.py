@@ -111,7 +111,11 @@ class TreeBpe:
 
     def _chunk(self, chunk: str) -> tuple[bytes, str]:
         """A run without white space; the splitter never crosses white space."""
-        got = [self.words[w] for w in self.pattern.findall(chunk.lower())]
+        words = self.pattern.findall(chunk.lower())
+        if len(words) == 1 and words[0] == chunk:
+            # Kept as a chunk, so not as a word besides.
+            return self.words.get(chunk) or self._word(chunk)
+        got = [self.words[w] for w in words]
         return b"".join([g[0] for g in got]), " ".join([g[1] for g in got])
 
     def _plain_text(self, text: str, ids: list[bytes], shown: list[str]) -> None:

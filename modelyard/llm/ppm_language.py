@@ -17,6 +17,7 @@ from .arrow import map_text, text_slices
 
 PAD = b"\x00\x00"          # stands before the first byte of every text
 UNKNOWN = "und"
+HELD = 1_000_000           # triples a task holds, all languages together, before it sums them
 
 
 def triples(text: str) -> np.ndarray:
@@ -31,17 +32,16 @@ def count_triples(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
         import pyarrow as pa
         sums: dict[str, np.ndarray] = {}
         held: dict[str, list[np.ndarray]] = {}
-        size: dict[str, int] = {}
+        size = 0
 
         def fold(lang):
-            keys, n = np.unique(np.concatenate(held[lang]), return_counts=True)
+            keys, n = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
             was = sums.get(lang)
             if was is not None:
                 both = np.concatenate([was[0], keys])
                 keys, at = np.unique(both, return_inverse=True)
                 n = np.bincount(at, weights=np.concatenate([was[1], n])).astype(np.int64)
             sums[lang] = (keys, n)
-            held[lang], size[lang] = [], 0
 
         for whole in batches:
             for b in text_slices(whole, "t"):
@@ -49,12 +49,13 @@ def count_triples(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                     if text:
                         t = triples(text)
                         held.setdefault(lang, []).append(t)
-                        size[lang] = size.get(lang, 0) + len(t)
-                        if size[lang] > 4_000_000:
-                            fold(lang)
-        for lang in held:
-            if held[lang]:
-                fold(lang)
+                        size += len(t)
+                        if size > HELD:
+                            for name in list(held):
+                                fold(name)
+                            size = 0
+        for lang in list(held):
+            fold(lang)
         for lang, (keys, n) in sums.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(keys), pa.string()), pa.array(keys.astype(np.int32)),
@@ -124,12 +125,19 @@ class Scorer:
                       else np.empty(0, np.int64)).astype(np.int64)
         self.cost = (np.stack([t.bits(self.known) for t in self.trees], 1) if tables
                      else np.empty((0, 0)))
-        self.row = np.full(1 << 24, -1, np.int32)
-        self.row[self.known] = np.arange(len(self.known), dtype=np.int32)
+        # A page of rows for each known pair of bytes, by the byte after it; page 0 is empty.
+        pairs = np.unique(self.known >> 8)
+        self.page = np.zeros(1 << 16, np.int32)
+        self.page[pairs] = np.arange(1, len(pairs) + 1, dtype=np.int32)
+        self.row = np.full((len(pairs) + 1) << 8, -1, np.int32)
+        self.row[self._place(self.known)] = np.arange(len(self.known), dtype=np.int32)
+
+    def _place(self, triple: np.ndarray) -> np.ndarray:
+        return (self.page[triple >> 8] << 8) | (triple & 0xFF).astype(np.int32)
 
     def lengths(self, text: str) -> np.ndarray:
         t = triples(text)
-        at = self.row[t]
+        at = self.row[self._place(t)]
         new = at < 0
         if new.any():
             total = np.array([tree.bits(t[new].astype(np.int64)).sum() for tree in self.trees])
